@@ -87,7 +87,7 @@ if __name__ == "__main__":
             continue
         if k not in orc:
             n = qs[k](spark, sf).count()
-            print(f"ROWS  {k}: {n} rows (no oracle)")
+            print(f"\nROWS  {k}: {n} rows (no oracle)")
             continue
         try:
             ok, n, det = compare(spark, k, qs[k], orc[k], sf)
