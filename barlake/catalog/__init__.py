@@ -1,6 +1,6 @@
 """Named queries over the driver tables, each with its DuckDB oracle text."""
 
-from . import indicator_queries, series_queries  # noqa: F401  (register on import)
+from . import indicator_queries, profile_queries, series_queries  # noqa: F401  (register on import)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

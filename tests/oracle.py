@@ -94,5 +94,5 @@ if __name__ == "__main__":
         except Exception as e:  # noqa: BLE001
             ok, n, det = False, -1, f"ERROR {type(e).__name__}: {str(e)[:300]}"
         bad += not ok
-        print(f"{'OK   ' if ok else 'FAIL '} {k}: {n} rows {det}", flush=True)
+        print(f"\n{'OK   ' if ok else 'FAIL '} {k}: {n} rows {det}", flush=True)
     print(f"failures: {bad}")
