@@ -93,3 +93,8 @@ def equal_width_bin(v, lo, hi, nbins: int) -> Column:
 def r8(c) -> Column:
     """Round a double to 8 dp for oracle comparison."""
     return F.round(col(c), 8)
+
+
+def tcast(c, to: str) -> Column:
+    """``TRY_CAST``: NULL instead of an error when the value does not convert."""
+    return col(c).try_cast(to)
