@@ -1,6 +1,7 @@
 """Named queries over the driver tables, each with its DuckDB oracle text."""
 
-from . import indicator_queries, parse_queries, profile_queries, series_queries  # noqa: F401  (register on import)
+from . import (indicator_queries, parse_queries, profile_queries,  # noqa: F401  (register on import)
+               relational_queries, series_queries)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -1,0 +1,116 @@
+"""Stream-mode indicators with history carried across micro-batches.
+
+A window of the live stream usually holds one candle per symbol, so the
+indicators need the symbol's previous closes.  ``applyInPandasWithState``
+keeps, per symbol, the last 50 (timestamp, close) pairs and the number of
+candles seen; each micro-batch's candles of that symbol are appended in time
+order and get their indicators from history + batch.  Candles not newer than
+the last processed one are returned flagged ``late`` with NULL indicators
+(they would need already-emitted rows to be recomputed).
+
+Per batch and symbol the pandas frame is bounded by the trigger size
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), the state by 50 rows.
+"""
+
+from __future__ import annotations
+
+from decimal import ROUND_HALF_UP, Decimal
+from typing import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField, StructType,
+                               TimestampType)
+
+from .indicators import STREAM_COLS
+
+HISTORY = 50
+STATE_SCHEMA = StructType([StructField("ts", TimestampType()), StructField("closes", StringType()),
+                           StructField("times", StringType()), StructField("n", LongType())])
+
+
+def _r2(x: float | None) -> float | None:
+    if x is None or not np.isfinite(x):
+        return None
+    y = float(Decimal(repr(float(x))).quantize(Decimal("1e-10"), ROUND_HALF_UP))
+    return float(Decimal(repr(y)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def indicators_at(c: np.ndarray, k: int, i: int) -> dict:
+    """Stream indicators of the candle at array position k, series position i."""
+    def mean(p, at=k):
+        return float(np.sum(c[at - p + 1:at + 1])) / p
+
+    out = dict.fromkeys(STREAM_COLS)
+    if i >= 14:
+        ch = np.diff(c[k - 14:k + 1])
+        ag, al = np.where(ch > 0, ch, 0.0).sum() / 14, np.where(ch > 0, 0.0, np.abs(ch)).sum() / 14
+        out["rsi_14"] = 100.0 if al == 0 else _r2(100 - 100 / (1 + ag / al))
+    if i >= 19:
+        mid = mean(20)
+        sd = float(np.sqrt(np.sum((c[k - 19:k + 1] - mid) ** 2) / 20))
+        out.update(sma_20=_r2(mid), bb_middle=_r2(mid), bb_upper=_r2(mid + 2 * sd), bb_lower=_r2(mid - 2 * sd))
+    if i >= 49:
+        out["ema_50"] = _r2(mean(50))
+
+    def macd_at(kk, ii):
+        if ii < 25:
+            return None
+        e12, e26 = _r2(mean(12, kk)), _r2(mean(26, kk))
+        return e12 - e26 if e12 and e26 else None
+
+    out["macd"] = macd_at(k, i)
+    if i >= 35:
+        ms = [macd_at(k - d, i - d) for d in range(8, -1, -1)]
+        if all(m is not None for m in ms):
+            out["macd_signal"] = _r2(sum(ms) / 9)
+    return out
+
+
+def _make_fn(value_cols: list[str]):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="stable")
+        if state.exists:
+            _, cs, ts, n = state.get
+            closes = [float(v) for v in cs.split(",")] if cs else []
+            times = [int(v) for v in ts.split(",")] if ts else []
+        else:
+            closes, times, n = [], [], 0
+        last = times[-1] if times else None
+        t_ns = pdf["timestamp"].astype("datetime64[us]").astype("int64").to_numpy()
+        late = np.zeros(len(pdf), dtype=bool)
+        seen = last
+        for j, t in enumerate(t_ns):
+            if seen is not None and t <= seen:
+                late[j] = True
+            else:
+                seen = t
+        fresh = pdf[~late]
+        c = np.array(closes + fresh["close"].astype(float).tolist())
+        base = len(closes)
+        recs = [indicators_at(c, base + j, n + j) for j in range(len(fresh))]
+        ind = pd.DataFrame(recs, columns=STREAM_COLS, index=fresh.index)
+        out = pd.concat([fresh, ind], axis=1)
+        out["late"] = False
+        lt = pdf[late].copy()
+        for col in STREAM_COLS:
+            lt[col] = None
+        lt["late"] = True
+        res = pd.concat([out, lt], ignore_index=True)
+        keep_c = c[-HISTORY:].tolist()
+        keep_t = (times + t_ns[~late].tolist())[-HISTORY:]
+        state.update((pd.Timestamp(keep_t[-1], unit="us") if keep_t else None,
+                      ",".join(repr(v) for v in keep_c), ",".join(str(v) for v in keep_t), n + len(fresh)))
+        yield res[value_cols + STREAM_COLS + ["late"]]
+    return fn
+
+
+def stateful_stream_indicators(candles: DataFrame) -> DataFrame:
+    """``candles`` (streaming or batch): symbol, timestamp (TIMESTAMP), close, other value columns."""
+    value_cols = candles.columns
+    fields = [f for f in candles.schema.fields] + [StructField(c, DoubleType()) for c in STREAM_COLS] \
+        + [StructField("late", BooleanType())]
+    return candles.groupBy("symbol").applyInPandasWithState(
+        _make_fn(value_cols), StructType(fields), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
