@@ -1,6 +1,6 @@
 """Named queries over the driver tables, each with its DuckDB oracle text."""
 
-from . import (indicator_queries, parse_queries, profile_queries,  # noqa: F401  (register on import)
+from . import (indicator_queries, io_queries, parse_queries, profile_queries,  # noqa: F401  (register)
                relational_queries, series_queries)
 from .registry import ORACLE, QUERIES
 

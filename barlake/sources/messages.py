@@ -83,3 +83,24 @@ def tick_messages(events: DataFrame) -> DataFrame:
                     tcast(F.get_json_object("props", "$.k"), "double").alias("volume"),
                     F.lit(1).alias("trades"))
     return events.select("event_id", F.to_json(body).alias("value"))
+
+
+# Fixed attribute defaults of published messages.
+DEFAULT_SYMBOL_ATTR, DEFAULT_INTERVAL_ATTR, SOURCE_ATTR = "UNKNOWN", "5m", "binance-websocket"
+
+
+def publish_frame(messages: DataFrame) -> DataFrame:
+    """Messages -> Kafka-shaped rows: key, JSON value, attribute map and headers.
+
+    ``timestamp`` is the publish time.  Write with
+    ``df.write.format("kafka")`` / ``writeStream.format("kafka")`` or to files.
+    """
+    v = F.col("value")
+    attrs = F.create_map(
+        F.lit("symbol"), F.coalesce(F.get_json_object(v, "$.symbol"), F.lit(DEFAULT_SYMBOL_ATTR)),
+        F.lit("interval"), F.coalesce(F.get_json_object(v, "$.interval"), F.lit(DEFAULT_INTERVAL_ATTR)),
+        F.lit("source"), F.lit(SOURCE_ATTR),
+        F.lit("timestamp"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    out = messages.select(F.get_json_object(v, "$.symbol").alias("key"), v.alias("value"), attrs.alias("attributes"))
+    return out.withColumn("headers", F.transform(F.map_entries("attributes"),
+                                                 lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value"))))
