@@ -78,7 +78,7 @@ def tick_messages(events: DataFrame) -> DataFrame:
     ts = F.col("ts")
     iso = F.when(F.date_format(ts, "SSSSSS") == "000000", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) \
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    body = F.struct(sym.alias("symbol"), iso.alias("start_time"), F.col("value").alias("open"),
+    body = F.struct(F.col("event_id"), sym.alias("symbol"), iso.alias("start_time"), F.col("value").alias("open"),
                     F.col("value").alias("high"), F.col("value").alias("low"), F.col("value").alias("close"),
                     tcast(F.get_json_object("props", "$.k"), "double").alias("volume"),
                     F.lit(1).alias("trades"))

@@ -132,7 +132,7 @@ def health_metrics(v: DataFrame) -> DataFrame:
     return v.observe("health", F.count(F.lit(1)).alias("received"),
                      F.count_if(F.col("reject_reason").isNull()).alias("processed"),
                      F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
-                     F.max("event_ts").alias("last_event_ts"))
+                     F.max(F.unix_micros("event_ts")).alias("last_event_us"))
 
 
 def stream_unified_rows(ind: DataFrame) -> DataFrame:

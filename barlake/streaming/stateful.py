@@ -69,9 +69,9 @@ def indicators_at(c: np.ndarray, k: int, i: int) -> dict:
     return out
 
 
-def _make_fn(value_cols: list[str]):
+def _make_fn(value_cols: list[str], ts_col: str):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="stable")
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(ts_col, kind="stable")
         if state.exists:
             _, cs, ts, n = state.get
             closes = [float(v) for v in cs.split(",")] if cs else []
@@ -79,7 +79,7 @@ def _make_fn(value_cols: list[str]):
         else:
             closes, times, n = [], [], 0
         last = times[-1] if times else None
-        t_ns = pdf["timestamp"].astype("datetime64[us]").astype("int64").to_numpy()
+        t_ns = pdf[ts_col].astype("datetime64[us]").astype("int64").to_numpy()
         late = np.zeros(len(pdf), dtype=bool)
         seen = last
         for j, t in enumerate(t_ns):
@@ -107,10 +107,10 @@ def _make_fn(value_cols: list[str]):
     return fn
 
 
-def stateful_stream_indicators(candles: DataFrame) -> DataFrame:
-    """``candles`` (streaming or batch): symbol, timestamp (TIMESTAMP), close, other value columns."""
+def stateful_stream_indicators(candles: DataFrame, ts_col: str = "event_ts") -> DataFrame:
+    """``candles`` (streaming or batch): symbol, event time ``ts_col`` (TIMESTAMP), close, other columns."""
     value_cols = candles.columns
     fields = [f for f in candles.schema.fields] + [StructField(c, DoubleType()) for c in STREAM_COLS] \
         + [StructField("late", BooleanType())]
     return candles.groupBy("symbol").applyInPandasWithState(
-        _make_fn(value_cols), StructType(fields), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _make_fn(value_cols, ts_col), StructType(fields), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
