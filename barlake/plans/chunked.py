@@ -47,6 +47,7 @@ class ChunkLayout:
     order: str
     bucket_unit: str
     small: bool
+    single_chunk: bool = False
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add bucket, bucket start offset and chunk id to every row."""
@@ -77,7 +78,10 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
                .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows))))
     summary = summary.checkpoint(eager=True)
     small = summary.limit(BROADCAST_SUMMARY_ROWS + 1).count() <= BROADCAST_SUMMARY_ROWS
-    return ChunkLayout(summary, keys, order, bucket_unit, small)
+    # no series longer than one chunk: per-key windows are already bounded and
+    # parallel across keys, so the halo machinery can be skipped
+    single = (summary.agg(F.max(_CHUNK)).first()[0] or 0) == 0
+    return ChunkLayout(summary, keys, order, bucket_unit, small, single)
 
 
 def _halo_map(layout: ChunkLayout, lookback: int) -> DataFrame:
@@ -117,6 +121,8 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: str, lookback: int
     keys = list(keys)
     cols = df.columns
     layout = layout or plan_chunks(df, keys, order, chunk_rows, bucket_unit)
+    if layout.single_chunk:
+        return compute(df, keys)
     own = layout.attach(df).withColumn(_HALO, F.lit(False))
     hmap = _halo_map(layout, lookback)
     hmap = F.broadcast(hmap) if layout.small else hmap
@@ -135,14 +141,19 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: str, lookback: int
 
 def global_row_index(df: DataFrame, keys: Sequence[str], order: str, name: str = "row_idx",
                      layout: ChunkLayout | None = None, bucket_unit: str = "day",
-                     with_count: str | None = None) -> DataFrame:
+                     with_count: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """0-based row position inside each series without a per-key single task.
 
     position = bucket start offset (from the summary) + row_number inside the
     bucket; optionally also the series length (``with_count``).
     """
     keys = list(keys)
-    layout = layout or plan_chunks(df, keys, order, bucket_unit=bucket_unit)
+    layout = layout or plan_chunks(df, keys, order, chunk_rows, bucket_unit)
+    if layout.single_chunk:
+        x = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
+        if with_count:
+            x = x.withColumn(with_count, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        return x
     x = layout.attach(df)
     x = x.withColumn(name, F.col(_START) + F.row_number().over(
         Window.partitionBy(*keys, _B).orderBy(order)) - 1)
@@ -163,6 +174,10 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: str, value: str,
     """
     keys = list(keys)
     layout = layout or plan_chunks(df, keys, order, chunk_rows, bucket_unit)
+    if layout.single_chunk:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        f = {"max": F.max, "min": F.min, "sum": F.sum, "first": F.first}[how]
+        return df.withColumn(name, f(value).over(w))
     x = layout.attach(df)
     if how == "first":
         firsts = (df.groupBy(*keys).agg(F.min_by(F.col(value), F.col(order)).alias(name)))

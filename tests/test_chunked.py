@@ -25,9 +25,10 @@ def test_indicators_chunked_equal_plain(spark, chunk_rows, unit):
     assert _rows(chunked, cols) == _rows(plain, cols)
 
 
-def test_global_row_index(spark):
+@pytest.mark.parametrize("chunk_rows", [60, 250_000])
+def test_global_row_index(spark, chunk_rows):
     c = event_candles(spark, SF01)
-    got = global_row_index(c, ["symbol"], "timestamp", with_count="n")
+    got = global_row_index(c, ["symbol"], "timestamp", with_count="n", chunk_rows=chunk_rows)
     w = Window.partitionBy("symbol").orderBy("timestamp")
     exp = c.withColumn("row_idx", F.row_number().over(w) - 1).withColumn(
         "n", F.count(F.lit(1)).over(Window.partitionBy("symbol")))
@@ -36,9 +37,10 @@ def test_global_row_index(spark):
 
 
 @pytest.mark.parametrize("how", ["max", "min", "sum", "first"])
-def test_chunked_running(spark, how):
+@pytest.mark.parametrize("chunk_rows", [60, 250_000])
+def test_chunked_running(spark, how, chunk_rows):
     c = event_candles(spark, SF01)
-    got = chunked_running(c, ["symbol"], "timestamp", "close", how, "v", chunk_rows=60, bucket_unit="day")
+    got = chunked_running(c, ["symbol"], "timestamp", "close", how, "v", chunk_rows=chunk_rows, bucket_unit="day")
     w = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     f = {"max": F.max, "min": F.min, "sum": F.sum, "first": F.first}[how]
     exp = c.withColumn("v", f("close").over(w) if how != "first" else F.first("close").over(
