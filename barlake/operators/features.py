@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import full_window, rows, series_window
 from ..plans.chunked import chunked_window, global_row_index
+from ..plans.joins import checked_broadcast
 
 BASE_COLS = ["timestamp", "symbol", "open", "high", "low", "close", "volume", "trades", "sma_20", "ema_50", "rsi_14",
              "macd", "macd_signal", "bb_upper", "bb_middle", "bb_lower"]
@@ -115,7 +116,7 @@ def fit_scaler(train: DataFrame, cols: list[str], keys=("symbol",)) -> DataFrame
 
 
 def apply_scaler(df: DataFrame, stats: DataFrame, cols: list[str], keys=("symbol",), suffix: str = "") -> DataFrame:
-    x = df.join(F.broadcast(stats), list(keys), "inner")
+    x = df.join(checked_broadcast(stats), list(keys), "inner")
     for c in cols:
         sd = F.col(f"{c}__sd")
         x = x.withColumn(c + suffix, (F.col(c) - F.col(f"{c}__mu")) / F.when(sd == 0, F.lit(1.0)).otherwise(sd))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.chunked import global_row_index
+from ..plans.joins import checked_broadcast
 from .features import FEATURE_COLS, standard_scale
 
 RIDGE_GRID = [0.01, 0.1, 1, 10, 100]
@@ -118,7 +119,7 @@ def regression_metrics(pred: DataFrame, keys: list[str], y: str = "y", yhat: str
     k = keys or ["__all"]
     p = pred if keys else pred.withColumn("__all", F.lit(1))
     mean_y = p.groupBy(*k).agg(F.avg(y).alias("__my"))
-    x = p.join(F.broadcast(mean_y), k)
+    x = p.join(checked_broadcast(mean_y), k)
     return x.groupBy(*k).agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (1 - F.sum(e * e) / F.sum((F.col(y) - F.col("__my")) ** 2)).alias("r2"),

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (SESSIONS, WEEKDAYS_MONDAY_FIRST, base_asset, equal_width_bin,
                                sample_kurtosis, sample_skewness, trading_session, weekday_ordinal)
+from ..plans.chunked import plan_chunks
+from ..plans.joins import checked_broadcast
 from ..plans.quantiles import exact_quantiles
 from . import series as S
 
@@ -95,8 +97,8 @@ def symbol_stats(df: DataFrame) -> DataFrame:
 
 def symbol_risk(df: DataFrame) -> DataFrame:
     x = df.select("symbol", "timestamp", "open", "high", "low", "close", "rsi_14", "macd", "macd_signal")
-    x = S.macd_bullish_cross(S.with_returns(x))
-    x = S.drawdown(x)
+    lay = plan_chunks(x, ["symbol"], "timestamp")      # one layout for the three per-series steps
+    x = S.drawdown(S.macd_bullish_cross(S.with_returns(x, layout=lay), layout=lay), layout=lay)
     g = x.groupBy("symbol").agg(
         F.avg("ret_pct").alias("__m"), F.stddev_samp("ret_pct").alias("__s"),
         F.min("drawdown_pct").alias("max_drawdown_pct"),
@@ -233,7 +235,7 @@ def histogram(df: DataFrame, value: str, nbins: int) -> DataFrame:
     """Equal-width histogram per symbol over the symbol's [min, max]; non-empty bins."""
     x = df.select("symbol", F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     mm = x.groupBy("symbol").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    b = x.join(F.broadcast(mm), "symbol").withColumn("bin", equal_width_bin("v", "lo", "hi", nbins))
+    b = x.join(checked_broadcast(mm), "symbol").withColumn("bin", equal_width_bin("v", "lo", "hi", nbins))
     return b.groupBy("symbol", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -242,7 +244,7 @@ def boxplot_stats(df: DataFrame, value: str = "close") -> DataFrame:
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     v = F.col(value)
-    w = (df.join(F.broadcast(q), "symbol")
+    w = (df.join(checked_broadcast(q), "symbol")
          .groupBy("symbol").agg(F.min(F.when(v >= lo, v)).alias("whisker_low"),
                                 F.max(F.when(v <= hi, v)).alias("whisker_high"),
                                 F.count_if((v < lo) | (v > hi)).alias("n_outliers")))

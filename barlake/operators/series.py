@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import (REGIME_Q_HIGH, REGIME_Q_LOW, REGIMES, RSI_OVERBOUGHT, RSI_OVERSOLD,
                                full_window, rows, series_window)
 from ..plans.chunked import ChunkLayout, chunked_running, chunked_window
+from ..plans.joins import checked_broadcast
 from ..plans.quantiles import exact_quantiles
 
 KEYS = ["symbol"]
@@ -79,7 +80,7 @@ def volatility_regime(df: DataFrame, n: int = 20, layout: ChunkLayout | None = N
     v = F.col("rolling_vol")
     lab = (F.when(v <= F.col("q33"), F.lit(REGIMES[0])).when(v <= F.col("q66"), F.lit(REGIMES[1]))
            .otherwise(F.lit(REGIMES[2])))
-    return vol.join(F.broadcast(th), KEYS, "inner").withColumn("regime", lab)
+    return vol.join(checked_broadcast(th), KEYS, "inner").withColumn("regime", lab)
 
 
 def rolling_price_volume_corr(df: DataFrame, n: int = 30, threshold: float = -0.3,
@@ -119,7 +120,7 @@ def bollinger_squeeze(df: DataFrame, q: float = 0.10) -> DataFrame:
     """Rows whose band width is below the symbol's q-quantile of widths."""
     x = bollinger_width(df)
     th = exact_quantiles(x, KEYS, "bb_width", {"q10": q})
-    return x.join(F.broadcast(th), KEYS, "inner").where(F.col("bb_width") < F.col("q10"))
+    return x.join(checked_broadcast(th), KEYS, "inner").where(F.col("bb_width") < F.col("q10"))
 
 
 def rolling_trade_size(df: DataFrame, n: int = 50, layout: ChunkLayout | None = None) -> DataFrame:

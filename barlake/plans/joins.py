@@ -18,3 +18,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Materialise a per-key side table once (reliable checkpoint), then broadcast it
+    only if its row count is within ``max_rows``.
+
+    Used for per-symbol thresholds / statistics whose size follows the key
+    cardinality, not the data volume; the checkpoint also keeps the join from
+    recomputing the aggregation that produced them.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(small.sparkSession)
+    t = small.checkpoint(eager=True)
+    return F.broadcast(t) if t.limit(max_rows + 1).count() <= max_rows else t

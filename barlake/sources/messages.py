@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import checked_broadcast
+
 INTERVAL_MS = {"5m": 300_000, "1h": 3_600_000, "1d": 86_400_000}
 
 
@@ -45,7 +47,7 @@ def kline_envelopes(candles: DataFrame, interval: str = "1h") -> DataFrame:
     """WebSocket envelopes; the last bar of each symbol is still open (x = false)."""
     x = with_payload_fields(candles, interval)
     last = x.groupBy("symbol").agg(F.max("timestamp").alias("__last"))
-    x = x.join(F.broadcast(last), "symbol")
+    x = x.join(checked_broadcast(last), "symbol")
     s = lambda c: F.col(c).cast("string")
     k = F.struct(F.col("symbol").alias("s"), F.lit(interval).alias("i"), F.col("open_ms").alias("t"),
                  F.col("close_ms").alias("T"), s("open").alias("o"), s("high").alias("h"), s("low").alias("l"),
