@@ -77,11 +77,11 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
                .withColumn(_START, F.col(_END) - F.col(_N))
                .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows))))
     summary = summary.checkpoint(eager=True)
-    small = summary.limit(BROADCAST_SUMMARY_ROWS + 1).count() <= BROADCAST_SUMMARY_ROWS
-    # no series longer than one chunk: per-key windows are already bounded and
-    # parallel across keys, so the halo machinery can be skipped
-    single = (summary.agg(F.max(_CHUNK)).first()[0] or 0) == 0
-    return ChunkLayout(summary, keys, order, bucket_unit, small, single)
+    # one pass over the (small, checkpointed) summary: its size decides the
+    # broadcast; if no series is longer than one chunk, per-key windows are
+    # already bounded and parallel across keys and the halo machinery is skipped
+    n, top = summary.agg(F.count(F.lit(1)), F.max(_CHUNK)).first()
+    return ChunkLayout(summary, keys, order, bucket_unit, n <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0)
 
 
 def _halo_map(layout: ChunkLayout, lookback: int) -> DataFrame:
