@@ -35,6 +35,9 @@ RF_TREES, RF_DEPTHS, RF_MIN_SPLIT = [100, 200], [10, 20, None], [2, 5]
 MAX_TREE_DEPTH = 30
 SEED = 42
 MODEL_NAMES = ["Linear Regression", "Ridge", "Lasso", "Random Forest", "Gradient Boosting"]
+# Iterative learners run one job per iteration / tree level: size training
+# partitions by rows so big symbols stay parallel and small ones skip task overhead.
+ROWS_PER_TRAIN_PARTITION = 500_000
 
 
 def model_input(target_frame: DataFrame, cols: list[str] = FEATURE_COLS) -> DataFrame:
@@ -148,8 +151,10 @@ def train_per_symbol(data: DataFrame, symbols: list[str], config: str = "default
         if sym not in stats:
             continue
         d = data.where(F.col("symbol") == sym)
-        train, test = d.where(F.col("split") == "train").cache(), d.where(F.col("split") == "test")
         n, sd = stats[sym]["n"], stats[sym]["sd"] or 0.0
+        parts = max(1, -(-n // ROWS_PER_TRAIN_PARTITION))
+        train = d.where(F.col("split") == "train").repartition(parts).cache()
+        test = d.where(F.col("split") == "test")
         models = default_models(n, sd) if config == "default" else tuned_models(train, n, sd, grid_rf)
         for name, est in models.items():
             if only and name not in only:

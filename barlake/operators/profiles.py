@@ -13,8 +13,8 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (SESSIONS, WEEKDAYS_MONDAY_FIRST, base_asset, equal_width_bin,
-                               sample_kurtosis, sample_skewness, trading_session, weekday_ordinal)
+from ..functions.exprs import (WEEKDAYS_MONDAY_FIRST, base_asset, equal_width_bin, sample_kurtosis,
+                               sample_skewness, trading_session)
 from ..plans.chunked import plan_chunks
 from ..plans.joins import checked_broadcast
 from ..plans.quantiles import exact_quantiles
@@ -260,5 +260,3 @@ def quantile_thresholds(df: DataFrame) -> DataFrame:
 def fold_union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["SESSIONS", "weekday_ordinal"]

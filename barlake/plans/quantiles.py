@@ -7,6 +7,11 @@ inside partitions, every row gets its rank inside its group from per-partition
 counts (a tiny summary), and only the 1-2 rows bracketing each requested
 position are kept.  Results equal ``percentile_cont`` / pandas ``quantile``
 (position = p * (n - 1), linear interpolation).
+
+A first pass counts values per group (a key-sized, checkpointed table).  If
+no group exceeds ``MAX_BUFFERED_GROUP`` values, the built-in exact
+``percentile`` aggregate is bounded per group and used directly; the
+range-partition path only runs when some group is that large.
 """
 
 from __future__ import annotations
@@ -17,12 +22,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Largest group whose values may sit in one aggregation buffer (~16 MB of doubles).
+MAX_BUFFERED_GROUP = 2_000_000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    probs: Mapping[str, float], partitions: int | None = None) -> DataFrame:
+                    probs: Mapping[str, float], partitions: int | None = None,
+                    max_buffered: int | None = None) -> DataFrame:
     """One row per group with values: ``keys`` + one column per entry of ``probs``."""
     keys = list(keys)
     spark = df.sparkSession
     x = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    # group sizes first (a key-sized table): when every group is small, the
+    # built-in exact percentile aggregate is bounded per group and cheapest
+    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
+    largest = sizes.agg(F.max("__n")).first()[0] or 0
+    if largest <= (MAX_BUFFERED_GROUP if max_buffered is None else max_buffered):
+        return x.groupBy(*keys).agg(*[F.percentile("__v", p).alias(k) for k, p in probs.items()])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (x.repartitionByRange(n, *keys, "__v").sortWithinPartitions(*keys, "__v")
          .withColumn("__pid", F.spark_partition_id())
@@ -39,7 +55,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     ranked = (s.join(part, ["__pid", *keys], "inner")
               .withColumn("__r", F.col("__off") + F.col("__li") - F.col("__l0")))
     # needed positions per group and prob: floor and ceil of p * (n - 1)
-    sizes = part.select(*keys, "__n").distinct()
     pos = sizes.select(*keys, "__n", F.explode(F.array(*[
         F.struct(F.lit(k).alias("q"), (F.lit(p) * (F.col("__n") - 1)).alias("pos")) for k, p in probs.items()
     ])).alias("t")).select(*keys, F.col("t.q").alias("__q"), F.col("t.pos").alias("__pos"))

@@ -14,7 +14,6 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.observation import Observation  # noqa: F401  (batch counterpart of observe)
 
 from ..functions.exprs import time_parts
 from ..operators import parse as PZ

@@ -6,11 +6,12 @@ from barlake.sources.adapters import event_candles
 from conftest import SF01
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_exact_quantiles_match_percentile(spark, parts):
+@pytest.mark.parametrize("parts,max_buffered", [(1, 0), (3, 0), (8, 0), (8, None)])
+def test_exact_quantiles_match_percentile(spark, parts, max_buffered):
     c = event_candles(spark, SF01)
     probs = {"q10": 0.1, "q33": 0.33, "q50": 0.5, "q66": 0.66, "q100": 1.0}
-    got = {r["symbol"]: r for r in exact_quantiles(c, ["symbol"], "close", probs, partitions=parts).collect()}
+    got = {r["symbol"]: r for r in exact_quantiles(c, ["symbol"], "close", probs, partitions=parts,
+                                                   max_buffered=max_buffered).collect()}
     exp = c.groupBy("symbol").agg(*[F.percentile("close", p).alias(k) for k, p in probs.items()]).collect()
     assert len(got) == len(exp)
     for e in exp:
@@ -20,6 +21,6 @@ def test_exact_quantiles_match_percentile(spark, parts):
 
 def test_exact_quantiles_no_keys(spark):
     c = event_candles(spark, SF01)
-    got = exact_quantiles(c, [], "volume", {"med": 0.5}).collect()
+    got = exact_quantiles(c, [], "volume", {"med": 0.5}, max_buffered=0).collect()
     exp = c.agg(F.percentile("volume", 0.5).alias("m")).collect()[0]["m"]
     assert got[0]["med"] == pytest.approx(exp, rel=1e-12)
