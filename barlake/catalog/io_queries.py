@@ -47,7 +47,7 @@ def q_write_csv(spark, sf):
 
 
 _STATS_SQL = f"""{HIST_SQL}, st AS (SELECT symbol, year(open_time) AS year, min(open) AS open_price_min,
-  max(open) AS open_price_max, sum(volume) AS volume_total, sum(trades) AS trades_total, count(*) AS candles_fetched
+  max(open) AS open_price_max, sum(volume) AS volume_total, CAST(sum(trades) AS BIGINT) AS trades_total, count(*) AS candles_fetched
   FROM hist GROUP BY 1, 2)"""
 
 
@@ -58,7 +58,7 @@ def q_ingest_stats(spark, sf):
     return round_doubles(FS.ingest_stats_by_symbol_year(rows))
 
 
-@query("run_audit_json", f"""{_STATS_SQL} SELECT 'success' AS status, sum(candles_fetched) AS total_candles,
+@query("run_audit_json", f"""{_STATS_SQL} SELECT 'success' AS status, CAST(sum(candles_fetched) AS BIGINT) AS total_candles,
   count(DISTINCT year) AS total_years, count(DISTINCT symbol) AS total_symbols FROM st""")
 def q_audit(spark, sf):
     stats = FS.ingest_stats_by_symbol_year(historical_rows(spark, sf))

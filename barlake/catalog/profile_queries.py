@@ -52,13 +52,13 @@ def q_null_profile(spark, sf):
     return round_doubles(P.null_profile(core(spark, sf)))
 
 
-@query("duplicate_full_rows", f"""{WITH_CORE} SELECT coalesce(sum(c - 1), 0) AS n_duplicates
+@query("duplicate_full_rows", f"""{WITH_CORE} SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n_duplicates
   FROM (SELECT count(*) AS c FROM core GROUP BY ALL_COLS)""".replace("ALL_COLS", ", ".join(_UNI_COLS)))
 def q_dup_rows(spark, sf):
     return P.duplicate_full_rows(core(spark, sf))
 
 
-@query("duplicate_keys", f"""{WITH_CORE} SELECT coalesce(sum(c - 1), 0) AS n_duplicate_keys
+@query("duplicate_keys", f"""{WITH_CORE} SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n_duplicate_keys
   FROM (SELECT count(*) AS c FROM core GROUP BY timestamp, symbol)""")
 def q_dup_keys(spark, sf):
     return P.duplicate_keys(core(spark, sf))

@@ -25,7 +25,7 @@ from barlake.operators import parse as PZ  # noqa: E402
 from barlake.operators import profiles as P  # noqa: E402
 from barlake.operators import series as S  # noqa: E402
 from barlake.session import build_session, table  # noqa: E402
-from barlake.sources.adapters import candles_from_events, candles_from_lineitem  # noqa: E402
+from barlake.sources.adapters import EVENT_SYMBOLS, candles_from_events, candles_from_lineitem  # noqa: E402
 from barlake.sources.files import new_table_path  # noqa: E402
 from barlake.sources.messages import tick_messages  # noqa: E402
 from barlake.streaming.indicators import stream_indicators  # noqa: E402
@@ -43,6 +43,12 @@ def main() -> None:
     candles_from_events(table(spark, sf_dir, "events")).write.parquet(ev_path)        # hourly, 5 symbols
     ingest = round(time.perf_counter() - t0, 3)
     sup, evc = spark.read.parquet(sup_path), spark.read.parquet(ev_path)
+    # hot keys: every event is a tick of its event-type symbol (5 long series), small
+    # chunks force the halo path so the skew-safe plan is exercised at bench scale
+    ev = table(spark, sf_dir, "events")
+    ticks = ev.select(F.create_map(*[F.lit(x) for kv in EVENT_SYMBOLS.items() for x in kv])[F.col("event_type")].alias("symbol"),
+                      F.col("ts").alias("timestamp"), *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
+                      F.lit(1.0).alias("volume"), F.lit(1).cast("bigint").alias("trades"))
     monthly = {"bucket_unit": "month"}                                   # daily bars: month buckets
 
     def sup_unified():
@@ -54,6 +60,7 @@ def main() -> None:
     qs = {
         "indicators_batch_lineitem": sup_unified,
         "indicators_batch_events": lambda: ind.indicators_batch(evc),
+        "indicators_hot_symbols_chunked": lambda: ind.indicators_batch(ticks, chunk_rows=5_000, bucket_unit="hour"),
         "stream_mode_indicators_lineitem": lambda: stream_indicators(ind.clean_batch(sup)),
         "symbol_stats_lineitem": lambda: P.symbol_stats(sup_unified()),
         "return_stats_lineitem": lambda: P.return_stats(sup),

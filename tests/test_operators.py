@@ -63,3 +63,16 @@ def test_sample_skew_kurtosis_match_pandas(spark):
     r = df.agg(sample_skewness(F.col("x")).alias("s"), sample_kurtosis(F.col("x")).alias("k")).first()
     s = pd.Series(vals)
     assert abs(r["s"] - s.skew()) < 1e-12 and abs(r["k"] - s.kurt()) < 1e-12
+
+
+def test_drawdown_and_base100_invariants(spark):
+    from barlake.operators import series as S
+    from barlake.sources.adapters import event_candles
+    from conftest import SF01
+    c = event_candles(spark, SF01)
+    dd = S.drawdown(c)
+    assert dd.agg(F.max("drawdown_pct")).first()[0] == 0.0
+    assert dd.where(F.col("close") == F.col("cummax")).agg(F.max(F.abs("drawdown_pct"))).first()[0] == 0.0
+    b = S.normalized_base100(c)
+    firsts = b.join(c.groupBy("symbol").agg(F.min("timestamp").alias("timestamp")), ["symbol", "timestamp"])
+    assert {r["base100"] for r in firsts.collect()} == {100.0}
