@@ -8,7 +8,6 @@ per-series steps (returns, running max) through the chunked plans.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,16 +172,23 @@ def return_stats(df: DataFrame) -> DataFrame:
 
 
 def corr_long(df: DataFrame, cols: list[str], a_name: str = "col_a", b_name: str = "col_b") -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form; NULL for zero variance."""
-    exprs = []
-    for a, b in product(cols, cols):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        exprs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"{a}__{b}"))
+    """Pairwise-complete Pearson matrix in long form; NULL for zero variance.
+
+    One aggregation pass computes the unique pairs (i <= j); the matrix is
+    symmetric, so each off-diagonal value is emitted for both orders.
+    """
+    exprs, cells = [], []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+            exprs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"{a}__{b}"))
+            cells.append((a, b, f"{a}__{b}"))
+            if a != b:
+                cells.append((b, a, f"{a}__{b}"))
     one = df.agg(*exprs)
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias(a_name), F.lit(b).alias(b_name),
-                                                   F.col(f"{a}__{b}").alias("corr"))
-                                          for a, b in product(cols, cols)])).alias("kv")).select("kv.*")
+                                                   F.col(c).alias("corr")) for a, b, c in cells])).alias("kv")).select("kv.*")
 
 
 def feature_corr_matrix(df: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@
 
 Both are plain ``groupBy`` aggregations with map-side partial aggregation;
 open/close use ``min_by``/``max_by`` on a total order so results are exact.
+The order is one packed DECIMAL key, which keeps the hash aggregate (a struct
+key would force a sort-based aggregate over every input row).
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import packed_order
 from ..session import table
 
 # Fixed mapping of event types to candle symbols.
@@ -32,7 +35,7 @@ def _symbol_of(event_type):
 
 
 def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
-    order = F.struct("ts", "event_id")
+    order = packed_order(F.unix_micros(F.col("ts").cast("timestamp")), "event_id")   # total order (ts, event_id)
     return (events
             .select(_symbol_of(F.col("event_type")).alias("symbol"),
                     F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("timestamp"),
@@ -47,7 +50,7 @@ def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
 
 
 def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    order = F.struct("l_orderkey", "l_linenumber")
+    order = packed_order("l_orderkey", "l_linenumber", 32)                           # (l_orderkey, l_linenumber)
     return (lineitem
             .select(F.col("l_suppkey").cast("string").alias("symbol"),
                     F.col("l_shipdate").alias("timestamp"),

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import time_parts
+from ..functions.exprs import packed_order, time_parts
 from ..operators import parse as PZ
 from ..sources.files import new_table_path
 
@@ -64,7 +64,7 @@ def write_messages(df: DataFrame, path: str) -> str:
 
 def windowed_candles(v: DataFrame, duration: str = "1 hour", lateness: str = DEFAULT_LATENESS) -> DataFrame:
     """Ticks -> OHLCV bars per (symbol, tumbling window) with an event-time watermark."""
-    order = F.struct("event_ts", "event_id")
+    order = packed_order(F.unix_micros("event_ts"), "event_id")
     return (v.where(F.col("reject_reason").isNull())
             .withWatermark("event_ts", lateness)
             .groupBy("symbol", F.window("event_ts", duration).alias("w"))
