@@ -81,19 +81,25 @@ def _r2(e: str) -> str:
     return f"round(round({e}, 10), 2)"
 
 
-_RSI = ("(CASE WHEN i < 14 THEN NULL ELSE (CASE WHEN l = 0 THEN 100D ELSE {r} END) END)")
+def group_lists(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """One time-sorted list of candles per group (the state a streaming window keeps)."""
+    other = [c for c in df.columns if c not in group_cols and c != "timestamp"]
+    return df.groupBy(*group_cols).agg(F.array_sort(F.collect_list(F.struct("timestamp", *other))).alias("rs"))
 
 
 def indicators_per_group(df: DataFrame, group_cols: list[str]) -> DataFrame:
     """Indicators for each candle of each group, computed on the group's sorted list.
 
     ``df`` holds one row per candle (timestamp, close, ...) plus ``group_cols``
-    (e.g. symbol and a window struct).  Each group is one bounded list (a
+    (e.g. symbol and a window start).  Each group is one bounded list (a
     window of candles), sorted by time, and turned back into rows with
-    ``inline``.
+    ``explode``.
     """
-    other = [c for c in df.columns if c not in group_cols]
-    g = df.groupBy(*group_cols).agg(F.array_sort(F.collect_list(F.struct("timestamp", *[c for c in other if c != "timestamp"]))).alias("rs"))
+    return expand_group_lists(group_lists(df, group_cols), group_cols)
+
+
+def expand_group_lists(g: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Sorted candle lists (column ``rs``) -> one row per candle with its indicators."""
     g = g.withColumn("c", F.expr("transform(rs, r -> r.close)"))
     gains = "aggregate(sequence(i - 12, i + 1), 0D, (a, j) -> a + greatest(element_at(c, j) - element_at(c, j - 1), 0D))"
     losses = ("aggregate(sequence(i - 12, i + 1), 0D, (a, j) -> a + "

@@ -145,3 +145,26 @@ def stream_unified_rows(ind: DataFrame) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     return new_table_path(spark, name)
+
+
+def windowed_group_indicators(v: DataFrame, sink: str, checkpoint: str, duration: str = "1 day",
+                              lateness: str = DEFAULT_LATENESS) -> str:
+    """Per (symbol, tumbling window) lists of candles -> indicators on each list.
+
+    The streaming aggregation keeps one sorted list per open window (bounded by
+    the window length); each micro-batch's updated windows are expanded with
+    the higher-order-function indicators and appended with their batch id
+    (read back with :func:`latest_per_key`).
+    """
+    from .indicators import expand_group_lists
+    lists = (v.where(F.col("reject_reason").isNull()).withWatermark("event_ts", lateness)
+             .groupBy("symbol", F.window("event_ts", duration).alias("w"))
+             .agg(F.array_sort(F.collect_list(F.struct("timestamp", "close"))).alias("rs")))
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        g = batch.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "rs")
+        (expand_group_lists(g, ["symbol", "window_start"]).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("append").parquet(sink))
+
+    run_foreach_batch(lists, fn, checkpoint, "update")
+    return sink
