@@ -14,8 +14,10 @@ buffer the whole series.  The helpers here split each series into
   through a join with the summary (broadcast after an explicit row-count
   check, shuffle join beyond it);
 * bounded frames (``ROWS BETWEEN k PRECEDING``) need the ``lookback`` rows
-  before a chunk: they are copied into the chunk as *halo* rows, computed
-  from the summary, and dropped after the windows ran;
+  before a chunk: the whole buckets covering them are copied into the chunk
+  as *halo* rows (decided per row from its bucket, in the same scan) and
+  dropped after the windows ran.  Extra older halo rows cannot change a
+  frame that reaches at most ``lookback`` rows back, so results stay exact;
 * unbounded prefix frames (running max, first value) combine a per-chunk
   result with a prefix over the tiny chunk summary.
 
@@ -36,7 +38,7 @@ BROADCAST_SUMMARY_ROWS = 2_000_000
 DEFAULT_CHUNK_ROWS = 250_000
 
 _B, _N, _END, _START, _CHUNK = "__bucket", "__n", "__end", "__start", "__chunk"
-_HALO, _DST, _NEED, _RNK = "__halo", "__dst", "__need", "__rnk"
+_HALO, _DST = "__halo", "__dst"
 
 
 @dataclass
@@ -84,13 +86,14 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
     return ChunkLayout(summary, keys, order, bucket_unit, n <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0)
 
 
-def _halo_map(layout: ChunkLayout, lookback: int) -> DataFrame:
-    """(key, source bucket) -> (destination chunk, rows needed from its end).
+def _halo_targets(layout: ChunkLayout, lookback: int) -> DataFrame:
+    """(key, bucket) -> chunk id and the later chunks that need this bucket as halo.
 
-    A chunk starting at global row S needs rows [S - lookback, S).  A source
-    bucket covering rows [end - n, end) contributes its last
-    ``min(n, lookback - (S - end))`` rows.  Any such chunk start lies within
-    the next ``lookback`` buckets (each bucket holds at least one row).
+    A chunk starting at global row S needs rows [S - lookback, S); every bucket
+    overlapping that range (it ends after S - lookback and before S) is copied
+    whole.  Any such chunk start lies within the next ``lookback`` buckets
+    (each bucket holds at least one row), so a bounded frame over the small
+    summary finds them.
     """
     keys = layout.keys
     w = Window.partitionBy(*keys).orderBy(_B)
@@ -98,23 +101,24 @@ def _halo_map(layout: ChunkLayout, lookback: int) -> DataFrame:
     s = layout.summary.withColumn("__first", first)
     nxt = F.collect_list(F.struct(F.col(_CHUNK).alias("c"), F.col(_START).alias("s"),
                                   F.col("__first").alias("f"))).over(w.rowsBetween(1, lookback))
-    m = (s.withColumn("__nx", nxt)
-         .select(*keys, _B, _N, _END, F.explode("__nx").alias("t"))
-         .where(F.col("t.f") & (F.col("t.s") - F.col(_END) < lookback))
-         .select(*keys, _B, F.col("t.c").alias(_DST),
-                 F.least(F.col(_N), F.lit(lookback) - (F.col("t.s") - F.col(_END))).alias(_NEED)))
-    return m
+    needed = F.filter(nxt, lambda t: t["f"] & (t["s"] - F.col(_END) < lookback))
+    return s.select(*keys, _B, _START, _CHUNK, F.transform(needed, lambda t: t["c"]).alias(_DST))
 
 
 def chunked_window(df: DataFrame, keys: Sequence[str], order: str, lookback: int,
                    compute: Callable[[DataFrame, list[str]], DataFrame],
                    chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_unit: str = "day",
-                   layout: ChunkLayout | None = None) -> DataFrame:
+                   layout: ChunkLayout | None = None, index: str | None = None) -> DataFrame:
     """Run ``compute(frame, partition_cols)`` chunk-parallel and exactly.
 
     ``compute`` must only use windows partitioned by ``partition_cols`` and
     ordered by ``order`` whose frames reach at most ``lookback`` rows back
     (``lag(k)`` counts as k rows).  Rows must be unique on (keys, order).
+    One scan, one broadcast join with the bucket table, one shuffle.
+    With ``index`` the frame also gets each row's 0-based position in its
+    series: a chunk partition is a run of consecutive whole buckets, so the
+    position is the partition's first bucket offset + ``row_number`` - 1
+    (same partitioning, no extra exchange).
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be >= lookback")
@@ -122,20 +126,22 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: str, lookback: int
     cols = df.columns
     layout = layout or plan_chunks(df, keys, order, chunk_rows, bucket_unit)
     if layout.single_chunk:
+        if index:
+            df = df.withColumn(index, F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
         return compute(df, keys)
-    own = layout.attach(df).withColumn(_HALO, F.lit(False))
-    hmap = _halo_map(layout, lookback)
-    hmap = F.broadcast(hmap) if layout.small else hmap
-    # only rows of source buckets survive the (broadcast) join; the top-k
-    # filter below is planned as a partial group limit before the shuffle
-    cand = (with_bucket(df, order, layout.bucket_unit).join(hmap, [*keys, _B], "inner")
-            .withColumn(_RNK, F.row_number().over(
-                Window.partitionBy(*keys, _B, _DST).orderBy(F.col(order).desc())))
-            .where(F.col(_RNK) <= lookback)
-            .where(F.col(_RNK) <= F.col(_NEED))
-            .select(*cols, F.col(_DST).alias(_CHUNK), F.lit(True).alias(_HALO)))
-    both = own.select(*cols, _CHUNK, _HALO).unionByName(cand)
-    out = compute(both, [*keys, _CHUNK])
+    targets = _halo_targets(layout, lookback)
+    targets = F.broadcast(targets) if layout.small else targets
+    x = with_bucket(df, order, layout.bucket_unit).join(targets, [*keys, _B], "inner")
+    # each row goes to its own chunk, plus (as halo) to every later chunk that needs its bucket
+    tags = F.concat(F.array(F.struct(F.col(_CHUNK).alias("c"), F.lit(False).alias("h"))),
+                    F.transform(_DST, lambda d: F.struct(d.alias("c"), F.lit(True).alias("h"))))
+    both = (x.select(*cols, _START, F.explode(tags).alias("__t"))
+            .select(*cols, _START, F.col("__t.c").alias(_CHUNK), F.col("__t.h").alias(_HALO)))
+    part = [*keys, _CHUNK]
+    if index:
+        both = both.withColumn(index, F.min(_START).over(Window.partitionBy(*part))
+                               + F.row_number().over(Window.partitionBy(*part).orderBy(order)) - 1)
+    out = compute(both.drop(_START), part)
     return out.where(~F.col(_HALO)).drop(_CHUNK, _HALO)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rows, series_window
-from ..plans.chunked import ChunkLayout, chunked_window, global_row_index, plan_chunks
+from ..plans.chunked import ChunkLayout, chunked_window
 
 STREAM_LOOKBACK = 49
 STREAM_COLS = ["sma_20", "ema_50", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_middle", "bb_lower"]
@@ -63,11 +63,10 @@ def _stream_columns(df: DataFrame, part: list[str], idx: str = "row_idx") -> Dat
     return x.drop("__g", "__l", "__ag", "__al", "__e12", "__e26", "__mid", "__sd")
 
 
-def stream_indicators(candles: DataFrame, layout: ChunkLayout | None = None) -> DataFrame:
+def stream_indicators(candles: DataFrame, layout: ChunkLayout | None = None, **chunking) -> DataFrame:
     """Stream-mode indicator columns over whole per-symbol histories (batch form)."""
-    layout = layout or plan_chunks(candles, ["symbol"], "timestamp")
-    x = global_row_index(candles, ["symbol"], "timestamp", "row_idx", layout=layout)
-    out = chunked_window(x, ["symbol"], "timestamp", STREAM_LOOKBACK, _stream_columns, layout=layout)
+    out = chunked_window(candles, ["symbol"], "timestamp", STREAM_LOOKBACK, _stream_columns,
+                         layout=layout, index="row_idx", **chunking)
     return out.drop("row_idx")
 
 

@@ -50,3 +50,11 @@ def test_chunked_running(spark, how, chunk_rows):
     assert len(a) == len(b)
     for x, y in zip(a, b):
         assert x[:2] == y[:2] and abs(x[2] - y[2]) < 1e-6
+
+
+@pytest.mark.parametrize("chunk_rows,unit", [(50, "day"), (49, "hour")])
+def test_stream_indicators_chunked_with_index(spark, chunk_rows, unit):
+    from barlake.streaming.indicators import STREAM_COLS, stream_indicators
+    c = ind.clean_batch(event_candles(spark, SF01))
+    cols = ["symbol", "timestamp", *STREAM_COLS]
+    assert _rows(stream_indicators(c, chunk_rows=chunk_rows, bucket_unit=unit), cols) == _rows(stream_indicators(c), cols)
