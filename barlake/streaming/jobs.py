@@ -27,6 +27,27 @@ def message_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFr
     return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
 
 
+def kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = 100_000) -> DataFrame:
+    """Raw payload stream from a Kafka topic, same ``value`` column as the file source.
+
+    Needs the Spark Kafka connector on the classpath (not bundled here).
+    """
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("subscribe", topic).option("startingOffsets", "earliest")
+            .option("maxOffsetsPerTrigger", max_offsets).load()
+            .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("publish_ts")))
+
+
+def publish_to_kafka(published: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
+    """Write a publish frame (key, value, headers) to Kafka; batch or streaming input."""
+    out = published.select(F.col("key").cast("binary"), F.col("value").cast("binary"), "headers")
+    if published.isStreaming:
+        return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+                .option("checkpointLocation", checkpoint).start())
+    out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    return None
+
+
 def validated_stream(raw: DataFrame) -> DataFrame:
     """Parsed + validated messages; event time as TIMESTAMP (watermarks reject NTZ)."""
     v = PZ.validate_messages(raw)
