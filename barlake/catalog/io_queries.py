@@ -119,11 +119,13 @@ def q_layout(spark, sf):
     return t.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("n_symbols"))
 
 
-@query("jsonl_sink")
+@query("jsonl_sink", f"{WITH_UNIFIED} SELECT {UNI_SELECT} FROM unified")
 def q_jsonl(spark, sf):
     path = FS.new_table_path(spark, "enriched_jsonl")
-    FS.write_jsonl(unified(spark, sf), path)
-    return spark.read.json(path)
+    u = unified(spark, sf)
+    FS.write_jsonl(u, path)
+    back = spark.read.schema(u.schema).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
+    return round_doubles(back.select(*_UNI))
 
 
 @query("overwrite_dimension", f"""{WITH_CANDLES} SELECT symbol, CASE WHEN symbol = 'BTCUSDT' THEN 'Bitcoin'
