@@ -72,7 +72,8 @@ def q_train(spark, sf):
     return round_doubles(_results(spark, sf, "default"))
 
 
-@query("save_load_model")
+@query("save_load_model", f"""{TARGET_SQL} SELECT timestamp, true AS same FROM tgt
+  WHERE symbol = 'BTCUSDT' AND split = 'test'""")
 def q_save_load(spark, sf):
     d = _data(spark, sf).where(F.col("symbol") == "BTCUSDT")
     train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
