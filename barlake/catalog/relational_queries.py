@@ -42,22 +42,17 @@ def q_dim_symbols(spark, sf):
     return D.dim_symbols(event_candles(spark, sf))
 
 
-# target: hours seen in the first half of the period; source: all generated hours
+# target: an earlier load that only held the working hours; source: every generated hour
 _MERGE_SQL = f"""{WITH_UNIFIED}, {DIM_HOURS_SQL},
-  mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) / 2 AS m FROM unified),
-  target AS (SELECT DISTINCT hour AS hours FROM unified, mid WHERE timestamp < m AND hour % 2 = 0),
-  tgt AS (SELECT hours, {HOURS_ATTR} FROM target)
+  tgt AS (SELECT * FROM dim_hours WHERE is_worked_hours)
   SELECT * FROM tgt UNION ALL SELECT * FROM dim_hours WHERE hours NOT IN (SELECT hours FROM tgt)"""
 
 
 @query("merge_insert_missing", _MERGE_SQL)
 def q_merge(spark, sf):
-    u = unified(spark, sf)
-    mid = u.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("m")).withColumn("__k", F.lit(1))
-    first_half = (u.withColumn("__k", F.lit(1)).join(F.broadcast(mid), "__k")
-                  .where((F.col("timestamp") < F.col("m")) & (F.col("hour") % 2 == 0)))
-    target = D.hour_attributes(first_half.select(F.col("hour").alias("hours")).distinct())
-    return D.merge_insert_missing(target, D.dim_hours(u), "hours")
+    hours = D.dim_hours(unified(spark, sf))
+    target = hours.where(F.col("is_worked_hours"))
+    return D.merge_insert_missing(target, hours, "hours")
 
 
 @query("unnest_lateral", f"""{WITH_UNIFIED} SELECT symbol, unnest(generate_series(min(hour), max(hour))) AS hours
