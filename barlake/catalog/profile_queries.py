@@ -28,6 +28,12 @@ def q_overview(spark, sf):
     return P.dataset_overview(core(spark, sf))
 
 
+@query("symbol_overview", f"""{WITH_CORE} SELECT symbol, count(*) AS n_rows, min(timestamp) AS first_ts,
+  max(timestamp) AS last_ts, date_sub('day', min(timestamp), max(timestamp)) AS span_days FROM core GROUP BY symbol""")
+def q_symbol_overview(spark, sf):
+    return P.symbol_overview(core(spark, sf))
+
+
 _DESC_UNION = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM core" for c in P.NUMERIC_COLS)
 
 
