@@ -34,10 +34,15 @@ def new_table_path(spark: SparkSession, name: str) -> str:
 
 
 def write_csv_by_symbol_year(rows: DataFrame, path: str) -> None:
-    """One CSV with header per (symbol, year): ``{path}/symbol_dir=<sym>/year=<y>/part-*.csv``."""
+    """CSV files with header per (symbol, year): ``{path}/symbol_dir=<sym>/year=<y>/part-*.csv``.
+
+    Range partitioning on (symbol, year, open time) splits a large symbol-year
+    over several writers (several files in its folder, each in time order)
+    instead of funnelling it through one task.
+    """
     (rows.select(*HISTORICAL_COLS)
      .withColumn("symbol_dir", F.lower("symbol")).withColumn("year", F.year("open_time"))
-     .repartition("symbol_dir", "year")
+     .repartitionByRange("symbol_dir", "year", "open_time").sortWithinPartitions("symbol_dir", "year", "open_time")
      .write.mode("overwrite").partitionBy("symbol_dir", "year")
      .option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
@@ -80,8 +85,13 @@ def write_audit_json(audit: DataFrame, path: str) -> None:
 
 def write_parquet_partitioned(df: DataFrame, path: str, mode: str = "append",
                               cluster: tuple[str, ...] = ("symbol", "hour")) -> None:
-    """Day-partitioned fact layout, clustered inside files by (symbol, hour) for min/max skipping."""
-    (df.repartition("date").sortWithinPartitions(*cluster)
+    """Day-partitioned fact layout, clustered inside files by (symbol, hour) for min/max skipping.
+
+    Range partitioning on (date, symbol, hour) keeps each writer on a narrow,
+    sorted slice: a heavy day is split over several tasks and files rather
+    than written by one.
+    """
+    (df.repartitionByRange("date", *cluster).sortWithinPartitions("date", *cluster)
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
