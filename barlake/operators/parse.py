@@ -4,7 +4,7 @@ Every step is a column expression over the raw payload, so the same
 functions serve ``spark.read`` and ``spark.readStream`` frames.  Rows are
 never dropped silently: :func:`validate_messages` tags each row with a
 ``reject_reason`` (NULL when accepted) and :func:`split_rejects` returns the
-good rows and the quarantine rows (with a 200-char payload preview).
+good rows and the quarantine rows (whole payload, plus a 200-char preview for logs).
 
 Rules (stream cleaning):
 * payload must be a JSON object, else ``parse``;
@@ -87,11 +87,11 @@ def validate_messages(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def split_rejects(validated: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, quarantine rows with reason and payload preview)."""
+    """(accepted rows, quarantine rows with reason, the whole payload and a log preview)."""
     good = validated.where(F.col("reject_reason").isNull())
     bad = validated.where(F.col("reject_reason").isNotNull()).select(
-        F.col("reject_reason"), F.substring(F.col(value).cast("string"), 1, PREVIEW_CHARS).alias("preview"),
-        F.col("symbol"))
+        F.col("reject_reason"), F.col(value).cast("string").alias("payload"),
+        F.substring(F.col(value).cast("string"), 1, PREVIEW_CHARS).alias("preview"), F.col("symbol"))
     return good, bad
 
 

@@ -71,7 +71,7 @@ def test_quarantine_preview(spark):
     good, bad = PZ.split_rejects(PZ.validate_messages(df))
     assert good.count() == 0
     row = bad.collect()[0]
-    assert row["reject_reason"] == "parse" and len(row["preview"]) == 200
+    assert row["reject_reason"] == "parse" and len(row["preview"]) == 200 and len(row["payload"]) == 500
 
 
 def test_envelope_filters(spark):
