@@ -189,3 +189,32 @@ def windowed_group_indicators(v: DataFrame, sink: str, checkpoint: str, duration
 
     run_foreach_batch(lists, fn, checkpoint, "update")
     return sink
+
+
+REQUIRED_UNIFIED = ["timestamp", "date", "hour", "symbol", "open", "high", "low", "close", "volume", "source",
+                    "ingestion_timestamp"]
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def create_table(spark: SparkSession, schema, path: str, partition_by=("date",)) -> str:
+    """Create an empty day-partitioned table folder with the fixed schema (done once, up front)."""
+    spark.createDataFrame([], schema).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return path
+
+
+def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partition_by=("date",)) -> str:
+    """Streaming append of unified rows into an existing table (create-never).
+
+    Rows are cast to the fixed 21-column types and rows with a NULL in a
+    required column are dropped, as a warehouse with REQUIRED columns would
+    refuse them; an absent table is an error, never created here.
+    """
+    spark = rows.sparkSession
+    if not table_exists(spark, path):
+        raise FileNotFoundError(f"table {path} does not exist (create-never)")
+    typed = PZ.format_for_warehouse(rows, REQUIRED_UNIFIED)
+    return run_to_parquet(typed, path, partition_by=list(partition_by), checkpoint=checkpoint)

@@ -71,3 +71,13 @@ def test_redelivery_dedupe(spark):
     v = J.validated_stream(J.message_stream(spark, src, max_files=1000))
     J.run_to_parquet(J.dedupe_stream(v.where(F.col("reject_reason").isNull())).select("symbol", "timestamp", "close"), sink)
     assert spark.read.parquet(sink).count() == 20
+
+
+def test_append_requires_existing_table(spark):
+    import pytest
+    src = new_table_path(spark, "cn_src")
+    J.write_messages(msgs(spark, range(3), [1.0, 2.0, 3.0]), src)
+    v = J.validated_stream(J.message_stream(spark, src, max_files=1000))
+    missing = new_table_path(spark, "cn_missing")
+    with pytest.raises(FileNotFoundError):
+        J.append_to_existing_table(v, missing, missing + "_ck")
