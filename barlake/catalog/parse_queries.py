@@ -11,6 +11,7 @@ from ..session import table
 from ..sources import messages as M
 from ..sources.adapters import event_candles
 from .base import WITH_CANDLES, WITH_CORE, WITH_UNIFIED, core, r, round_doubles, unified
+from ..streaming.indicators import stream_indicator_sql, stream_indicators
 from .profile_queries import SESSION_SQL
 from .registry import query
 
@@ -107,15 +108,33 @@ def q_quarantine(spark, sf):
     return bad.groupBy("reject_reason", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("pipeline_counters", f"""{WITH_CANDLES}, {TICKS_CHECKED}
-  SELECT count(*) AS received, count(*) FILTER (WHERE reject_reason = 'parse') AS parse_errors,
+_FULL = ["sma_20", "ema_50", "rsi_14", "macd", "macd_signal", "bb_middle"]
+_FULL_SQL = " AND ".join(f"coalesce({c}, 0) <> 0" for c in _FULL)
+
+
+@query("pipeline_counters", f"""{WITH_UNIFIED}, {TICKS_CHECKED},
+  {stream_indicator_sql('cleaned')},
+  t AS (SELECT count(*) AS received, count(*) FILTER (WHERE reject_reason = 'parse') AS parse_errors,
     count(*) FILTER (WHERE reject_reason IS NULL) AS cleaned,
-    count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected FROM checked""")
+    count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected FROM checked),
+  i AS (SELECT count(*) FILTER (WHERE {_FULL_SQL}) AS rows_full_indicators,
+    count(*) FILTER (WHERE NOT ({_FULL_SQL})) AS rows_partial_indicators,
+    {r(f'count(*) FILTER (WHERE {_FULL_SQL}) * 100.0 / count(*)', 'full_indicators_rate_pct')} FROM stream_ind)
+  SELECT * FROM t, i""")
 def q_counters(spark, sf):
     t = _ticks(spark, sf)
-    return t.agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("reject_reason") == "parse").alias("parse_errors"),
-                 F.count_if(F.col("reject_reason").isNull()).alias("cleaned"),
-                 F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+    counts = t.agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("reject_reason") == "parse").alias("parse_errors"),
+                   F.count_if(F.col("reject_reason").isNull()).alias("cleaned"),
+                   F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+    si = stream_indicators(ind.clean_batch(event_candles(spark, sf)))
+    full = None
+    for c in _FULL:
+        cond = F.coalesce(F.col(c), F.lit(0.0)) != 0
+        full = cond if full is None else full & cond
+    comp = si.agg(F.count_if(full).alias("rows_full_indicators"), F.count_if(~full).alias("rows_partial_indicators"),
+                  (F.count_if(full) * 100.0 / F.count(F.lit(1))).alias("full_indicators_rate_pct"))
+    one = counts.withColumn("__k", F.lit(1)).join(comp.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    return round_doubles(one)
 
 
 @query("time_parts", f"""{WITH_CANDLES} SELECT symbol, timestamp, CAST(timestamp AS DATE) AS date,
