@@ -104,8 +104,12 @@ def q_typed(spark, sf):
 @query("quarantine_rejects", f"""{WITH_CANDLES}, {TICKS_CHECKED}
   SELECT reject_reason, symbol, count(*) AS n FROM checked WHERE reject_reason IS NOT NULL GROUP BY 1, 2""")
 def q_quarantine(spark, sf):
-    _, bad = PZ.split_rejects(_ticks(spark, sf))
-    return bad.groupBy("reject_reason", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    from ..streaming import jobs as J
+    src = J.scratch(spark, "q_ticks")
+    J.write_messages(M.tick_messages(table(spark, sf, "events")), src)
+    good, bad = J.scratch(spark, "q_good"), J.scratch(spark, "q_dead_letter")
+    J.split_to_sinks(J.message_stream(spark, src, max_files=10_000), good, bad, bad + "_ck")
+    return spark.read.parquet(bad).groupBy("reject_reason", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
 _FULL = ["sma_20", "ema_50", "rsi_14", "macd", "macd_signal", "bb_middle"]

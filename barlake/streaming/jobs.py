@@ -218,3 +218,17 @@ def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partit
         raise FileNotFoundError(f"table {path} does not exist (create-never)")
     typed = PZ.format_for_warehouse(rows, REQUIRED_UNIFIED)
     return run_to_parquet(typed, path, partition_by=list(partition_by), checkpoint=checkpoint)
+
+
+def split_to_sinks(raw: DataFrame, good_path: str, quarantine_path: str, checkpoint: str):
+    """Validate a payload stream; accepted rows and rejects (with reason) go to two sinks per batch."""
+    v = validated_stream(raw)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        good, bad = PZ.split_rejects(b)
+        good.drop("reject_reason", "value").withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(good_path)
+        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_path)
+        b.unpersist()
+
+    return run_foreach_batch(v, fn, checkpoint, "append")
