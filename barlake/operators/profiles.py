@@ -16,7 +16,7 @@ from ..functions.exprs import (WEEKDAYS_MONDAY_FIRST, base_asset, equal_width_bi
                                sample_skewness, trading_session)
 from ..plans.chunked import plan_chunks
 from ..plans.joins import checked_broadcast
-from ..plans.quantiles import exact_quantiles
+from ..plans.quantiles import MAX_BUFFERED_GROUP, exact_quantiles
 from . import series as S
 
 NUMERIC_COLS = ["hour", "open", "high", "low", "close", "volume", "trades", "sma_20", "ema_50", "rsi_14",
@@ -161,14 +161,20 @@ def volume_total(df: DataFrame) -> DataFrame:
 
 
 def return_stats(df: DataFrame) -> DataFrame:
-    r = S.with_returns(df.select("symbol", "timestamp", "close"))
-    x = F.col("ret_pct")
-    g = r.groupBy("symbol").agg(F.avg(x).alias("mean_ret"), F.stddev_samp(x).alias("std_ret"),
-                                F.min(x).alias("min_ret"), F.max(x).alias("max_ret"),
-                                sample_skewness(x).alias("skewness"), sample_kurtosis(x).alias("kurtosis"),
-                                F.count_if(x > 0).alias("n_positive"), F.count_if(x < 0).alias("n_negative"))
-    med = exact_quantiles(r, ["symbol"], "ret_pct", {"median_ret": 0.5})
-    return g.join(med, "symbol", "left").withColumn("asset", base_asset("symbol"))
+    x = df.select("symbol", "timestamp", "close")
+    lay = plan_chunks(x, ["symbol"], "timestamp")
+    r = S.with_returns(x, layout=lay)
+    v = F.col("ret_pct")
+    stats = [F.avg(v).alias("mean_ret"), F.stddev_samp(v).alias("std_ret"), F.min(v).alias("min_ret"),
+             F.max(v).alias("max_ret"), sample_skewness(v).alias("skewness"), sample_kurtosis(v).alias("kurtosis"),
+             F.count_if(v > 0).alias("n_positive"), F.count_if(v < 0).alias("n_negative")]
+    if lay.max_rows <= MAX_BUFFERED_GROUP:
+        # every symbol's returns fit one bounded buffer: the median joins the same single pass
+        g = r.groupBy("symbol").agg(*stats, F.percentile(v, 0.5).alias("median_ret"))
+    else:
+        g = r.groupBy("symbol").agg(*stats).join(
+            exact_quantiles(r, ["symbol"], "ret_pct", {"median_ret": 0.5}), "symbol", "left")
+    return g.withColumn("asset", base_asset("symbol"))
 
 
 def corr_long(df: DataFrame, cols: list[str], a_name: str = "col_a", b_name: str = "col_b") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (REGIME_Q_HIGH, REGIME_Q_LOW, REGIMES, RSI_OVERBOUGHT, RSI_OVERSOLD,
                                full_window, rows, series_window)
-from ..plans.chunked import ChunkLayout, chunked_running, chunked_window
+from ..plans.chunked import ChunkLayout, chunked_running, chunked_window, plan_chunks
 from ..plans.joins import checked_broadcast
 from ..plans.quantiles import exact_quantiles
 
@@ -69,14 +69,16 @@ def rolling_return_std(df: DataFrame, n: int = 20, layout: ChunkLayout | None =
     return chunked_window(df, KEYS, TS, n, comp, layout=layout).where(F.col("rolling_vol").isNotNull())
 
 
-def regime_thresholds(vol: DataFrame) -> DataFrame:
-    return exact_quantiles(vol, KEYS, "rolling_vol", {"q33": REGIME_Q_LOW, "q66": REGIME_Q_HIGH})
+def regime_thresholds(vol: DataFrame, group_rows_bound: int | None = None) -> DataFrame:
+    return exact_quantiles(vol, KEYS, "rolling_vol", {"q33": REGIME_Q_LOW, "q66": REGIME_Q_HIGH},
+                           group_rows_bound=group_rows_bound)
 
 
 def volatility_regime(df: DataFrame, n: int = 20, layout: ChunkLayout | None = None) -> DataFrame:
     """Label each row Faible / Moyenne / Elevee by right-closed cuts at q33, q66."""
+    layout = layout or plan_chunks(df, KEYS, TS)
     vol = rolling_return_std(df, n, layout)
-    th = regime_thresholds(vol)
+    th = regime_thresholds(vol, group_rows_bound=layout.max_rows)
     v = F.col("rolling_vol")
     lab = (F.when(v <= F.col("q33"), F.lit(REGIMES[0])).when(v <= F.col("q66"), F.lit(REGIMES[1]))
            .otherwise(F.lit(REGIMES[2])))

@@ -50,6 +50,7 @@ class ChunkLayout:
     bucket_unit: str
     small: bool
     single_chunk: bool = False
+    max_rows: int = 0          # longest series: an upper bound for any per-key group
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add bucket, bucket start offset and chunk id to every row."""
@@ -82,8 +83,9 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
     # one pass over the (small, checkpointed) summary: its size decides the
     # broadcast; if no series is longer than one chunk, per-key windows are
     # already bounded and parallel across keys and the halo machinery is skipped
-    n, top = summary.agg(F.count(F.lit(1)), F.max(_CHUNK)).first()
-    return ChunkLayout(summary, keys, order, bucket_unit, n <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0)
+    n, top, longest = summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END)).first()
+    return ChunkLayout(summary, keys, order, bucket_unit, n <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
+                       int(longest or 0))
 
 
 def _halo_targets(layout: ChunkLayout, lookback: int) -> DataFrame:

@@ -28,16 +28,21 @@ MAX_BUFFERED_GROUP = 2_000_000
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Mapping[str, float], partitions: int | None = None,
-                    max_buffered: int | None = None) -> DataFrame:
+                    max_buffered: int | None = None, group_rows_bound: int | None = None) -> DataFrame:
     """One row per group with values: ``keys`` + one column per entry of ``probs``."""
     keys = list(keys)
     spark = df.sparkSession
     x = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     # group sizes first (a key-sized table): when every group is small, the
-    # built-in exact percentile aggregate is bounded per group and cheapest
+    # built-in exact percentile aggregate is bounded per group and cheapest.
+    # A caller that already knows an upper bound (e.g. the longest series from
+    # a chunk layout) skips the sizing pass.
+    limit = MAX_BUFFERED_GROUP if max_buffered is None else max_buffered
+    if group_rows_bound is not None and group_rows_bound <= limit:
+        return x.groupBy(*keys).agg(*[F.percentile("__v", p).alias(k) for k, p in probs.items()])
     sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
     largest = sizes.agg(F.max("__n")).first()[0] or 0
-    if largest <= (MAX_BUFFERED_GROUP if max_buffered is None else max_buffered):
+    if largest <= limit:
         return x.groupBy(*keys).agg(*[F.percentile("__v", p).alias(k) for k, p in probs.items()])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (x.repartitionByRange(n, *keys, "__v").sortWithinPartitions(*keys, "__v")

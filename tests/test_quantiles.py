@@ -24,3 +24,20 @@ def test_exact_quantiles_no_keys(spark):
     got = exact_quantiles(c, [], "volume", {"med": 0.5}, max_buffered=0).collect()
     exp = c.agg(F.percentile("volume", 0.5).alias("m")).collect()[0]["m"]
     assert got[0]["med"] == pytest.approx(exp, rel=1e-12)
+
+
+def test_return_stats_large_group_path_matches(spark, monkeypatch):
+    import barlake.operators.profiles as P
+    import barlake.plans.quantiles as Q
+    c = event_candles(spark, SF01)
+    small = {r["symbol"]: r.asDict() for r in P.return_stats(c).collect()}
+    monkeypatch.setattr(P, "MAX_BUFFERED_GROUP", 0)
+    monkeypatch.setattr(Q, "MAX_BUFFERED_GROUP", 0)
+    big = {r["symbol"]: r.asDict() for r in P.return_stats(c).collect()}
+    assert small.keys() == big.keys()
+    for s in small:
+        for k, v in small[s].items():
+            if isinstance(v, float):
+                assert big[s][k] == pytest.approx(v, rel=1e-9, abs=1e-12)
+            else:
+                assert big[s][k] == v
