@@ -143,7 +143,6 @@ def naive_forecast(target_frame: DataFrame) -> DataFrame:
 def train_per_symbol(data: DataFrame, symbols: list[str], config: str = "default", grid_rf: bool = True,
                      only: list[str] | None = None) -> DataFrame:
     """Fit every model per symbol on its train split; test-split metrics as a table."""
-    spark = data.sparkSession
     out = []
     stats = {r["symbol"]: r for r in data.where(F.col("split") == "train").groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("y").alias("sd")).collect()}

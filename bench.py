@@ -2,8 +2,12 @@
 
 Prints ONE JSON line: {"metric", "value" (total seconds), "unit", "queries", "sf"}.
 Each query is fully executed into the ``noop`` sink (no driver collect).
-Inputs: ``lineitem`` as daily bars of 1000 supplier "symbols" (many keys) and
-``events`` as hourly bars of 5 hot symbols (few keys).
+Inputs: ``lineitem`` as daily bars of 1000 supplier "symbols" (many keys),
+``events`` as hourly bars of 5 hot symbols (few keys) and as raw ticks (five
+long series, forced through the chunked halo path).  Two streaming replays
+(5-minute windows over tick messages, stateful indicators over candle
+messages) run with ``trigger(availableNow=True)``; staging their message
+files counts as ingest.
 """
 
 from __future__ import annotations
