@@ -63,28 +63,49 @@ def with_bucket(df: DataFrame, order: str, unit: str) -> DataFrame:
     return df.withColumn(_B, F.date_trunc(unit, F.col(order)))
 
 
+# Buckets averaging fewer rows than this are merged into the next coarser unit
+# (on the small count table, not the data): a daily-bar table must not get a
+# summary as large as itself.
+MIN_BUCKET_ROWS = 8
+COARSER = {"minute": "hour", "hour": "day", "day": "month", "month": "year"}
+
+
 def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
-                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_unit: str = "day") -> ChunkLayout:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_unit: str = "day",
+                min_bucket_rows: int = MIN_BUCKET_ROWS) -> ChunkLayout:
     """Build the small bucket summary with offsets and chunk ids.
 
-    The summary is written through a reliable checkpoint so it is computed
-    once, survives executor loss, and its size is known before choosing a
-    broadcast.
+    One pass over the data counts rows per (key, bucket); the summary with
+    offsets is written through a reliable checkpoint and, only while its
+    buckets are sparse, coarsened from itself (never from the data).  Its size
+    is known before choosing a broadcast.
     """
     keys = list(keys)
-    counts = (with_bucket(df.select(*keys, order), order, bucket_unit)
-              .groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N)))
     w = Window.partitionBy(*keys).orderBy(_B)
-    summary = (counts
-               .withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn(_START, F.col(_END) - F.col(_N))
-               .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows))))
-    summary = summary.checkpoint(eager=True)
-    # one pass over the (small, checkpointed) summary: its size decides the
-    # broadcast; if no series is longer than one chunk, per-key windows are
-    # already bounded and parallel across keys and the halo machinery is skipped
-    n, top, longest = summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END)).first()
-    return ChunkLayout(summary, keys, order, bucket_unit, n <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
+
+    def offsets(counts: DataFrame) -> DataFrame:
+        return (counts
+                .withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn(_START, F.col(_END) - F.col(_N))
+                .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows)))
+                .checkpoint(eager=True))
+
+    def stats(summary: DataFrame):
+        # one pass over the small summary: size (broadcast choice), last chunk id
+        # (no series longer than one chunk -> plain per-key windows), longest
+        # series (bound for per-key buffers) and rows (bucket density)
+        return summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END), F.sum(_N)).first()
+
+    unit = bucket_unit
+    summary = offsets(with_bucket(df.select(*keys, order), order, unit)
+                      .groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N)))
+    n, top, longest, rows = stats(summary)
+    while unit in COARSER and n and rows / n < min_bucket_rows:
+        unit = COARSER[unit]                 # merge sparse buckets from the summary, not the data
+        summary = offsets(summary.groupBy(*keys, F.date_trunc(unit, F.col(_B)).alias(_B))
+                          .agg(F.sum(_N).alias(_N)))
+        n, top, longest, rows = stats(summary)
+    return ChunkLayout(summary, keys, order, unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
                        int(longest or 0))
 
 

@@ -15,12 +15,16 @@ def _rows(df, cols):
                         for v in r) for r in df.select(*cols).collect())
 
 
-@pytest.mark.parametrize("chunk_rows,unit", [(50, "day"), (49, "hour"), (120, "day"), (1000, "month")])
-def test_indicators_chunked_equal_plain(spark, chunk_rows, unit):
+@pytest.mark.parametrize("chunk_rows,unit,min_rows", [(50, "day", 8), (49, "hour", 0), (49, "hour", 8),
+                                                      (120, "day", 8), (1000, "month", 8)])
+def test_indicators_chunked_equal_plain(spark, chunk_rows, unit, min_rows):
+    from barlake.plans.chunked import plan_chunks
     c = ind.clean_batch(event_candles(spark, SF01))
     cols = ["symbol", "timestamp", *ind.INDICATOR_COLS]
     plain = ind.add_indicators(c, chunked=False)
-    chunked = ind.add_indicators(c, chunk_rows=chunk_rows, bucket_unit=unit)
+    lay = plan_chunks(c, ["symbol"], "timestamp", chunk_rows, unit, min_bucket_rows=min_rows)
+    assert (lay.bucket_unit == "hour") == (min_rows == 0 and unit == "hour")   # sparse hour buckets coarsen
+    chunked = ind.add_indicators(c, chunk_rows=chunk_rows, bucket_unit=unit, layout=lay)
     assert chunked.count() == c.count()
     assert _rows(chunked, cols) == _rows(plain, cols)
 
