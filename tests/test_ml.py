@@ -33,3 +33,39 @@ def test_regression_metrics_formulas(spark):
     assert r["rmse"] == pytest.approx(np.sqrt(np.mean(e ** 2)))
     assert r["r2"] == pytest.approx(1 - np.sum(e ** 2) / np.sum((yv - yv.mean()) ** 2))
     assert r["mape"] == pytest.approx(np.mean(np.abs(e) / yv) * 100)
+
+
+def _lasso_cd(X, y, alpha, iters=20000, tol=1e-12):
+    """Reference coordinate descent for (1/2n)||y - Xw - b||^2 + alpha * ||w||_1."""
+    n, p = X.shape
+    xm, ym = X.mean(0), y.mean()
+    Xc, yc = X - xm, y - ym
+    w, r, sq = np.zeros(p), yc.copy(), (Xc ** 2).sum(0)
+    for _ in range(iters):
+        step = 0.0
+        for j in range(p):
+            if sq[j] == 0:
+                continue
+            old = w[j]
+            rho = Xc[:, j] @ r + sq[j] * old
+            new = np.sign(rho) * max(abs(rho) - n * alpha, 0.0) / sq[j]
+            if new != old:
+                r -= Xc[:, j] * (new - old)
+                w[j], step = new, max(step, abs(new - old))
+        if step < tol:
+            break
+    return w, ym - xm @ w
+
+
+def test_lasso_matches_coordinate_descent(spark):
+    data = cut_lineage(ML.model_input(FT.next_close_target(FT.feature_frame(core(spark, SF01)))))
+    d = data.where((F.col("symbol") == "BTCUSDT") & (F.col("split") == "train"))
+    pdf = d.select("features", "y").toPandas()
+    X = np.stack(pdf["features"].map(lambda v: v.toArray()).to_numpy())
+    y = pdf["y"].to_numpy()
+    m = ML.lasso(1.0).fit(d)
+    w, b = _lasso_cd(X, y, 1.0)
+    got = m.coefficients.toArray()
+    assert np.max(np.abs(got - w)) <= 1e-4 * max(1.0, np.max(np.abs(w)))
+    assert set(np.flatnonzero(np.abs(got) > 1e-9)) == set(np.flatnonzero(np.abs(w) > 1e-9))
+    assert abs(m.intercept - b) < 1e-6
