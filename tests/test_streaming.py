@@ -81,3 +81,32 @@ def test_append_requires_existing_table(spark):
     missing = new_table_path(spark, "cn_missing")
     with pytest.raises(FileNotFoundError):
         J.append_to_existing_table(v, missing, missing + "_ck")
+
+
+def test_stream_append_keeps_batch_rows_and_is_idempotent(spark):
+    from barlake.operators import parse as PZ
+    from barlake.operators.indicators import with_lineage
+    closes = [100.0 + i for i in range(40)]
+    table_path = new_table_path(spark, "idem_fact")
+    src = new_table_path(spark, "idem_src")
+    J.write_messages(msgs(spark, range(40), closes), src)
+    # batch load of the first 20 candles (historical rows)
+    v_batch = PZ.validate_messages(spark.read.text(src)).where("reject_reason IS NULL")
+    first = v_batch.where(F.col("timestamp") < T0 + dt.timedelta(minutes=5 * 20))
+    from barlake.streaming.indicators import STREAM_COLS
+    hist = with_lineage(first.select("timestamp", "symbol", "open", "high", "low", "close", "volume", "trades",
+                                     *[F.lit(None).cast("double").alias(c) for c in STREAM_COLS])
+                        .withColumn("date", F.to_date("timestamp")).withColumn("hour", F.hour("timestamp"))
+                        .withColumn("day_of_week", F.date_format("timestamp", "EEEE")), "historical")
+    hist.write.partitionBy("date").parquet(table_path)
+
+    def replay(ck):
+        v = J.validated_stream(J.message_stream(spark, src, max_files=1000))
+        good = v.where("reject_reason IS NULL").drop("reject_reason", "value", "timestamp")
+        J.append_to_existing_table(J.stream_unified_rows(stateful_stream_indicators(good)), table_path, ck)
+
+    replay(table_path + "_ck1")
+    counts = {r["source"]: r["count"] for r in spark.read.parquet(table_path).groupBy("source").count().collect()}
+    assert counts == {"historical": 20, "streaming": 20}
+    replay(table_path + "_ck2")                       # full replay from a fresh checkpoint appends nothing
+    assert spark.read.parquet(table_path).count() == 40
