@@ -13,7 +13,8 @@ from oracle import compare
 KEYS = ["indicators_batch", "rsi_14", "returns_pct", "drawdown", "rolling_beta_50", "symbol_stats", "return_stats",
         "describe_numeric", "return_corr_matrix", "histogram_returns", "weekday_profile", "typed_cast_reject",
         "flatten_kline_envelope", "fact_dim_star", "dedupe_candles", "indicators_stream_mode",
-        "indicators_stream_group", "feature_frame", "standard_scale", "naive_forecast_metrics"]
+        "indicators_stream_group", "feature_frame", "standard_scale", "naive_forecast_metrics",
+        "quarantine_rejects", "append_unified_stream", "pipeline_counters"]
 
 
 @pytest.mark.parametrize("key", KEYS)
