@@ -28,6 +28,7 @@ from barlake.operators import indicators as ind  # noqa: E402
 from barlake.operators import parse as PZ  # noqa: E402
 from barlake.operators import profiles as P  # noqa: E402
 from barlake.operators import series as S  # noqa: E402
+from barlake.plans.chunked import plan_chunks  # noqa: E402
 from barlake.session import build_session, table  # noqa: E402
 from barlake.sources.adapters import EVENT_SYMBOLS, candles_from_events, candles_from_lineitem  # noqa: E402
 from barlake.sources.files import new_table_path  # noqa: E402
@@ -60,6 +61,14 @@ def main() -> None:
     def sup_unified():
         return ind.indicators_batch(sup, **monthly)
 
+    layouts = {}
+
+    def sup_layout():
+        """One chunk layout (month buckets) per stored table, shared by the series operators."""
+        if "sup" not in layouts:
+            layouts["sup"] = plan_chunks(sup, ["symbol"], "timestamp", bucket_unit="month")
+        return layouts["sup"]
+
     def ev_core():
         return ind.indicators_batch(evc).where(F.col("symbol").isin(CORE_SYMBOLS))
 
@@ -67,12 +76,12 @@ def main() -> None:
         "indicators_batch_lineitem": sup_unified,
         "indicators_batch_events": lambda: ind.indicators_batch(evc),
         "indicators_hot_symbols_chunked": lambda: ind.indicators_batch(ticks, chunk_rows=5_000, bucket_unit="hour"),
-        "stream_mode_indicators_lineitem": lambda: stream_indicators(ind.clean_batch(sup)),
+        "stream_mode_indicators_lineitem": lambda: stream_indicators(ind.clean_batch(sup), **monthly),
         "symbol_stats_lineitem": lambda: P.symbol_stats(sup_unified()),
         "return_stats_lineitem": lambda: P.return_stats(sup),
-        "drawdown_lineitem": lambda: S.drawdown(sup),
-        "rolling_pv_corr_lineitem": lambda: S.rolling_price_volume_corr(sup),
-        "volatility_regime_lineitem": lambda: S.volatility_regime(sup),
+        "drawdown_lineitem": lambda: S.drawdown(sup, layout=sup_layout()),
+        "rolling_pv_corr_lineitem": lambda: S.rolling_price_volume_corr(sup, layout=sup_layout()),
+        "volatility_regime_lineitem": lambda: S.volatility_regime(sup, layout=sup_layout()),
         "hourly_profile_events": lambda: P.hourly_profile(ev_core()),
         "feature_corr_matrix_events": lambda: P.feature_corr_matrix(ev_core()),
         "describe_numeric_events": lambda: P.describe_numeric(ev_core()),
