@@ -76,3 +76,15 @@ def test_drawdown_and_base100_invariants(spark):
     b = S.normalized_base100(c)
     firsts = b.join(c.groupBy("symbol").agg(F.min("timestamp").alias("timestamp")), ["symbol", "timestamp"])
     assert {r["base100"] for r in firsts.collect()} == {100.0}
+
+
+def test_packed_order_is_lexicographic(spark):
+    from barlake.functions.exprs import packed_order
+    pairs = [(0, -2**63), (0, -1), (0, 0), (0, 2**63 - 1), (1, -2**63), (1, 5), (-1, 2**63 - 1),
+             (1_700_000_000_000_000, 3), (1_700_000_000_000_000, 4), (-5_000_000_000_000_000, 0)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [(r["a"], r["b"]) for r in df.orderBy(packed_order("a", "b")).collect()]
+    assert got == sorted(pairs)
+    ints = [(7, -2**31), (7, 2**31 - 1), (6, 0), (8, -1)]
+    df2 = spark.createDataFrame(ints, "a long, b int")
+    assert [(r["a"], r["b"]) for r in df2.orderBy(packed_order("a", "b", 32)).collect()] == sorted(ints)
