@@ -88,3 +88,14 @@ def test_packed_order_is_lexicographic(spark):
     ints = [(7, -2**31), (7, 2**31 - 1), (6, 0), (8, -1)]
     df2 = spark.createDataFrame(ints, "a long, b int")
     assert [(r["a"], r["b"]) for r in df2.orderBy(packed_order("a", "b", 32)).collect()] == sorted(ints)
+
+
+def test_checked_broadcast_respects_bound(spark):
+    from barlake.plans.joins import checked_broadcast
+    small = spark.range(5).withColumnRenamed("id", "k")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(checked_broadcast(small, max_rows=10))
+    assert not hinted(checked_broadcast(small, max_rows=3))
