@@ -1,6 +1,6 @@
 """Queries of the training-data operators (registered on import)."""
 
-from . import mixing  # noqa: F401
+from . import kd_sharding, mixing, url_reputation  # noqa: F401
 from .common import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
