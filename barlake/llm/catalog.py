@@ -1,6 +1,6 @@
 """Queries of the training-data operators (registered on import)."""
 
-from . import kd_sharding, mixing, simhash, topk_search, url_reputation  # noqa: F401
+from . import kd_sharding, mixing, pii, quality, simhash, topk_search, url_reputation  # noqa: F401
 from .common import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

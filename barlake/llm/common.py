@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
@@ -29,6 +32,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once, compressed, below the shared checkpoint folder and read it from there."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def word_array(text: Column) -> Column:
     """Words of a text, split at ASCII white space only; NULL text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_PATTERN), lambda w: w != F.lit(""))
