@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 
 BLOCK_BYTES = 16 << 20
@@ -64,7 +65,7 @@ def sized_batches(batches, text_col: str, limit: int = BLOCK_BYTES):
     """Arrow batches cut so that each holds about ``limit`` bytes of text at most, or one row."""
     for b in batches:
         col = b.column(text_col)
-        sizes = np.array([0 if s is None else s for s in pa.compute.binary_length(col).to_pylist()], "i8")
+        sizes = np.array([0 if s is None else s for s in pc.binary_length(col).to_pylist()], "i8")
         start, total = 0, 0
         for i, s in enumerate(sizes):
             if total and total + s > limit:
