@@ -258,7 +258,7 @@ def _spans(k, s, parts, seed, bits):
             used[unzip_array(sources, "<u4").astype("i8") + cuts[p]] = True
         sb, sp = src_block[number], src_place[number]
         outside = sb >= 0
-        inside = ~outside & (b.ids[b.doc[sp]] < b.ids[b.doc[at]]) if len(at) else np.zeros(0, bool)
+        inside = ~outside & (b.ids[b.doc[np.where(outside, at, sp)]] < b.ids[b.doc[at]]) if len(at) else np.zeros(0, bool)
         same = np.ones(len(at), bool)
         for j in range(k):                             # sources in the block are compared at once
             same[inside] &= b.codes[at[inside] + j] == b.codes[sp[inside] + j]
