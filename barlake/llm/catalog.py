@@ -1,6 +1,6 @@
 """Queries of the training-data operators (registered on import)."""
 
-from . import bpe, kd_sharding, mixing, pii, quality, simhash, substring, topk_search, url_reputation  # noqa: F401
+from . import bpe, chat, kd_sharding, mixing, pii, quality, simhash, substring, topk_search, url_reputation  # noqa: F401
 from .common import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

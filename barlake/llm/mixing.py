@@ -97,6 +97,17 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         part = part.join(broadcast_if_small(open_.select("key", "prefix")), "key").where(_bucket(r) == F.col("prefix")).drop("prefix")
 
 
+def _plan(docs: DataFrame, size: Column, id_col: str, text_col: str, source_col: str, max_repeat: int):
+    """Slim rows (id, key, size, h), per source its target and whole copies, and its hash threshold."""
+    rows = cut_lineage(docs.select(F.col(id_col).alias("id"), source_key(F.col(source_col)).alias("key"),
+                                   size.alias("size"), row_hash(id_col, text_col).alias("h")))
+    targets = source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), max_repeat)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    targets = cut_lineage(targets.withColumn("whole", whole))
+    budgets = targets.select("key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
+    return rows, targets, hash_thresholds(rows, budgets)
+
+
 def mix_sources(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", max_repeat: int = MAX_REPEAT) -> DataFrame:
     """How often the mix takes each row: (doc_id, size, source_size, target, copies).
@@ -107,18 +118,27 @@ def mix_sources(docs: DataFrame, size: Column | None = None, id_col: str = "doc_
     * Other columns are not read, so clashing names do not matter.
     """
     size = word_count(F.col(text_col)) if size is None else size
-    rows = cut_lineage(docs.select(F.col(id_col).alias("id"), source_key(F.col(source_col)).alias("key"),
-                                   size.alias("size"), row_hash(id_col, text_col).alias("h")))
-    targets = cut_lineage(source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), max_repeat))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    targets = targets.withColumn("whole", whole)
-    budgets = targets.select("key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
-    t = targets.join(hash_thresholds(rows, budgets), "key")
-    out = rows.join(broadcast_if_small(cut_lineage(t)), "key")
+    rows, targets, thresholds = _plan(docs, size, id_col, text_col, source_col, max_repeat)
+    out = rows.join(broadcast_if_small(cut_lineage(targets.join(thresholds, "key"))), "key")
     copies = F.col("whole") + ((F.col("h") <= F.col("threshold")) & (F.col("whole") < max_repeat)).cast("long")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"))
 
 
+def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; rows are filtered and repeated in place, not shuffled.
+
+    Same cases as ``mix_sources``; all columns pass through.
+    """
+    targets, thresholds = _plan(docs, word_count(F.col(text_col)), id_col, text_col, source_col, max_repeat)[1:]
+    t = cut_lineage(targets.join(thresholds, "key").select(F.col("key").alias("_key"), F.col("whole").alias("_whole"), F.col("threshold").alias("_threshold")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("_row"), source_key(F.col(source_col)).alias("_key"), row_hash(id_col, text_col).alias("_h"))
+    copies = (F.col("_whole") + ((F.col("_h") <= F.col("_threshold")) & (F.col("_whole") < max_repeat)).cast("long")).cast("int")
+    return (rows.join(broadcast_if_small(t), "_key").select("_row", F.explode(F.array_repeat(F.lit(True), copies)).alias("_copy"))
+            .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
+
+
 SQL = f"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '2' ELSE '1' || source END AS key,
