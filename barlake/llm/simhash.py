@@ -88,7 +88,9 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                       for m in masks])
     balls = members.select("t", "fp", F.explode(F.get(flips, F.col("t"))).alias("flip"))
     balls = balls.select("t", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"))
-    low = balls.groupBy("t", "centre").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1")
+    # any two members of a ball differ by two bits at most; by one only if one of them is its centre
+    hub = F.min("fp") if radius == 2 else F.max(F.when(F.col("fp") == F.col("centre"), F.col("fp")))
+    low = balls.groupBy("t", "centre").agg(hub.alias("low"), F.count("*").alias("n")).where("n > 1 AND low IS NOT NULL")
     links = balls.join(low, ["t", "centre"]).where("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b")).distinct()
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
