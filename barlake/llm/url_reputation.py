@@ -73,14 +73,14 @@ def _level(groups: DataFrame, key: str, parent_mean: str) -> DataFrame:
 
 
 def host_reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Reputation of every host in ``hosts(host)`` from ``outcomes(host, bad 0/1)``.
+    """Reputation of every host in ``hosts(host)`` or ``outcomes(host, bad 0/1)``.
 
     Returns host, domain, suffix, n, bad, mean, bound (lower posterior bound of
     the rate of bad pages).  Without any outcome the prior rate is one half.
     """
     counts = outcomes.where("bad IS NOT NULL").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     domain, suffix = domain_levels(F.col("host"))
-    h = cut_lineage(hosts.select("host").distinct().join(counts, "host", "left").na.fill(0, ["n", "bad"])
+    h = cut_lineage(hosts.select("host").distinct().join(counts, "host", "full").na.fill(0, ["n", "bad"])
                     .withColumn("domain", domain).withColumn("suffix", suffix))
     root = h.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("root_mean"))
     total = lambda key: h.groupBy(key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
