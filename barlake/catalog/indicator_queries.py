@@ -31,38 +31,38 @@ def _ma(period, name):
     return lambda d, p: ind.moving_average(d, p, period, name)
 
 
-@query("price_change", _sql("pc", ["price_change"]))
+@query("price_change", _sql("points", ["price_change"]))
 def q_price_change(spark, sf_dir):
     return _steps(spark, sf_dir, 1, [ind.price_change], ["price_change"])
 
 
-@query("gain_loss", _sql("gl", ["gain", "loss"]))
+@query("gain_loss", _sql("points", ["gain", "loss"]))
 def q_gain_loss(spark, sf_dir):
     return _steps(spark, sf_dir, 1, [ind.price_change, ind.gain_loss], ["gain", "loss"])
 
 
-@query("avg_gain_loss_14", _sql("agl", ["avg_gain", "avg_loss"]))
+@query("avg_gain_loss_14", _sql("points", ["avg_gain", "avg_loss"]))
 def q_avg_gain_loss(spark, sf_dir):
     return _steps(spark, sf_dir, 14, [ind.price_change, ind.gain_loss, ind.avg_gain_loss],
                   ["avg_gain", "avg_loss"])
 
 
-@query("rsi_14", _sql("rsi", ["rsi_14"]))
+@query("rsi_14", _sql("points", ["rsi_14"]))
 def q_rsi(spark, sf_dir):
     return _steps(spark, sf_dir, 14, [ind.rsi_steps], ["rsi_14"])
 
 
-@query("sma_20", _sql("wi", ["sma_20"]))
+@query("sma_20", _sql("points", ["sma_20"]))
 def q_sma(spark, sf_dir):
     return _steps(spark, sf_dir, 19, [_ma(20, "sma_20")], ["sma_20"])
 
 
-@query("ema_50", _sql("wi", ["ema_50"]))
+@query("ema_50", _sql("points", ["ema_50"]))
 def q_ema50(spark, sf_dir):
     return _steps(spark, sf_dir, 49, [_ma(50, "ema_50")], ["ema_50"])
 
 
-@query("ema_12_26", _sql("wi", ["ema_12", "ema_26"]))
+@query("ema_12_26", _sql("points", ["ema_12", "ema_26"]))
 def q_ema_12_26(spark, sf_dir):
     return _steps(spark, sf_dir, 25, [_ma(12, "ema_12"), _ma(26, "ema_26")], ["ema_12", "ema_26"])
 
@@ -72,12 +72,12 @@ def q_bollinger(spark, sf_dir):
     return _steps(spark, sf_dir, 19, [ind.bollinger], ["bb_upper", "bb_middle", "bb_lower"])
 
 
-@query("macd", _sql("mf", ["macd"]))
+@query("macd", _sql("points", ["macd"]))
 def q_macd(spark, sf_dir):
     return _steps(spark, sf_dir, 25, [ind.macd], ["macd"])
 
 
-@query("macd_signal", _sql("mf", ["macd", "macd_signal"]))
+@query("macd_signal", _sql("points", ["macd", "macd_signal"]))
 def q_macd_signal(spark, sf_dir):
     return _steps(spark, sf_dir, 33, [ind.macd, ind.macd_signal], ["macd", "macd_signal"])
 

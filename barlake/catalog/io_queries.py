@@ -12,6 +12,7 @@ from ..sources import messages as M
 from ..sources.adapters import event_candles
 from .base import WITH_CANDLES, WITH_UNIFIED, r, round_doubles, unified
 from .registry import query
+from .relational_queries import DIM_SYMBOLS_SQL
 
 HIST_SQL = f"""{WITH_CANDLES}, hist AS (SELECT symbol, timestamp AS open_time, open, high, low, close, volume,
   volume * close AS quote_volume, trades, volume / 2 AS taker_buy_base, volume * close / 2 AS taker_buy_quote FROM candles)"""
@@ -128,9 +129,7 @@ def q_jsonl(spark, sf):
     return round_doubles(back.select(*_UNI))
 
 
-@query("overwrite_dimension", f"""{WITH_CANDLES} SELECT symbol, CASE WHEN symbol = 'BTCUSDT' THEN 'Bitcoin'
-  WHEN symbol = 'ETHUSDT' THEN 'Ethereum' WHEN symbol = 'SOLUSDT' THEN 'Solana' ELSE 'Autres' END AS symbole_libelle,
-  'USDT' AS devise_cotation, 'Tether' AS devise_cotation_nom FROM (SELECT DISTINCT symbol FROM candles)""")
+@query("overwrite_dimension", f"{WITH_CANDLES}, {DIM_SYMBOLS_SQL} SELECT * FROM dim_symbols")
 def q_overwrite_dim(spark, sf):
     path = FS.new_table_path(spark, "dim_symboles")
     dim = D.dim_symbols(event_candles(spark, sf))

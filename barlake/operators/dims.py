@@ -16,7 +16,8 @@ from ..plans.joins import broadcast_if_small
 SYMBOL_LABELS = {"BTCUSDT": "Bitcoin", "ETHUSDT": "Ethereum", "SOLUSDT": "Solana"}
 OTHER_LABEL = "Autres"
 QUOTE_CURRENCY, QUOTE_CURRENCY_NAME = "USDT", "Tether"
-# Working hours [6, 18] inclusive; rush hours [7, 10) and [16, 19).
+# Fixed bounds: 24 hours; working hours [6, 18] inclusive; rush hours [7, 10) and [16, 19).
+HOURS = 24
 WORK_START, WORK_END = 6, 18
 RUSH = [(7, 10), (16, 19)]
 
@@ -57,9 +58,10 @@ def hour_attributes(hours: DataFrame) -> DataFrame:
 
 
 def dim_hours(fact: DataFrame, hour_col: str = "hour") -> DataFrame:
-    """Hour rows generated over the fact's [min hour, max hour] (0..23 on full days)."""
-    rng = fact.agg(F.min(hour_col).alias("h0"), F.max(hour_col).alias("h1"))
-    return hour_attributes(rng.select(F.explode(F.sequence("h0", "h1")).alias("hours")))
+    """All 24 hours of a day, whichever the fact holds; an hour outside 0..23 in the fact is an error."""
+    wrong = F.count_if(~F.col(hour_col).between(0, HOURS - 1))
+    one = fact.agg(F.when(wrong > 0, F.raise_error(F.lit("hour outside 0..23"))).otherwise(F.sequence(F.lit(0), F.lit(HOURS - 1))).alias("h"))
+    return hour_attributes(one.select(F.explode("h").alias("hours")))
 
 
 def dim_symbols(raw: DataFrame) -> DataFrame:

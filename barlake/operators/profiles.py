@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import (WEEKDAYS_MONDAY_FIRST, base_asset, equal_width_bin, sample_kurtosis,
                                sample_skewness, trading_session)
 from ..plans.chunked import plan_chunks
-from ..plans.joins import checked_broadcast
+from ..plans.joins import checked_broadcast, null_safe_join
 from ..plans.quantiles import MAX_BUFFERED_GROUP, exact_quantiles
 from . import series as S
 
@@ -129,9 +129,13 @@ def weekday_profile(df: DataFrame) -> DataFrame:
     return reindex_spine(g, weekday_spine(df.sparkSession), "day_of_week", "day_order")
 
 
-def reindex_spine(df: DataFrame, spine: DataFrame, key: str, order: str) -> DataFrame:
-    """pandas ``reindex``: every spine label once, in spine order, missing -> NULL."""
-    return F.broadcast(spine).join(df, key, "left").orderBy(order)
+def reindex_spine(df: DataFrame, spine: DataFrame, key: str, order: str, per: list[str] | None = None) -> DataFrame:
+    """pandas ``reindex``: every spine label once (per group of ``per``), in spine order, missing -> NULL."""
+    if not per:
+        return F.broadcast(spine).join(df, key, "left").orderBy(order)
+    labels = [F.struct(*[F.lit(v).alias(c) for c, v in row.asDict().items()]) for row in spine.collect()]   # a fixed short list
+    every = df.select(*per).distinct().select(*per, F.explode(F.array(*labels)).alias("__s")).select(*per, "__s.*")
+    return null_safe_join(every, df, [*per, key], "left").orderBy(*per, order)
 
 
 def by_symbol_hour(df: DataFrame, expr, name: str) -> DataFrame:
@@ -180,21 +184,24 @@ def return_stats(df: DataFrame) -> DataFrame:
 def corr_long(df: DataFrame, cols: list[str], a_name: str = "col_a", b_name: str = "col_b") -> DataFrame:
     """Pairwise-complete Pearson matrix in long form; NULL for zero variance.
 
-    One aggregation pass computes the unique pairs (i <= j); the matrix is
-    symmetric, so each off-diagonal value is emitted for both orders.
+    Every row gives its unique pairs (i <= j) with both values present, and
+    one set of three aggregates per pair is summed map-side: the number of
+    aggregate buffers does not grow with the columns.  Each off-diagonal value
+    is emitted for both orders.
     """
-    exprs, cells = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-            exprs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"{a}__{b}"))
-            cells.append((a, b, f"{a}__{b}"))
-            if a != b:
-                cells.append((b, a, f"{a}__{b}"))
-    one = df.agg(*exprs)
-    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias(a_name), F.lit(b).alias(b_name),
-                                                   F.col(c).alias("corr")) for a, b, c in cells])).alias("kv")).select("kv.*")
+    value = {c: F.col(c).cast("double") for c in cols}
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value[a].alias("x"), value[b].alias("y"))
+                      for i, a in enumerate(cols) for b in cols[i:]])
+    both = F.filter(pairs, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    g = df.select(F.explode(both).alias("p")).groupBy("p.a", "p.b").agg(
+        F.covar_pop("p.x", "p.y").alias("c"), F.stddev_pop("p.x").alias("sx"), F.stddev_pop("p.y").alias("sy"))
+    g = g.select("a", "b", F.try_divide("c", F.col("sx") * F.col("sy")).alias("corr"))
+    # pairs without a common row stay in the matrix
+    grid = df.sparkSession.createDataFrame([(a, b) for i, a in enumerate(cols) for b in cols[i:]], "a string, b string")
+    g = F.broadcast(grid).join(g, ["a", "b"], "left")                       # len(cols)^2 rows
+    both_orders = F.array_distinct(F.array(F.struct(F.col("a").alias(a_name), F.col("b").alias(b_name)),
+                                           F.struct(F.col("b").alias(a_name), F.col("a").alias(b_name))))
+    return g.select(F.explode(both_orders).alias("k"), "corr").select("k.*", "corr")
 
 
 def feature_corr_matrix(df: DataFrame) -> DataFrame:
@@ -216,7 +223,7 @@ def pivot_returns_ffill(df: DataFrame, symbols: list[str]) -> DataFrame:
     seen, its own pct_change when present, and NULL up to its first row; so
     the kept grid rows are those after every symbol's first timestamp.
     """
-    r = S.with_returns(df.select("symbol", "timestamp", "close"), "ret", scale=None)
+    r = S.with_returns(df.select("symbol", "timestamp", "close").where(F.col("symbol").isin(symbols)), "ret", scale=None)
     start = (r.groupBy("symbol").agg(F.min("timestamp").alias("t0"))
              .agg(F.max("t0").alias("__start")).withColumn("__k", F.lit(1)))
     p = r.groupBy("timestamp").pivot("symbol", symbols).agg(F.first("ret")).withColumn("__k", F.lit(1))

@@ -21,8 +21,11 @@ buffer the whole series.  The helpers here split each series into
 * unbounded prefix frames (running max, first value) combine a per-chunk
   result with a prefix over the tiny chunk summary.
 
-Buckets are time units (``date_trunc``), never split; their row count is
-bounded by bars-per-bucket once ``(key, timestamp)`` is unique.
+Buckets are time units (``date_trunc``).  Their width is chosen per key: sparse
+keys get wider buckets, so that a summary is never as large as its table, and
+keys with a bucket above the chunk size get narrower ones, down to a second.
+Keys and times may be NULL: joins treat NULL as a value, and NULL times come
+first, as they do in a plain window.
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
+
 # Summaries with at most this many rows are broadcast (checked by count).
 BROADCAST_SUMMARY_ROWS = 2_000_000
 DEFAULT_CHUNK_ROWS = 250_000
 
 _B, _N, _END, _START, _CHUNK = "__bucket", "__n", "__end", "__start", "__chunk"
-_HALO, _DST = "__halo", "__dst"
+_HALO, _DST, _UNIT = "__halo", "__dst", "__unit"
 
 
 @dataclass
@@ -47,27 +52,40 @@ class ChunkLayout:
     summary: DataFrame
     keys: list[str]
     order: str
-    bucket_unit: str
+    bucket_unit: str           # of keys without an entry in ``units``
     small: bool
     single_chunk: bool = False
     max_rows: int = 0          # longest series: an upper bound for any per-key group
+    units: DataFrame | None = None     # (keys, unit) of keys with another width
+    small_units: bool = True
+
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        """Add each row's bucket, in the width of its key."""
+        if self.units is None:
+            return with_bucket(df, self.order, self.bucket_unit)
+        units = F.broadcast(self.units) if self.small_units else self.units
+        x = null_safe_join(df, units, self.keys, "left")
+        bucket = F.date_trunc(self.bucket_unit, F.col(self.order))
+        for u in UNITS:
+            bucket = F.when(F.col(_UNIT) == u, F.date_trunc(u, F.col(self.order))).otherwise(bucket)
+        return x.withColumn(_B, bucket).drop(_UNIT)
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add bucket, bucket start offset and chunk id to every row."""
         s = self.summary.select(*self.keys, _B, _START, _END, _CHUNK)
         s = F.broadcast(s) if self.small else s
-        return with_bucket(df, self.order, self.bucket_unit).join(s, [*self.keys, _B], "inner")
+        return null_safe_join(self.with_bucket(df), s, [*self.keys, _B])
 
 
 def with_bucket(df: DataFrame, order: str, unit: str) -> DataFrame:
     return df.withColumn(_B, F.date_trunc(unit, F.col(order)))
 
 
-# Buckets averaging fewer rows than this are merged into the next coarser unit
-# (on the small count table, not the data): a daily-bar table must not get a
-# summary as large as itself.
+# Keys whose buckets average fewer rows than this get wider ones (from the small
+# count table, not the data): a daily-bar table must not get a summary as large
+# as itself.
 MIN_BUCKET_ROWS = 8
-COARSER = {"minute": "hour", "hour": "day", "day": "month", "month": "year"}
+UNITS = ["second", "minute", "hour", "day", "month", "year"]
 
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
@@ -75,38 +93,67 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
                 min_bucket_rows: int = MIN_BUCKET_ROWS) -> ChunkLayout:
     """Build the small bucket summary with offsets and chunk ids.
 
-    One pass over the data counts rows per (key, bucket); the summary with
-    offsets is written through a reliable checkpoint and, only while its
-    buckets are sparse, coarsened from itself (never from the data).  Its size
-    is known before choosing a broadcast.
+    One pass over the data counts rows per (key, bucket).  From that summary
+    each key gets its bucket width: the narrowest unit whose buckets hold
+    ``min_bucket_rows`` on average, and a narrower one than ``bucket_unit`` if
+    a bucket exceeds ``chunk_rows`` (only such keys are counted again).  The
+    summary is written through a reliable checkpoint and its size is known
+    before choosing a broadcast.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(_B)
-
-    def offsets(counts: DataFrame) -> DataFrame:
-        return (counts
-                .withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn(_START, F.col(_END) - F.col(_N))
-                .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows)))
-                .checkpoint(eager=True))
-
-    def stats(summary: DataFrame):
-        # one pass over the small summary: size (broadcast choice), last chunk id
-        # (no series longer than one chunk -> plain per-key windows), longest
-        # series (bound for per-key buffers) and rows (bucket density)
-        return summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END), F.sum(_N)).first()
-
-    unit = bucket_unit
-    summary = offsets(with_bucket(df.select(*keys, order), order, unit)
-                      .groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N)))
-    n, top, longest, rows = stats(summary)
-    while unit in COARSER and n and rows / n < min_bucket_rows:
-        unit = COARSER[unit]                 # merge sparse buckets from the summary, not the data
-        summary = offsets(summary.groupBy(*keys, F.date_trunc(unit, F.col(_B)).alias(_B))
-                          .agg(F.sum(_N).alias(_N)))
-        n, top, longest, rows = stats(summary)
-    return ChunkLayout(summary, keys, order, unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
-                       int(longest or 0))
+    at = UNITS.index(bucket_unit)
+
+    def counts(rows: DataFrame, unit: str) -> DataFrame:
+        return with_bucket(rows.select(*keys, order), order, unit).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_N))
+
+    def widths(c: DataFrame) -> DataFrame:
+        """(keys, unit, whether a bucket is too large) from counts in ``bucket_unit``."""
+        wider = UNITS[at + 1:]
+        g = c.groupBy(*keys).agg(F.sum(_N).alias("__rows"), F.count(F.lit(1)).alias("__k0"), F.max(_N).alias("__top"),
+                                 *[F.countDistinct(F.coalesce(F.date_trunc(u, F.col(_B)).cast("string"), F.lit(""))).alias(f"__k{i + 1}")
+                                   for i, u in enumerate(wider)])
+        unit = F.lit(UNITS[-1])
+        for i, u in reversed(list(enumerate([bucket_unit, *wider]))):
+            unit = F.when(F.col("__rows") >= min_bucket_rows * F.col(f"__k{i}"), F.lit(u)).otherwise(unit)
+        return g.select(*keys, unit.alias(_UNIT), (F.col("__top") > chunk_rows).alias("__large"))
+
+    base = counts(df, bucket_unit).checkpoint(eager=True)
+    units = widths(base).checkpoint(eager=True)
+    pieces = []
+    merged = null_safe_join(base, units.where("NOT __large"), keys)
+    bucket = F.col(_B)
+    for u in UNITS[at + 1:]:
+        bucket = F.when(F.col(_UNIT) == u, F.date_trunc(u, F.col(_B))).otherwise(bucket)
+    pieces.append(merged.withColumn(_B, bucket).groupBy(*keys, _B).agg(F.sum(_N).alias(_N)))
+    other = units.where((~F.col("__large")) & (F.col(_UNIT) != bucket_unit)).select(*keys, _UNIT)
+    large = units.where("__large").select(*keys)
+    for u in reversed(UNITS[:at]):                       # narrower, for the keys that need it
+        if large.isEmpty():
+            break
+        mine = counts(null_safe_join(df.select(*keys, order), large, keys, "left_semi"), u).checkpoint(eager=True)
+        still = mine.groupBy(*keys).agg(F.max(_N).alias("__top")).where(F.col("__top") > chunk_rows).select(*keys)
+        still = still.checkpoint(eager=True) if u != UNITS[0] else still.where("false")
+        pieces.append(null_safe_join(mine, still, keys, "left_anti"))
+        other = other.unionByName(null_safe_join(large, still, keys, "left_anti").withColumn(_UNIT, F.lit(u)))
+        large = still
+    if at == 0:
+        pieces.append(null_safe_join(base, large, keys, "left_semi"))
+    all_counts = pieces[0]
+    for p in pieces[1:]:
+        all_counts = all_counts.unionByName(p)
+    summary = (all_counts
+               .withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn(_START, F.col(_END) - F.col(_N))
+               .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows)))
+               .checkpoint(eager=True))
+    # one pass over the small summary: size (broadcast choice), last chunk id (no series longer than
+    # one chunk -> plain per-key windows) and longest series (bound for per-key buffers)
+    n, top, longest = summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END)).first()
+    other = other.checkpoint(eager=True)
+    n_other = other.limit(BROADCAST_SUMMARY_ROWS + 1).count()
+    return ChunkLayout(summary, keys, order, bucket_unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
+                       int(longest or 0), other if n_other else None, n_other <= BROADCAST_SUMMARY_ROWS)
 
 
 def _halo_targets(layout: ChunkLayout, lookback: int) -> DataFrame:
@@ -154,7 +201,7 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: str, lookback: int
         return compute(df, keys)
     targets = _halo_targets(layout, lookback)
     targets = F.broadcast(targets) if layout.small else targets
-    x = with_bucket(df, order, layout.bucket_unit).join(targets, [*keys, _B], "inner")
+    x = null_safe_join(layout.with_bucket(df), targets, [*keys, _B])
     # each row goes to its own chunk, plus (as halo) to every later chunk that needs its bucket
     tags = F.concat(F.array(F.struct(F.col(_CHUNK).alias("c"), F.lit(False).alias("h"))),
                     F.transform(_DST, lambda d: F.struct(d.alias("c"), F.lit(True).alias("h"))))
@@ -189,7 +236,7 @@ def global_row_index(df: DataFrame, keys: Sequence[str], order: str, name: str =
     if with_count:
         tot = layout.summary.groupBy(*keys).agg(F.max(_END).alias(with_count))
         tot = F.broadcast(tot) if layout.small else tot
-        x = x.join(tot, keys, "inner")
+        x = null_safe_join(x, tot, keys)
     return x.drop(_B, _START, _END, _CHUNK)
 
 
@@ -209,17 +256,17 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: str, value: str,
         return df.withColumn(name, f(value).over(w))
     x = layout.attach(df)
     if how == "first":
-        firsts = (df.groupBy(*keys).agg(F.min_by(F.col(value), F.col(order)).alias(name)))
+        firsts = df.groupBy(*keys).agg(F.min_by(F.col(value), F.struct(order)).alias(name))   # a NULL time comes first
         firsts = F.broadcast(firsts) if layout.small else firsts
-        return x.drop(_B, _START, _END, _CHUNK).join(firsts, keys, "left")
+        return null_safe_join(x.drop(_B, _START, _END, _CHUNK), firsts, keys, "left")
     agg = {"max": F.max, "min": F.min, "sum": F.sum}[how]
-    comb = {"max": F.greatest, "min": F.least, "sum": lambda a, b: a + F.coalesce(b, F.lit(0))}[how]
+    comb = {"max": F.greatest, "min": F.least, "sum": lambda a, b: F.coalesce(a, F.lit(0)) + b}[how]
     wl = Window.partitionBy(*keys, _CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = x.withColumn("__loc", agg(value).over(wl))
     per_chunk = x.groupBy(*keys, _CHUNK).agg(agg(value).alias("__cv"))
     wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     prior = per_chunk.withColumn("__prev", agg("__cv").over(wc)).select(*keys, _CHUNK, "__prev")
     prior = F.broadcast(prior) if layout.small else prior
-    out = local.join(prior, [*keys, _CHUNK], "left")
+    out = null_safe_join(local, prior, [*keys, _CHUNK], "left")
     res: Column = F.when(F.col("__prev").isNull(), F.col("__loc")).otherwise(comb(F.col("__loc"), F.col("__prev")))
     return out.withColumn(name, res).drop("__loc", "__prev", _B, _START, _END, _CHUNK)

@@ -20,6 +20,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the key columns are those of ``left``."""
+    names = {k: f"__right_{i}" for i, k in enumerate(on)}
+    r = right
+    for k, v in names.items():
+        r = r.withColumnRenamed(k, v)
+    # a renamed hint is kept: broadcast(right) stays one
+    cond = F.lit(True)
+    for k, v in names.items():
+        cond = cond & left[k].eqNullSafe(r[v])
+    return left.join(r, cond, how).drop(*names.values())
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Materialise a per-key side table once (reliable checkpoint), then broadcast it
     only if its row count is within ``max_rows``.

@@ -1,17 +1,15 @@
 """Exact (linear-interpolated) quantiles without one task per group.
 
-``percentile()`` keeps every distinct value of a group in one aggregation
-buffer, so one hot group (a symbol holding a third of the rows) ends up in
-one task.  Here the values are range-partitioned on (group, value) and sorted
-inside partitions, every row gets its rank inside its group from per-partition
-counts (a tiny summary), and only the 1-2 rows bracketing each requested
-position are kept.  Results equal ``percentile_cont`` / pandas ``quantile``
-(position = p * (n - 1), linear interpolation).
+Values are first counted per (group, value), so ties are one row, and written
+once, range-partitioned on (group, value) with the number of their partition.
+Sums per (partition, group) give every value the ranks it covers inside its
+group, and the values at the two ranks next to each requested position are
+picked by aggregation.  Results equal ``percentile_cont`` / pandas ``quantile``
+(position = p * (n - 1), linear interpolation).  Groups may be NULL.
 
-A first pass counts values per group (a key-sized, checkpointed table).  If
-no group exceeds ``MAX_BUFFERED_GROUP`` values, the built-in exact
-``percentile`` aggregate is bounded per group and used directly; the
-range-partition path only runs when some group is that large.
+If every group is known to hold at most ``MAX_BUFFERED_GROUP`` values, the
+built-in exact ``percentile`` has a bounded buffer per group and gives the
+same rows; that choice changes the plan only.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small, null_safe_join
 
 # Largest group whose values may sit in one aggregation buffer (~16 MB of doubles).
 MAX_BUFFERED_GROUP = 2_000_000
@@ -31,47 +30,41 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     max_buffered: int | None = None, group_rows_bound: int | None = None) -> DataFrame:
     """One row per group with values: ``keys`` + one column per entry of ``probs``."""
     keys = list(keys)
-    spark = df.sparkSession
     x = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    # group sizes first (a key-sized table): when every group is small, the
-    # built-in exact percentile aggregate is bounded per group and cheapest.
-    # A caller that already knows an upper bound (e.g. the longest series from
-    # a chunk layout) skips the sizing pass.
+    # group sizes first (a key-sized table); a caller that knows an upper bound skips that pass
     limit = MAX_BUFFERED_GROUP if max_buffered is None else max_buffered
-    if group_rows_bound is not None and group_rows_bound <= limit:
-        return x.groupBy(*keys).agg(*[F.percentile("__v", p).alias(k) for k, p in probs.items()])
-    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
-    largest = sizes.agg(F.max("__n")).first()[0] or 0
-    if largest <= limit:
-        return x.groupBy(*keys).agg(*[F.percentile("__v", p).alias(k) for k, p in probs.items()])
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (x.repartitionByRange(n, *keys, "__v").sortWithinPartitions(*keys, "__v")
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__li", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
-    # per (partition, group): first local index and row count -> group offsets.
-    # Range partitions cover contiguous key ranges, so this table has about
-    # (#partitions + #groups) rows whatever the data volume: safe to broadcast.
-    part = s.groupBy("__pid", *keys).agg(F.min("__li").alias("__l0"), F.count(F.lit(1)).alias("__c"))
-    wk = Window.partitionBy(*keys).orderBy("__pid")
-    part = (part.withColumn("__off", F.coalesce(F.sum("__c").over(
-                wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("__n", F.sum("__c").over(Window.partitionBy(*keys))))
-    part = F.broadcast(part)
-    ranked = (s.join(part, ["__pid", *keys], "inner")
-              .withColumn("__r", F.col("__off") + F.col("__li") - F.col("__l0")))
-    # needed positions per group and prob: floor and ceil of p * (n - 1)
-    pos = sizes.select(*keys, "__n", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("q"), (F.lit(p) * (F.col("__n") - 1)).alias("pos")) for k, p in probs.items()
-    ])).alias("t")).select(*keys, F.col("t.q").alias("__q"), F.col("t.pos").alias("__pos"))
-    pos = pos.withColumn("__lo", F.floor("__pos")).withColumn("__hi", F.ceil("__pos"))
-    picks = pos.select(*keys, F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__r")).distinct()
-    vals = ranked.join(F.broadcast(picks), [*keys, "__r"], "inner").select(*keys, "__r", "__v")
-    lo = vals.withColumnRenamed("__r", "__lo").withColumnRenamed("__v", "__vlo")
-    hi = vals.withColumnRenamed("__r", "__hi").withColumnRenamed("__v", "__vhi")
-    q = (pos.join(lo, [*keys, "__lo"]).join(hi, [*keys, "__hi"])
-         .withColumn("__val", F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * (F.col("__pos") - F.col("__lo"))))
-    # one row per group that has at least one non-NULL value
-    return q.groupBy(*keys).pivot("__q", list(probs.keys())).agg(F.first("__val"))
+    if group_rows_bound is None:
+        group_rows_bound = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+    if group_rows_bound <= limit:
+        out = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.percentile("__v", p).alias(k) for k, p in probs.items()])
+        return out.where("__n > 0").drop("__n")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    s = (counts.repartitionByRange(n, *keys, "__v").withColumn("__pid", F.spark_partition_id())
+         .checkpoint(eager=True))                        # the partition numbers are data from here on
+    # one row per (partition, group): about #partitions + #groups rows
+    part = s.groupBy("__pid", *keys).agg(F.sum("__c").alias("__pc"))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select("__pid", *keys, F.coalesce(F.sum("__pc").over(before), F.lit(0)).alias("__off"),
+                       F.sum("__pc").over(Window.partitionBy(*keys)).alias("__n")).checkpoint(eager=True)
+    inside = Window.partitionBy("__pid", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (null_safe_join(s.withColumn("__run", F.sum("__c").over(inside)), broadcast_if_small(part), ["__pid", *keys])
+              .withColumn("__end", F.col("__off") + F.col("__run")).withColumn("__start", F.col("__end") - F.col("__c")))
+
+    def at(rank):
+        return F.max(F.when((F.col("__start") <= rank) & (rank < F.col("__end")), F.col("__v")))
+
+    picks = []
+    for k, p in probs.items():
+        pos = F.lit(p) * (F.col("__n") - 1)
+        picks += [at(F.floor(pos)).alias(f"__lo_{k}"), at(F.ceil(pos)).alias(f"__hi_{k}")]
+    g = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *picks).where(F.col("__n").isNotNull())
+    out = []
+    for k, p in probs.items():
+        pos = F.lit(p) * (F.col("__n") - 1)
+        lo, hi = F.col(f"__lo_{k}"), F.col(f"__hi_{k}")
+        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(k))
+    return g.select(*keys, *out)
 
 
 def quantile_sql(value: str, p: float) -> str:

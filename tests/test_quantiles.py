@@ -41,3 +41,11 @@ def test_return_stats_large_group_path_matches(spark, monkeypatch):
                 assert big[s][k] == pytest.approx(v, rel=1e-9, abs=1e-12)
             else:
                 assert big[s][k] == v
+
+
+def test_null_group_ties_and_empty_groups_at_every_limit(spark):
+    rows = [(None, float(i % 3)) for i in range(200)] + [("a", 0.0)] * 400 + [("a", float(i)) for i in range(200)] + [("b", None)] * 5 + [("c", 4.5)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    probs = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
+    runs = [sorted(map(str, exact_quantiles(df, ["g"], "x", probs, max_buffered=m).collect())) for m in (0, 10, 2_000_000)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 3
