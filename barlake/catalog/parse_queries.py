@@ -106,9 +106,9 @@ def q_typed(spark, sf):
 def q_quarantine(spark, sf):
     from ..streaming import jobs as J
     src = J.scratch(spark, "q_ticks")
-    J.write_messages(M.tick_messages(table(spark, sf, "events")), src)
+    J.write_messages_in_order(M.tick_messages(table(spark, sf, "events")), src)
     good, bad = J.scratch(spark, "q_good"), J.scratch(spark, "q_dead_letter")
-    J.split_to_sinks(J.message_stream(spark, src, max_files=10_000), good, bad, bad + "_ck")
+    J.split_to_sinks(J.message_stream(spark, src), good, bad, bad + "_ck")
     return spark.read.parquet(bad).groupBy("reject_reason", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -81,6 +81,32 @@ def write_messages(df: DataFrame, path: str) -> str:
     return path
 
 
+BACKLOG_FILE_ROWS = 200_000
+
+
+def write_messages_in_order(df: DataFrame, path: str, files: int = 3) -> str:
+    """Stage a backlog in event-time order: each file is written after those with earlier events.
+
+    A file source reads files by modification time, so a replay sees ordered
+    events however many files a micro-batch takes, and its watermark drops none.
+    Files hold at most about ``BACKLOG_FILE_ROWS`` messages.
+    """
+    t = F.coalesce(F.get_json_object("value", "$.start_time"), F.get_json_object("value", "$.event_time"))
+    rows = df.select("value", t.alias("__t"))
+    files = max(files, -(-rows.count() // BACKLOG_FILE_ROWS))
+    slices = (rows.repartitionByRange(files, "__t").sortWithinPartitions("__t")
+              .withColumn("__file", F.spark_partition_id()).checkpoint(eager=True))
+    for i in range(files):
+        part = slices.where(F.col("__file") == i).sort("__t").coalesce(1)
+        part.select("value").write.mode("append").text(path)
+    return path
+
+
+def write_batch(batch: DataFrame, batch_id: int, sink: str) -> None:
+    """Write a micro-batch under its id; a batch that runs again replaces what it wrote before."""
+    batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+
 # ---- stream operators -------------------------------------------------------------------
 
 def windowed_candles(v: DataFrame, duration: str = "1 hour", lateness: str = DEFAULT_LATENESS) -> DataFrame:
@@ -104,42 +130,36 @@ def latest_per_key(sink_df: DataFrame, keys: list[str], version: str = "batch_id
 def update_mode_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> str:
     """Update-mode aggregate -> append each batch's changed rows with their batch id."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        write_batch(batch, batch_id, sink)
     run_foreach_batch(df, fn, checkpoint, "update")
     return sink
 
 
 class LateSplitter:
-    """foreachBatch body: rows older than (max event time seen - lateness) go to quarantine.
+    """foreachBatch body: rows older than (max event time of earlier batches - lateness) go to quarantine.
 
-    The only driver-side value is the running max event time (one scalar,
-    recovered from the accepted sink on restart).
+    The only driver-side value is that maximum, one scalar read from what
+    earlier batches wrote, so a batch that runs again decides as before and
+    replaces its own output.
     """
 
     def __init__(self, good_path: str, late_path: str, lateness_seconds: int):
         self.good_path, self.late_path, self.lateness = good_path, late_path, lateness_seconds
-        self.max_seen = None
+
+    def _max_before(self, spark: SparkSession, batch_id: int):
+        if not table_exists(spark, self.good_path):
+            return None
+        return spark.read.parquet(self.good_path).where(F.col("batch_id") < batch_id).agg(F.max("event_ts")).first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self.max_seen is None:
-            try:
-                self.max_seen = spark.read.parquet(self.good_path).agg(F.max("event_ts")).first()[0]
-            except Exception:  # noqa: BLE001  (no sink yet)
-                self.max_seen = None
-        b = batch.withColumn("batch_id", F.lit(batch_id))
-        if self.max_seen is not None:
-            wm = F.lit(self.max_seen).cast("timestamp") - F.expr(f"INTERVAL {self.lateness} SECONDS")
-            is_late = F.col("event_ts") < wm
-        else:
-            is_late = F.lit(False)
-        b = b.withColumn("is_late", is_late).persist()
-        b.where(~F.col("is_late")).drop("is_late").write.mode("append").parquet(self.good_path)
-        b.where(F.col("is_late")).drop("is_late").write.mode("append").parquet(self.late_path)
-        m = b.agg(F.max("event_ts")).first()[0]
+        seen = self._max_before(batch.sparkSession, batch_id)
+        is_late = F.lit(False)
+        if seen is not None:
+            is_late = F.col("event_ts") < F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {self.lateness} SECONDS")
+        b = batch.withColumn("is_late", is_late).persist()
+        write_batch(b.where(F.col("is_late")).drop("is_late"), batch_id, self.late_path)
+        write_batch(b.where(~F.col("is_late")).drop("is_late"), batch_id, self.good_path)
         b.unpersist()
-        if m is not None and (self.max_seen is None or m > self.max_seen):
-            self.max_seen = m
 
 
 def dedupe_stream(v: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
@@ -147,21 +167,31 @@ def dedupe_stream(v: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
     return v.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["symbol", "event_ts"])
 
 
-def health_metrics(v: DataFrame) -> DataFrame:
-    """Attach named observed metrics (received / accepted / rejected / last event time)."""
-    return v.observe("health", F.count(F.lit(1)).alias("received"),
-                     F.count_if(F.col("reject_reason").isNull()).alias("processed"),
-                     F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
-                     F.max(F.unix_micros("event_ts")).alias("last_event_us"))
+def health_counts(v: DataFrame) -> DataFrame:
+    """received / processed / errors / last event time of a batch of validated messages, one row."""
+    return v.agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("reject_reason").isNull()).alias("processed"),
+                 F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
+                 F.max(F.unix_micros("event_ts")).alias("last_event_us"))
+
 
+def stream_health(v: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """Counts of a whole validated stream: each micro-batch writes its own, the totals are their sums."""
+    run_foreach_batch(v, lambda batch, i: write_batch(health_counts(batch), i, sink), checkpoint, "append")
+    return v.sparkSession.read.parquet(sink).agg(
+        *[F.sum(c).alias(c) for c in ("received", "processed", "errors")], F.max("last_event_us").alias("last_event_us"))
 
-def stream_unified_rows(ind: DataFrame) -> DataFrame:
-    """Stateful indicator rows -> 21-column unified rows tagged ``streaming``."""
+
+def stream_unified_rows(ind: DataFrame, keep_late: bool = False) -> DataFrame:
+    """Stateful indicator rows -> 21-column unified rows tagged ``streaming``.
+
+    Late rows are left out, or kept with their flag for a sink that quarantines them.
+    """
     from ..operators.indicators import UNIFIED_COLS
-    x = ind.where(~F.col("late")).withColumn("timestamp", F.col("event_ts").cast("timestamp_ntz"))
+    x = ind if keep_late else ind.where(~F.col("late"))
+    x = x.withColumn("timestamp", F.col("event_ts").cast("timestamp_ntz"))
     x = x.select("*", *time_parts("timestamp")).withColumn("source", F.lit("streaming")) \
          .withColumn("ingestion_timestamp", F.current_timestamp())
-    return x.select(*UNIFIED_COLS)
+    return x.select(*UNIFIED_COLS, *(["late"] if keep_late else []))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -184,8 +214,7 @@ def windowed_group_indicators(v: DataFrame, sink: str, checkpoint: str, duration
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         g = batch.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "rs")
-        (expand_group_lists(g, ["symbol", "window_start"]).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(sink))
+        write_batch(expand_group_lists(g, ["symbol", "window_start"]), batch_id, sink)
 
     run_foreach_batch(lists, fn, checkpoint, "update")
     return sink
@@ -207,7 +236,7 @@ def create_table(spark: SparkSession, schema, path: str, partition_by=("date",))
 
 
 def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partition_by=("date",),
-                             keys=("symbol", "timestamp")):
+                             keys=("symbol", "timestamp"), late_path: str | None = None):
     """Streaming append of unified rows into an existing table (create-never).
 
     Each micro-batch is cast to the fixed 21-column types, rows with a NULL in
@@ -216,13 +245,17 @@ def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partit
     partitions), so a re-executed batch after a failure appends nothing twice.
     Plain batch writes are used, not the streaming file sink: its metadata log
     would hide the table's batch-written files from readers.  An absent table
-    is an error, never created here.
+    is an error, never created here.  Rows flagged ``late`` go to ``late_path``.
     """
     spark = rows.sparkSession
     if not table_exists(spark, path):
         raise FileNotFoundError(f"table {path} does not exist (create-never)")
 
     def fn(batch: DataFrame, batch_id: int) -> None:
+        if late_path:
+            batch = batch.persist()
+            write_batch(batch.where("late"), batch_id, late_path)
+            batch = batch.where("NOT late").drop("late")
         b = PZ.format_for_warehouse(batch, REQUIRED_UNIFIED).persist()
         dates = [r[0] for r in b.select("date").distinct().collect()]      # the few days of one micro-batch
         if dates:
@@ -242,8 +275,8 @@ def split_to_sinks(raw: DataFrame, good_path: str, quarantine_path: str, checkpo
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         good, bad = PZ.split_rejects(b)
-        good.drop("reject_reason", "value").withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(good_path)
-        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_path)
+        write_batch(good.drop("reject_reason", "value"), batch_id, good_path)
+        write_batch(bad, batch_id, quarantine_path)
         b.unpersist()
 
     return run_foreach_batch(v, fn, checkpoint, "append")

@@ -91,12 +91,12 @@ def main() -> None:
     # streaming path: stage message backlogs (ingest), then time the replays
     t0 = time.perf_counter()
     tick_src, candle_src = new_table_path(spark, "bench_ticks"), new_table_path(spark, "bench_candle_msgs")
-    J.write_messages(tick_messages(table(spark, sf_dir, "events")), tick_src)
-    J.write_messages(stream_messages(evc), candle_src)
+    J.write_messages_in_order(tick_messages(table(spark, sf_dir, "events")), tick_src)
+    J.write_messages_in_order(stream_messages(evc), candle_src)
     stage = time.perf_counter() - t0
 
     def stream_tumbling():
-        v = J.validated_stream(J.message_stream(spark, tick_src, max_files=10_000))
+        v = J.validated_stream(J.message_stream(spark, tick_src))
         agg = (v.where(F.col("reject_reason").isNull()).withWatermark("event_ts", J.DEFAULT_LATENESS)
                .groupBy("symbol", F.window("event_ts", "5 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n")))
         sink = new_table_path(spark, "bench_tumbling")
@@ -104,7 +104,7 @@ def main() -> None:
         return spark.read.parquet(sink)
 
     def stream_stateful():
-        v = J.validated_stream(J.message_stream(spark, candle_src, max_files=10_000))
+        v = J.validated_stream(J.message_stream(spark, candle_src))
         good = v.where(F.col("reject_reason").isNull()).drop("reject_reason", "value", "timestamp")
         sink = new_table_path(spark, "bench_stateful")
         J.run_to_parquet(stateful_stream_indicators(good), sink)
