@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from ..functions.exprs import CORE_SYMBOLS
 from ..operators import dims as D
 from ..operators import indicators as ind
+from ..operators import parse as PZ
+from ..session import table
 from ..sources import files as FS
 from ..sources import messages as M
 from ..sources.adapters import event_candles
 from .base import WITH_CANDLES, WITH_UNIFIED, r, round_doubles, unified
 from .registry import query
+from .parse_queries import TICKS_CHECKED
 from .relational_queries import DIM_SYMBOLS_SQL
 
 HIST_SQL = f"""{WITH_CANDLES}, hist AS (SELECT symbol, timestamp AS open_time, open, high, low, close, volume,
@@ -36,7 +39,8 @@ def _written_history(spark, sf):
        + " FROM hist")
 def q_scan_csv(spark, sf):
     path = _written_history(spark, sf)
-    return round_doubles(FS.scan_historical_csv(spark, f"{path}/symbol_dir=*/year=*/*.csv"))
+    rows = FS.scan_historical_csv(spark, f"{path}/symbol_dir=*/year=*/*.csv")
+    return round_doubles(rows.where(F.col(FS.CORRUPT).isNull()).select(*FS.HISTORICAL_COLS))
 
 
 @query("write_csv_by_symbol_year", f"""{HIST_SQL} SELECT lower(symbol) AS symbol_dir, year(open_time) AS year,
@@ -59,14 +63,24 @@ def q_ingest_stats(spark, sf):
     return round_doubles(FS.ingest_stats_by_symbol_year(rows))
 
 
-@query("run_audit_json", f"""{_STATS_SQL} SELECT 'success' AS status, CAST(sum(candles_fetched) AS BIGINT) AS total_candles,
-  count(DISTINCT year) AS total_years, count(DISTINCT symbol) AS total_symbols FROM st""")
+@query("run_audit_json", f"""{_STATS_SQL}, {TICKS_CHECKED},
+  er AS (SELECT reject_reason, count(*) AS n FROM checked WHERE reject_reason IS NOT NULL GROUP BY 1)
+  SELECT CASE WHEN sum(candles_fetched) > 0 THEN 'success' ELSE 'failed' END AS status, CAST(sum(candles_fetched) AS BIGINT) AS total_candles,
+  count(DISTINCT year) AS total_years, count(DISTINCT symbol) AS total_symbols, count(*) AS n_details,
+  (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM er) AS total_errors,
+  (SELECT coalesce(string_agg(reject_reason || ':' || n, ',' ORDER BY reject_reason), '') FROM er) AS errors FROM st""")
 def q_audit(spark, sf):
     stats = FS.ingest_stats_by_symbol_year(historical_rows(spark, sf))
+    bad = PZ.validate_messages(M.tick_messages(table(spark, sf, "events")).select("value")).where("reject_reason IS NOT NULL")
     path = FS.new_table_path(spark, "audit_json")
-    FS.write_audit_json(FS.run_audit(stats, "historical-backfill"), path)
-    back = spark.read.json(path)
-    return back.select("status", "total_candles", "total_years", "total_symbols")
+    FS.write_audit_json(FS.run_audit(stats, "historical-backfill", bad.select(F.col("reject_reason").alias("error_type"))), path + "/runs")
+    FS.write_audit_json(FS.run_audit_details(stats, "historical-backfill"), path + "/details")
+    n = spark.read.json(path + "/details").agg(F.count(F.lit(1)).alias("n_details")).withColumn("__k", F.lit(1))
+    runs = spark.read.schema("status string, total_candles long, total_years long, total_symbols long, total_errors long, "
+                             "errors_by_type array<struct<error_type:string,n:long>>").json(path + "/runs")
+    errors = F.array_join(F.transform("errors_by_type", lambda e: F.concat(e["error_type"], F.lit(":"), e["n"].cast("string"))), ",")
+    return (runs.withColumn("__k", F.lit(1)).join(n, "__k")
+            .select("status", "total_candles", "total_years", "total_symbols", "n_details", "total_errors", errors.alias("errors")))
 
 
 @query("publish_messages", f"""{WITH_CANDLES} SELECT symbol AS key, symbol AS attr_symbol, '1h' AS attr_interval,

@@ -1,7 +1,9 @@
 """Catalog: model training, evaluation and result tables (section 2.12, 2.4, 2.5, 2.8).
 
-Model fits are not SQL-expressible, so most keys are rows-only checks; the
-persistence baseline, prediction errors and metrics are checked against SQL.
+SQL cannot fit the models, but it can say what a right fit must give: row
+counts per split, label variance, and that the optimality conditions hold,
+which the Spark side checks on the data.  The tables of tuned results are
+rows-only.
 Training results are computed once per session and data folder and reused
 by the result-table queries.
 """
@@ -43,45 +45,105 @@ def _results(spark, sf, config: str):
     return spark.read.parquet(_RESULTS[key])
 
 
+def _facts_sql(model: str) -> str:
+    return f"""{TARGET_SQL} SELECT symbol, '{model}' AS model, count(*) FILTER (WHERE split = 'train') AS n_train,
+  count(*) FILTER (WHERE split = 'test') AS n_test, true AS holds FROM tgt GROUP BY symbol"""
+
+
+#: Largest gap of the optimality conditions, relative to the data's scale.
+CONDITION_GAP = 1e-3
+
+
+def _holds(name: str, model, train, test, alpha: float = 1.0) -> bool:
+    """What the theory of the model demands of its fit, checked on the data."""
+    if name == "Linear Regression":
+        return ML.linear_conditions(model, train) < CONDITION_GAP
+    if name == "Ridge":
+        return ML.linear_conditions(model, train, l2=alpha) < CONDITION_GAP
+    if name == "Lasso":
+        return ML.linear_conditions(model, train, l1=alpha) < CONDITION_GAP
+    y = train.agg(F.min("y"), F.max("y"), F.var_pop("y")).first()
+    e = F.col("y") - F.col("prediction")
+    fit = model.transform(train).agg(F.avg(e * e)).first()[0]
+    p = model.transform(test).agg(F.min("prediction"), F.max("prediction")).first()
+    inside = name != "Random Forest" or (y[0] <= p[0] and p[1] <= y[1])      # a forest averages labels it has seen
+    return bool(inside and fit < 0.5 * y[2])
+
+
 def _one_model(name):
+    """Per symbol: rows of both splits and whether the default fit meets its conditions."""
     def fn(spark, sf):
-        return round_doubles(ML.train_per_symbol(_data(spark, sf), CORE_SYMBOLS, "default", only=[name]))
+        d, out = _data(spark, sf), []
+        for sym in CORE_SYMBOLS:
+            train, test = (d.where((F.col("symbol") == sym) & (F.col("split") == s)) for s in ("train", "test"))
+            st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("y").alias("sd")).first()
+            train = train.repartition(max(1, -(-st["n"] // ML.ROWS_PER_TRAIN_PARTITION))).cache()
+            model = ML.default_models(st["n"], st["sd"] or 0.0)[name].fit(train)
+            out.append((sym, name, st["n"], model.transform(test).count(), _holds(name, model, train, test)))
+            train.unpersist()
+        return spark.createDataFrame(out, "symbol string, model string, n_train long, n_test long, holds boolean")
     return fn
 
 
 for _key, _name in [("linear_regression", "Linear Regression"), ("ridge", "Ridge"), ("lasso", "Lasso"),
                     ("random_forest", "Random Forest"), ("gradient_boosting", "Gradient Boosting")]:
-    query(_key)(_one_model(_name))
+    query(_key, _facts_sql(_name))(_one_model(_name))
 
 
-@query("grid_search_cv3")
+GRID_FAMILIES = {"Ridge": ML.RIDGE_GRID, "Lasso": ML.LASSO_GRID}
+
+
+@query("grid_search_cv3", f"""{TARGET_SQL}, fam(model, candidates) AS (VALUES {", ".join(f"('{k}', {len(v)})" for k, v in GRID_FAMILIES.items())})
+  SELECT symbol, model, candidates::BIGINT AS candidates, count(*) AS n_train, true AS chosen_is_best, true AS holds
+  FROM tgt, fam WHERE split = 'train' GROUP BY 1, 2, 3""")
 def q_grid(spark, sf):
+    """Per symbol and family: size of the grid, whether the choice has the lowest mean fold error, and the best fit's conditions."""
     d = _data(spark, sf)
     out = []
     for sym in CORE_SYMBOLS:
         tr = d.where((F.col("symbol") == sym) & (F.col("split") == "train"))
         st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("y").alias("sd")).first()
-        for fam in ("Ridge", "Lasso"):
-            m = ML.grid_search_cv3(tr, fam, st["n"], st["sd"] or 0.0)
-            out.append((sym, fam, float(m.getRegParam())))
-    return spark.createDataFrame(out, "symbol string, model string, best_reg_param double")
-
-
-@query("train_per_symbol")
+        tr = tr.coalesce(max(1, -(-st["n"] // ML.ROWS_PER_TRAIN_PARTITION))).cache()
+        for fam in GRID_FAMILIES:
+            cv = ML.grid_search_cv3(tr, fam, st["n"], st["sd"] or 0.0)
+            grid = [next(iter(m.values())) for m in cv.getEstimatorParamMaps()]
+            reg = cv.bestModel.getRegParam()
+            best = min(zip(cv.avgMetrics, grid))[0] == dict(zip(grid, cv.avgMetrics))[reg]
+            alpha = reg / ML.ridge_penalty(1.0, st["n"], st["sd"]) if fam == "Ridge" else reg
+            out.append((sym, fam, len(grid), st["n"], bool(best), _holds(fam, cv.bestModel, tr, tr, alpha)))
+        tr.unpersist()
+    return spark.createDataFrame(out, "symbol string, model string, candidates long, n_train long, chosen_is_best boolean, holds boolean")
+
+
+@query("train_per_symbol", f"""{TARGET_SQL}, m(model) AS (VALUES {", ".join(f"('{x}')" for x in ML.MODEL_NAMES)}),
+  te AS (SELECT symbol, count(*) AS n_test, avg(y) AS my, var_pop(y) AS vy FROM tgt WHERE split = 'test' GROUP BY symbol)
+  SELECT symbol, model, 'default' AS config, n_test, {r('vy', 'y_variance', 6)}, true AS consistent FROM te, m""")
 def q_train(spark, sf):
-    return round_doubles(_results(spark, sf, "default"))
+    """Every default model per symbol: test rows, label variance, and metrics that agree with each other and with it."""
+    res = _results(spark, sf, "default")
+    te = (_data(spark, sf).where("split = 'test'").groupBy("symbol")
+          .agg(F.count(F.lit(1)).alias("n_test"), F.var_pop("y").alias("vy")))
+    mse = F.col("rmse") * F.col("rmse")
+    agree = F.abs((1 - F.col("r2")) * F.col("vy") - mse) <= 1e-6 * F.greatest(mse, F.lit(1e-9))
+    return (res.join(te, "symbol").select("symbol", "model", "config", "n_test", (F.round("vy", 6) + 0.0).alias("y_variance"),
+                                          (agree & (F.col("mae") <= F.col("rmse") * (1 + 1e-9))).alias("consistent")))
 
 
-@query("save_load_model", f"""{TARGET_SQL} SELECT timestamp, true AS same FROM tgt
-  WHERE symbol = 'BTCUSDT' AND split = 'test'""")
+@query("save_load_model", f"""{TARGET_SQL} SELECT symbol, timestamp, true AS same FROM tgt WHERE split = 'test'""")
 def q_save_load(spark, sf):
-    d = _data(spark, sf).where(F.col("symbol") == "BTCUSDT")
-    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    model = ML.pipeline(ML.lasso(1.0)).fit(train)
-    back = ML.save_and_reload(model, FS.new_table_path(spark, "model_btc_lasso"))
-    a = model.transform(test).select("timestamp", F.col("prediction").alias("p1"))
-    b = back.transform(test).select("timestamp", F.col("prediction").alias("p2"))
-    return a.join(b, "timestamp").select("timestamp", (F.abs(F.col("p1") - F.col("p2")) < 1e-12).alias("same"))
+    """Each symbol's model is saved once, then found and loaded; both predict the same."""
+    from functools import reduce
+    d, out, base = _data(spark, sf), [], FS.new_table_path(spark, "models")
+    for sym in CORE_SYMBOLS:
+        train, test = (d.where((F.col("symbol") == sym) & (F.col("split") == s)) for s in ("train", "test"))
+        path = f"{base}/{sym}/lasso"
+        fresh = ML.pipeline(ML.lasso(1.0)).fit(train)
+        fresh.write().save(path)
+        back = ML.fit_or_load(ML.lasso(100.0), train, path)                 # present: not fitted again
+        a = fresh.transform(test).select("symbol", "timestamp", F.col("prediction").alias("p1"))
+        b = back.transform(test).select("timestamp", F.col("prediction").alias("p2"))
+        out.append(a.join(b, "timestamp").select("symbol", "timestamp", (F.abs(F.col("p1") - F.col("p2")) < 1e-12).alias("same")))
+    return reduce(lambda x, y: x.unionByName(y), out)
 
 
 NAIVE_SQL = f"""{TARGET_SQL}, pr AS (SELECT symbol, split, timestamp, y, close AS prediction FROM tgt WHERE split = 'test')"""

@@ -2,7 +2,7 @@
 
 Model set (fixed to the reference's configurations):
 * Linear Regression - OLS;
-* Ridge (alpha 1; grid 0.01..100) - squared-L2 with ``regParam = alpha * sd(y) / n``
+* Ridge (alpha 1; grid 0.01..100) - squared-L2 with ``regParam = alpha * sd(y) / n``, solved in closed form
   (MLlib scales the label internally; this makes it equal to closed-form ridge);
 * Lasso (alpha 1; grid 0.01..10) - ``elasticNetParam = 1, regParam = alpha``;
 * Random Forest - 100 trees, unlimited depth (MLlib max 30), all features;
@@ -34,6 +34,7 @@ LASSO_GRID = [0.01, 0.1, 1, 10]
 RF_TREES, RF_DEPTHS, RF_MIN_SPLIT = [100, 200], [10, 20, None], [2, 5]
 MAX_TREE_DEPTH = 30
 SEED = 42
+TREE_MEMORY_MB = 1024       # statistics of a tree level: fewer passes over the rows
 MODEL_NAMES = ["Linear Regression", "Ridge", "Lasso", "Random Forest", "Gradient Boosting"]
 # Iterative learners run one job per iteration / tree level: size training
 # partitions by rows so big symbols stay parallel and small ones skip task overhead.
@@ -51,9 +52,14 @@ def _min_instances(min_split: int) -> int:
     return max(1, min_split // 2)
 
 
+def ridge_penalty(alpha: float, n: int, y_sd: float) -> float:
+    """MLlib's regParam of a ridge ``alpha``: the normal solver divides by the population deviation of the label."""
+    return alpha * y_sd * ((n - 1) / n) ** 0.5 / n
+
+
 def ridge(alpha: float, n: int, y_sd: float) -> LinearRegression:
-    return LinearRegression(labelCol="y", regParam=alpha * y_sd / n, elasticNetParam=0.0, standardization=False,
-                            solver="l-bfgs", maxIter=1000, tol=1e-10)
+    return LinearRegression(labelCol="y", regParam=ridge_penalty(alpha, n, y_sd), elasticNetParam=0.0, standardization=False,
+                            solver="normal")
 
 
 def lasso(alpha: float) -> LinearRegression:
@@ -64,7 +70,7 @@ def lasso(alpha: float) -> LinearRegression:
 def random_forest(trees: int = 100, depth: int | None = None, min_split: int = 2) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol="y", numTrees=trees, maxDepth=depth or MAX_TREE_DEPTH,
                                  minInstancesPerNode=_min_instances(min_split), featureSubsetStrategy="all",
-                                 seed=SEED)
+                                 seed=SEED, maxMemoryInMB=TREE_MEMORY_MB)
 
 
 def gradient_boosting(tuned: bool = False) -> GBTRegressor:
@@ -87,31 +93,30 @@ def with_time_folds(train: DataFrame, k: int = 3) -> DataFrame:
 
 
 def grid_search_cv3(train: DataFrame, name: str, n: int, y_sd: float, parallelism: int = 8):
-    """Best estimator of a model family by 3-fold contiguous CV on MSE."""
+    """3-fold contiguous CV on MSE over the grid of a model family: best model, grid and mean errors."""
     ev = RegressionEvaluator(labelCol="y", metricName="mse")
     if name == "Ridge":
-        est = LinearRegression(labelCol="y", elasticNetParam=0.0, standardization=False, solver="l-bfgs",
-                               maxIter=1000, tol=1e-10)
-        grid = ParamGridBuilder().addGrid(est.regParam, [a * y_sd / n for a in RIDGE_GRID]).build()
+        est = LinearRegression(labelCol="y", elasticNetParam=0.0, standardization=False, solver="normal")
+        grid = ParamGridBuilder().addGrid(est.regParam, [ridge_penalty(a, n, y_sd) for a in RIDGE_GRID]).build()
     elif name == "Lasso":
         est = LinearRegression(labelCol="y", elasticNetParam=1.0, standardization=False, maxIter=1000, tol=1e-10)
         grid = ParamGridBuilder().addGrid(est.regParam, LASSO_GRID).build()
     elif name == "Random Forest":
-        est = RandomForestRegressor(labelCol="y", featureSubsetStrategy="all", seed=SEED)
+        est = RandomForestRegressor(labelCol="y", featureSubsetStrategy="all", seed=SEED, maxMemoryInMB=TREE_MEMORY_MB)
         grid = (ParamGridBuilder().addGrid(est.numTrees, RF_TREES)
                 .addGrid(est.maxDepth, [d or MAX_TREE_DEPTH for d in RF_DEPTHS])
                 .addGrid(est.minInstancesPerNode, [_min_instances(m) for m in RF_MIN_SPLIT]).build())
     else:
         raise ValueError(name)
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", parallelism=parallelism)
-    return cv.fit(with_time_folds(train)).bestModel
+    return cv.fit(with_time_folds(train))
 
 
 def tuned_models(train: DataFrame, n: int, y_sd: float, grid_rf: bool = True) -> dict:
     """Tuned set: CV for Ridge, Lasso (and Random Forest); fixed tuned boosting."""
     return {"Linear Regression": LinearRegression(labelCol="y", regParam=0.0, solver="normal"),
-            "Ridge": grid_search_cv3(train, "Ridge", n, y_sd), "Lasso": grid_search_cv3(train, "Lasso", n, y_sd),
-            "Random Forest": grid_search_cv3(train, "Random Forest", n, y_sd) if grid_rf else random_forest(),
+            "Ridge": grid_search_cv3(train, "Ridge", n, y_sd).bestModel, "Lasso": grid_search_cv3(train, "Lasso", n, y_sd).bestModel,
+            "Random Forest": grid_search_cv3(train, "Random Forest", n, y_sd).bestModel if grid_rf else random_forest(),
             "Gradient Boosting": gradient_boosting(tuned=True)}
 
 
@@ -169,10 +174,42 @@ def train_per_symbol(data: DataFrame, symbols: list[str], config: str = "default
 
 
 def save_and_reload(model: PipelineModel | object, path: str):
-    """Persist a fitted model/pipeline and load it back (reuse when present)."""
+    """Persist a fitted model/pipeline and load it back."""
     model.write().overwrite().save(path)
     return PipelineModel.load(path) if isinstance(model, PipelineModel) else type(model).load(path)
 
 
+def fit_or_load(est, train: DataFrame, path: str) -> PipelineModel:
+    """The model saved at ``path`` if there is one, else a new fit saved there."""
+    spark = train.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        pipeline(est).fit(train).write().save(path)
+    return PipelineModel.load(path)
+
+
+def linear_conditions(model, train: DataFrame, l2: float = 0.0, l1: float = 0.0) -> float:
+    """How far a linear fit is from its optimality conditions, relative to the data's scale (0: exact).
+
+    With residuals r and weights w: x'r = l2 * w for ridge (0 for OLS), and
+    |x'r| / n <= l1, with equality in the sign of w where w is not 0, for lasso.
+    """
+    from pyspark.ml.functions import vector_to_array
+    r = F.col("y") - F.col("prediction")
+    p = model.transform(train).select(r.alias("r"), F.posexplode(vector_to_array("features")).alias("j", "x"))
+    g = p.groupBy("j").agg(F.sum(F.col("r") * F.col("x")).alias("g"), F.sum(F.col("x") * F.col("x")).alias("xx"),
+                           F.sum(F.col("r") * F.col("r")).alias("rr"), F.count(F.lit(1)).alias("n")).collect()
+    worst = 0.0
+    for row in g:                                        # one row per feature
+        w = float(model.coefficients[row["j"]])
+        scale = max((row["xx"] * row["rr"]) ** 0.5, 1e-12)
+        if l1:
+            gap = abs(row["g"] - row["n"] * l1 * (1 if w > 0 else -1)) if w else max(0.0, abs(row["g"]) - row["n"] * l1)
+        else:
+            gap = abs(row["g"] - l2 * w)
+        worst = max(worst, gap / scale)
+    return worst
+
+
 def pipeline(est) -> Pipeline:
     return Pipeline(stages=[est])

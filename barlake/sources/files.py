@@ -26,6 +26,7 @@ HISTORICAL_SCHEMA = T.StructType([
     T.StructField("taker_buy_quote", T.DoubleType()),
 ])
 HISTORICAL_COLS = [f.name for f in HISTORICAL_SCHEMA.fields]
+CORRUPT = "_corrupt"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -48,8 +49,9 @@ def write_csv_by_symbol_year(rows: DataFrame, path: str) -> None:
 
 
 def scan_historical_csv(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Read history CSVs with the fixed schema (no inference); bad lines keep NULLs."""
-    return (spark.read.schema(HISTORICAL_SCHEMA).option("header", True).option("quote", '"')
+    """Read history CSVs with the fixed schema (no inference); a bad line stays whole in ``_corrupt``."""
+    return (spark.read.schema(T.StructType([*HISTORICAL_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())]))
+            .option("header", True).option("quote", '"').option("columnNameOfCorruptRecord", CORRUPT)
             .option("mode", "PERMISSIVE").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .option("recursiveFileLookup", False).csv(paths))
 
@@ -67,19 +69,31 @@ def ingest_summary(stats: DataFrame) -> DataFrame:
                      F.countDistinct("symbol").alias("total_symbols"))
 
 
-def run_audit(stats: DataFrame, run_id: str, status: str = "success") -> DataFrame:
-    """One audit row: per-year list of per-symbol stats and the run summary."""
-    per_year = (stats.groupBy("year").agg(F.sort_array(F.collect_list(F.struct(
-        "symbol", "candles_fetched", "open_price_min", "open_price_max", "volume_total", "trades_total"))).alias("symbols_processed")))
-    years = per_year.agg(F.sort_array(F.collect_list(F.struct("year", "symbols_processed"))).alias("years"))
-    summ = ingest_summary(stats)
-    return (years.withColumn("__k", F.lit(1)).join(summ.withColumn("__k", F.lit(1)), "__k").drop("__k")
-            .select(F.lit(run_id).alias("execution_id"), F.lit(status).alias("status"),
-                    F.current_date().alias("run_date"), "years", "total_candles", "total_years", "total_symbols"))
+def run_audit(stats: DataFrame, run_id: str, errors: DataFrame | None = None) -> DataFrame:
+    """One audit row of a run: totals, errors by type and the status they imply.
+
+    ``errors`` has one row per error with its ``error_type``.  A run without a
+    single candle has failed; errors beside candles are counted, not fatal.
+    """
+    one = ingest_summary(stats).withColumn("__k", F.lit(1))
+    if errors is None:
+        errors = stats.where("false").select(F.lit("").alias("error_type"))
+    by_type = errors.groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))      # a handful of types
+    err = by_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_errors"),
+                      F.sort_array(F.collect_list(F.struct("error_type", "n"))).alias("errors_by_type")).withColumn("__k", F.lit(1))
+    candles = F.coalesce(F.col("total_candles"), F.lit(0)).cast("bigint")
+    return (one.join(err, "__k").select(
+        F.lit(run_id).alias("execution_id"), F.when(candles > 0, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        F.current_date().alias("run_date"), candles.alias("total_candles"), "total_years", "total_symbols", "total_errors", "errors_by_type"))
+
+
+def run_audit_details(stats: DataFrame, run_id: str) -> DataFrame:
+    """One row per (year, symbol) of a run, next to its audit row."""
+    return stats.select(F.lit(run_id).alias("execution_id"), F.current_date().alias("run_date"), "*")
 
 
 def write_audit_json(audit: DataFrame, path: str) -> None:
-    """Append the audit under ``run_date=YYYY-MM-DD`` folders as JSON."""
+    """Append audit rows under ``run_date=YYYY-MM-DD`` folders as JSON."""
     audit.write.mode("append").partitionBy("run_date").json(path)
 
 
