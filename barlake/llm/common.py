@@ -39,6 +39,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by_key(df: DataFrame, key: str, name: str, buckets: int) -> DataFrame:
+    """Like ``written``, in hash buckets of ``key``: later joins and groups by ``key`` read it without a shuffle."""
+    spark = df.sparkSession
+    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, table)).saveAsTable(table)
+    out = spark.table(table)
+    out.schema                                           # resolved: the files stay when the name goes
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def word_array(text: Column) -> Column:
     """Words of a text, split at ASCII white space only; NULL text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_PATTERN), lambda w: w != F.lit(""))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import block_names, parts_for, sized_batches, unzip_array, unzip_fields, unzip_strings, zip_array, zip_fields, zip_strings
-from .common import query, read_table, written
+from .common import query, read_table, written, written_by_key
 
 WINDOW = 13
 SEED_WORDS = 5
@@ -353,7 +353,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "
     """
     parts = 1 << (parts_for(docs.count()).bit_length() - 1)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    blocks = written(rows.mapInArrow(_pack_blocks(block_bytes), _MESSAGE), "substring-blocks").select("block", "data")
+    blocks = written_by_key(rows.mapInArrow(_pack_blocks(block_bytes), _MESSAGE), "block", "substring_blocks", parts).select("block", "data")
     result, todo = None, None
     for seed in range(MAX_RUNS):
         found = _run(blocks, parts, window, seed_words, seed, hash_bits)
