@@ -86,4 +86,4 @@ def block_names():
 
 def parts_for(rows: int) -> int:
     """Number of parts of a key space for a table of ``rows`` documents."""
-    return max(16, min(1 << 16, rows // 2000))
+    return max(16, min(1 << 20, rows // 2000))
