@@ -199,7 +199,61 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None, text_col
         F.col("_m.word_distance").alias("word_distance"), (~failed & ~diverges).alias("kept")).alias(out))
 
 
-@query("op6_quality_divergence")
+def _sql() -> str:
+    patterns = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "mark": r"[!-/:-@\[-`{-~]", "letters": r"\p{L}", "space": r"[\x20\x09-\x0D]"}
+    gone = ", ".join(f"length(t) - length(regexp_replace(t, '{x}', '', 'g')) AS {n}" for n, x in patterns.items())
+    def distance(name: str, pairs: str) -> str:
+        """Jensen-Shannon distance of the histograms p and q given as rows (doc_id, i, p, q)."""
+        part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((p + q) / 2)) ELSE 0 END"
+        return f"""{name} AS (SELECT doc_id, round(sqrt(greatest(sum({part.format('p')} + {part.format('q')}) / 2, 0)), 9) AS distance FROM
+  (SELECT doc_id, p / nullif(sum(p) OVER (PARTITION BY doc_id), 0) AS p, q / nullif(sum(q) OVER (PARTITION BY doc_id), 0) AS q FROM {pairs})
+  GROUP BY doc_id HAVING count(p) > 0 AND count(q) > 0)"""
+
+    word = r"[^\x20\x09-\x0D]"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}+') AS w FROM documents),
+n AS (SELECT *, {gone} FROM d),
+c AS (SELECT doc_id, lang, unnest([lower, upper, letters - lower - upper, digit, space, mark, length(t) - letters - digit - space - mark]) AS p,
+             unnest(range(7)) AS i FROM n),
+langs AS (SELECT lang, count(*) >= {MIN_REFERENCE_DOCS} AS own FROM d GROUP BY lang),
+cref AS (SELECT lang, i, sum(p) AS q FROM c GROUP BY lang, i),
+cpool AS (SELECT i, sum(p) AS q FROM c GROUP BY i),
+cpair AS (SELECT doc_id, c.p::DOUBLE AS p, (CASE WHEN own THEN cref.q ELSE cpool.q END)::DOUBLE AS q
+          FROM c JOIN langs USING (lang) JOIN cref USING (lang, i) JOIN cpool USING (i)),
+{distance('cdist', 'cpair')},
+x AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
+k AS (SELECT lang, word, count(*) AS n FROM x GROUP BY ALL UNION ALL SELECT NULL, word, count(*) FROM x GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS i, sum(n) OVER (PARTITION BY lang) AS total FROM k),
+top AS (SELECT lang, word, i, n FROM r WHERE i <= {COMMON_WORDS}
+        UNION ALL SELECT lang, NULL, 0, any_value(total) - sum(n) FROM r WHERE i <= {COMMON_WORDS} GROUP BY lang),
+ref AS (SELECT l.lang, top.word, i, n FROM langs l JOIN top ON top.lang IS NOT DISTINCT FROM
+        (CASE WHEN own AND l.lang IN (SELECT lang FROM top WHERE lang IS NOT NULL) THEN l.lang END)),
+own AS (SELECT x.doc_id, ref.word, count(*) AS p FROM x JOIN ref ON ref.lang = x.lang AND ref.word = x.word GROUP BY ALL),
+got AS (SELECT doc_id, sum(p) AS found FROM own GROUP BY doc_id),
+wpair AS (SELECT d.doc_id, (CASE WHEN ref.i = 0 THEN len(w) - coalesce(found, 0) ELSE coalesce(own.p, 0) END)::DOUBLE AS p, ref.n::DOUBLE AS q
+          FROM d JOIN ref USING (lang) LEFT JOIN own ON own.doc_id = d.doc_id AND own.word = ref.word LEFT JOIN got ON got.doc_id = d.doc_id),
+{distance('wdist', 'wpair')},
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+s AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 2], ' ')) AS times FROM g),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM s, (SELECT unnest(range(3)) AS j) WHERE times > 1 GROUP BY doc_id),
+b AS (SELECT doc_id, len(w)::BIGINT AS n_words, (length(t) - space)::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda y: regexp_matches(y, '{word}')) AS ls, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+             CASE WHEN length(t) >= {MIN_CHARS} THEN cdist.distance END AS char_distance,
+             CASE WHEN len(w) >= {MIN_DIVERGENCE_WORDS} THEN wdist.distance END AS word_distance
+      FROM n LEFT JOIN rep USING (doc_id) LEFT JOIN cdist USING (doc_id) LEFT JOIN wdist USING (doc_id)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(char_distance <= {MAX_CHAR_DISTANCE}, true) AND coalesce(word_distance <= {MAX_WORD_DISTANCE}, true) AS kept,
+       char_distance, word_distance
+FROM f
+"""
+
+
+SQL = _sql()
+
+
+@query("op6_quality_divergence", SQL)
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return q.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in (
