@@ -12,7 +12,9 @@ with the table of pieces, whose size the vocabulary bounds.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import zlib
 from functools import lru_cache
 
@@ -23,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import block_names, parts_for, sized_batches, unzip_array, unzip_bytes, unzip_fields, unzip_strings, zip_array, zip_bytes, zip_fields, zip_strings
-from .common import query, read_table, written
+from .common import query, read_table, written_by_key
 
 # A visible character: no white space, separator or control character by any definition.
 _VISIBLE = r"[^\s\p{Z}\p{C}\x{1C}-\x{1F}\x{85}]"
+STEP_WORDS = 1 << 18        # words whose ids are put together at a time
+BLOCK_BYTES = 12 << 20
 WORD_CUT = rf"(?=[ \n]{_VISIBLE})|(?<=\n)(?={_VISIBLE})"
 
 
@@ -75,17 +79,18 @@ def check_tokenizer(path: str) -> None:
 def _pack(parts: int):
     def run(batches):
         names = block_names()
-        for b in sized_batches(batches, "_t"):
+        for b in sized_batches(batches, "_t", BLOCK_BYTES):
             name = next(names)
             lists = b.column("_w")
             words = lists.flatten().cast(pa.binary()).dictionary_encode()
             codes = words.indices.to_numpy(zero_copy_only=False)
             distinct = words.dictionary.to_pylist()
             part = np.fromiter((zlib.crc32(w) for w in distinct), "u4", len(distinct)) % parts
-            order = np.lexsort((np.arange(len(distinct)), part))
-            # words of a block are numbered part by part, in each by frequency in reading order
+            # the r-th most frequent word of part p has number r * parts + p: frequent words get small numbers
+            order = np.lexsort((-np.bincount(codes, minlength=len(distinct)), part))
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
             number = np.empty(len(distinct), "u4")
-            number[order] = np.arange(len(distinct), dtype="u4")
+            number[order] = (np.arange(len(distinct)) - cuts[part[order]]) * parts + part[order]
             counts = np.array(pc.list_value_length(lists).to_pylist(), "<u4") if b.num_rows else np.empty(0, "<u4")
             sink = pa.BufferOutputStream()
             keys = b.select([c for c in b.schema.names if c not in ("_t", "_w")])
@@ -93,7 +98,6 @@ def _pack(parts: int):
                 w.write_batch(keys)
             docs = zip_fields(zip_bytes(sink.getvalue().to_pybytes()), zip_array(counts), zip_array(number[codes].astype("<u4")))
             out_part, out_data = [-1], [docs]
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
             for p in range(parts):
                 mine = order[cuts[p]:cuts[p + 1]]
                 if len(mine):
@@ -108,6 +112,7 @@ def _pack(parts: int):
 def _encode(path: str):
     """Words of a part's blocks -> their ids; each distinct word of the part is encoded once."""
     def run(batches):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # Spark's tasks are the parallelism
         tok, table = load_tokenizer(path), {}
         here = None
         for b in batches:
@@ -127,35 +132,59 @@ def _encode(path: str):
     return run
 
 
-def _assemble(fields: list[str], out: str):
-    """Documents of a block and the ids of its words -> ids of every document, by position."""
+def _assemble(fields: list[str], out: str, parts: int, finish=None):
+    """Documents of a block and the ids of its words -> ids of every document, by position.
+
+    ``finish`` turns each batch of (fields, ids) into the rows to return.
+    """
     def run(docs: pa.Table, ids: pa.Table) -> pa.Table:
         keys, counts, codes = unzip_fields(docs.column("data")[0].as_py())
-        key_table = pa.ipc.open_stream(unzip_bytes(keys)).read_all()
+        key_table = pa.ipc.open_stream(unzip_bytes(keys)).read_all().combine_chunks()
         counts, codes = unzip_array(counts, "<u4").astype("i8"), unzip_array(codes, "<u4")
-        rows = sorted(zip(ids.column("part").to_pylist(), ids.column("data").to_pylist()))
-        got = [[unzip_array(x, "<u4") for x in unzip_fields(d)] for _, d in rows]
-        sizes = np.concatenate([g[0] for g in got]).astype("i8") if got else np.empty(0, "i8")
-        flat = np.concatenate([g[1] for g in got]) if got else np.empty(0, "<u4")
-        starts = np.cumsum(sizes) - sizes
-        arrays, at = [], 0
-        ends = np.cumsum(counts)
-        step = max(1, len(counts) // 16)
-        for i in range(0, len(counts), step):                      # some documents at a time
-            stop = int(ends[min(i + step, len(counts)) - 1])
-            c = codes[at:stop]
+        top = int(codes.max()) + 1 if len(codes) else 0
+        sizes, starts = np.zeros(top, "i8"), np.zeros(top, "i8")
+        flat, filled = [], 0
+        for p, d in zip(ids.column("part").to_pylist(), ids.column("data").to_pylist()):
+            n, words = (unzip_array(x, "<u4") for x in unzip_fields(d))
+            at = np.arange(len(n)) * parts + p
+            sizes[at], starts[at] = n, filled + np.cumsum(n, dtype="i8") - n
+            flat.append(words)
+            filled += len(words)
+        flat = np.concatenate(flat) if flat else np.empty(0, "<u4")
+        batches, at, ends = [], 0, np.cumsum(counts)
+        i = 0
+        while i < len(counts):                                     # some documents at a time
+            j = max(i + 1, int(np.searchsorted(ends, at + STEP_WORDS, side="right")))
+            c = codes[at:int(ends[j - 1])]
             n = sizes[c]
-            total = int(n.sum())
-            pos = np.repeat(starts[c] - (np.cumsum(n) - n), n) + np.arange(total)
-            per_word = np.r_[0, np.cumsum(n)]
-            edge = np.r_[0, ends[i:i + step] - at]
-            arrays.append(pa.ListArray.from_arrays(pa.array(per_word[edge], pa.int32()), pa.array(flat[pos].astype("i4"), pa.int32())))
-            at = stop
-        lists = pa.chunked_array(arrays, pa.list_(pa.int32()))
-        return pa.table([*(key_table.column(f) for f in fields), lists], names=[*fields, out])
+            pos = np.repeat(starts[c] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            edge = np.r_[0, np.cumsum(n)][np.r_[0, ends[i:j] - at]]
+            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(flat[pos].astype("i4"), pa.int32()))
+            rows = key_table.slice(i, j - i).to_batches()
+            columns = [rows[0].column(f) if rows else None for f in fields]
+            b = pa.RecordBatch.from_arrays([*columns, lists], names=[*fields, out])
+            batches.append(finish(b) if finish else b)
+            at, i = int(ends[j - 1]), j
+        return pa.Table.from_batches(batches)
     return run
 
 
+def _coded(docs: DataFrame, tokenizer: str, text_col: str, finish, schema: str, out: str) -> DataFrame:
+    """Cut, pack, encode and assemble; the result has ``schema`` with the other columns as k0, k1, ..."""
+    check_tokenizer(tokenizer)
+    others = [f for f in docs.schema.fields if f.name != text_col]
+    parts = parts_for(docs.count())
+    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    words = F.filter(F.split(t, WORD_CUT), lambda w: w != F.lit(""))
+    # keys are renamed by number: names of other columns can't clash
+    cut = docs.select(*[F.col(f"`{f.name}`").alias(f"k{i}") for i, f in enumerate(others)], t.alias("_t"), words.alias("_w"))
+    packed = written_by_key(cut.mapInArrow(_pack(parts), "block string, part int, data binary"), "block", "bpe_blocks", parts)
+    sent = packed.where("part >= 0")
+    coded = sent.repartition("part").sortWithinPartitions("part").mapInArrow(_encode(tokenizer), "block string, part int, data binary")
+    fields = [f"k{i}" for i in range(len(others))]
+    return packed.where("part < 0").groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_assemble(fields, out, parts, finish), schema)
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """The other columns of ``docs`` and, in place of the text, its ids (array of int).
 
@@ -168,24 +197,20 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "
     * Repeated rows stay repeated and cost their words once; an empty table gives no rows.
     * A word that fills the table travels once per block and is encoded once.
     """
-    check_tokenizer(tokenizer)
     others = [f for f in docs.schema.fields if f.name != text_col]
     if out in [f.name for f in others]:
         raise ValueError(f"docs has a column {out}")
-    parts = parts_for(docs.count())
-    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    words = F.filter(F.split(t, WORD_CUT), lambda w: w != F.lit(""))
-    # keys are renamed by number: names of other columns can't clash
-    cut = docs.select(*[F.col(f"`{f.name}`").alias(f"k{i}") for i, f in enumerate(others)], t.alias("_t"), words.alias("_w"))
-    packed = written(cut.mapInArrow(_pack(parts), "block string, part int, data binary"), "bpe-blocks")
-    sent = packed.where("part >= 0")
-    coded = sent.repartition("part").sortWithinPartitions("part").mapInArrow(_encode(tokenizer), "block string, part int, data binary")
-    fields = [f"k{i}" for i in range(len(others))]
     schema = ", ".join([*(f"k{i} {f.dataType.simpleString()}" for i, f in enumerate(others)), f"`{out}` array<int>"])
-    whole = packed.where("part < 0").groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_assemble(fields, out), schema)
+    whole = _coded(docs, tokenizer, text_col, None, schema, out)
     return whole.select(*[F.col(f"k{i}").alias(f.name) for i, f in enumerate(others)], out)
 
 
+def texts_of(ids: pa.Array, tokenizer: str) -> list[str | None]:
+    """Join ids with the piece table and read the bytes as UTF-8."""
+    pieces = piece_table(tokenizer)
+    return [b"".join([pieces[i] for i in v.values.to_numpy().tolist()]).decode("utf-8", "replace") if v.is_valid else None for v in ids]
+
+
 def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``docs`` with the text of its ids in a new column; invalid UTF-8 becomes U+FFFD, as in the library.
 
@@ -196,37 +221,29 @@ def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "te
         raise ValueError(f"docs has a column {out}")
 
     def run(batches):
-        pieces = piece_table(tokenizer)
         for b in batches:
-            col = b.column(ids_col)
-            texts = [None if x is None else b"".join([pieces[i] for i in x]).decode("utf-8", "replace")
-                     for x in (v.values.to_numpy().tolist() if v.is_valid else None for v in col)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts_of(b.column(ids_col), tokenizer), pa.string())], [*b.schema.names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{out}` string"
     return docs.mapInArrow(run, schema)
 
 
-def add_id_digest(docs: DataFrame, ids_col: str = "ids", out: str = "ids_sha256") -> DataFrame:
-    """sha256 (lowercase hex) of the ids as little-endian unsigned 32-bit integers, in place of the ids."""
-    import hashlib
-
-    keep = [f for f in docs.schema.fields if f.name != ids_col]
-
-    def run(batches):
-        for b in batches:
-            d = [hashlib.sha256(v.values.to_numpy().astype("<u4").tobytes()).hexdigest() for v in b.column(ids_col)]
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in keep), pa.array(d, pa.string())], [*(f.name for f in keep), out])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + f", `{out}` string"
-    return docs.mapInArrow(run, schema)
-
-
 def encode_and_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the round trip over ``docs(doc_id, text)``."""
-    back = decode(encode(docs.select("doc_id", "text"), tokenizer), tokenizer, out="decoded")
-    slim = back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-    return add_id_digest(slim).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the round trip over ``docs(doc_id, text)``.
+
+    The ids are those of ``encode`` and the text that of ``decode``; both are
+    digested where they arise, so that neither travels further.
+    """
+    def finish(b: pa.RecordBatch) -> pa.RecordBatch:
+        ids = b.column("ids")
+        digest = [hashlib.sha256(v.values.to_numpy().astype("<u4").tobytes()).hexdigest() for v in ids]
+        decoded = [hashlib.sha256(t.encode()).hexdigest() for t in texts_of(ids, tokenizer)]
+        return pa.RecordBatch.from_arrays([b.column("k0"), pc.list_value_length(ids).cast(pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())],
+                                          names=["k0", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = _coded(docs.select("doc_id", "text"), tokenizer, "text", finish, f"k0 {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", "ids")
+    return rows.withColumnRenamed("k0", "doc_id")
 
 
 def vocabulary_path() -> str:
