@@ -4,8 +4,8 @@ SQL cannot fit the models, but it can say what a right fit must give: row
 counts per split, label variance, and that the optimality conditions hold,
 which the Spark side checks on the data.  The tables of tuned results are
 rows-only.
-Training results are computed once per session and data folder and reused
-by the result-table queries.
+Model input and training results are written once per content of the source
+and read by every query that needs them.
 """
 
 from __future__ import annotations
@@ -15,34 +15,32 @@ from pyspark.sql import functions as F
 from ..functions.exprs import CORE_SYMBOLS
 from ..operators import features as FT
 from ..operators import ml as ML
-from ..session import cut_lineage
+from ..session import scratch_path, table
 from ..sources import files as FS
+from ..streaming.jobs import table_exists
 from .base import core, r, round_doubles
 from .feature_queries import TARGET_SQL
 from .registry import query
 
-_RESULTS: dict[tuple, str] = {}
-
-
-_INPUTS: dict[tuple, object] = {}
+def _written_once(spark, sf, name: str, build):
+    """A table below the shared folder, named by the content of its source: built if it is not there yet."""
+    ev = table(spark, sf, "events")
+    n, h = ev.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*ev.columns).cast("decimal(38,0)"))).first()
+    path = scratch_path(spark, f"tables/{name}-{n}-{h}")
+    if not table_exists(spark, path + "/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _data(spark, sf):
-    """Model input, checkpointed once: iterative fits must not recompute the feature lineage."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _INPUTS:
-        _INPUTS[key] = cut_lineage(ML.model_input(FT.next_close_target(FT.feature_frame(core(spark, sf)))))
-    return _INPUTS[key]
+    """Model input, written once: iterative fits must not recompute the feature lineage."""
+    return _written_once(spark, sf, "model_input",
+                         lambda: ML.model_input(FT.next_close_target(FT.feature_frame(core(spark, sf)))))
 
 
 def _results(spark, sf, config: str):
-    key = (spark.sparkContext.applicationId, sf, config)
-    if key not in _RESULTS:
-        res = ML.train_per_symbol(_data(spark, sf), CORE_SYMBOLS, config)
-        path = FS.new_table_path(spark, f"model_results_{config}")
-        res.write.mode("overwrite").parquet(path)
-        _RESULTS[key] = path
-    return spark.read.parquet(_RESULTS[key])
+    """Test metrics of every model and symbol, written once and read by all result queries."""
+    return _written_once(spark, sf, f"model_results_{config}", lambda: ML.train_per_symbol(_data(spark, sf), CORE_SYMBOLS, config))
 
 
 def _facts_sql(model: str) -> str:
