@@ -101,10 +101,18 @@ def feature_frame(unified: DataFrame, ratio: float = TRAIN_RATIO) -> DataFrame:
 
 
 def next_close_target(frame: DataFrame) -> DataFrame:
-    """y = close of the next row inside (symbol, split); the last row of each split is dropped."""
-    x = global_row_index(frame, ["symbol", "split"], "timestamp", "__i")
-    nxt = x.select("symbol", "split", (F.col("__i") - 1).alias("__i"), F.col("close").alias("y"))
-    return x.join(nxt, ["symbol", "split", "__i"], "inner").drop("__i")
+    """y = close of the next row inside (symbol, split); the last row of each split is dropped.
+
+    Chunks carry rows from before their start; on mirrored time the next row is
+    the one before, so the target is a lag and the frame is not joined to itself.
+    """
+    def target(df: DataFrame, part: list[str]) -> DataFrame:
+        w = series_window(part, "__mirror")
+        return df.withColumn("y", F.lag("close").over(w)).withColumn("__next", F.lag("timestamp").over(w).isNotNull())
+
+    mirrored = frame.withColumn("__mirror", F.timestamp_micros(-F.unix_micros(F.col("timestamp").cast("timestamp"))))
+    out = chunked_window(mirrored, ["symbol", "split"], "__mirror", 1, target)
+    return out.where("__next").drop("__mirror", "__next")
 
 
 def fit_scaler(train: DataFrame, cols: list[str], keys=("symbol",)) -> DataFrame:

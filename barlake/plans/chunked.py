@@ -118,8 +118,22 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
             unit = F.when(F.col("__rows") >= min_bucket_rows * F.col(f"__k{i}"), F.lit(u)).otherwise(unit)
         return g.select(*keys, unit.alias(_UNIT), (F.col("__top") > chunk_rows).alias("__large"))
 
-    base = counts(df, bucket_unit).checkpoint(eager=True)
-    units = widths(base).checkpoint(eager=True)
+    def offsets(c: DataFrame) -> DataFrame:
+        return (c.withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn(_START, F.col(_END) - F.col(_N))
+                .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows)))
+                .checkpoint(eager=True))
+
+    summary = offsets(counts(df, bucket_unit))
+    base = summary.select(*keys, _B, _N)
+    n, longest = summary.agg(F.count(F.lit(1)), F.max(_END)).first()
+    found = ChunkLayout(summary, keys, order, bucket_unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (longest or 0) <= chunk_rows, int(longest or 0))
+    if found.single_chunk:               # no series longer than one chunk: plain per-key windows, buckets do not matter
+        return found
+    units = widths(base)
+    if units.where((F.col(_UNIT) != bucket_unit) | F.col("__large")).isEmpty():
+        return found
+    units = units.checkpoint(eager=True)
     pieces = []
     merged = null_safe_join(base, units.where("NOT __large"), keys)
     bucket = F.col(_B)
@@ -142,17 +156,11 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order: str = "timestamp",
     all_counts = pieces[0]
     for p in pieces[1:]:
         all_counts = all_counts.unionByName(p)
-    summary = (all_counts
-               .withColumn(_END, F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn(_START, F.col(_END) - F.col(_N))
-               .withColumn(_CHUNK, F.floor(F.col(_START) / F.lit(chunk_rows)))
-               .checkpoint(eager=True))
-    # one pass over the small summary: size (broadcast choice), last chunk id (no series longer than
-    # one chunk -> plain per-key windows) and longest series (bound for per-key buffers)
-    n, top, longest = summary.agg(F.count(F.lit(1)), F.max(_CHUNK), F.max(_END)).first()
+    summary = offsets(all_counts)
+    n, longest = summary.agg(F.count(F.lit(1)), F.max(_END)).first()
     other = other.checkpoint(eager=True)
     n_other = other.limit(BROADCAST_SUMMARY_ROWS + 1).count()
-    return ChunkLayout(summary, keys, order, bucket_unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (top or 0) == 0,
+    return ChunkLayout(summary, keys, order, bucket_unit, (n or 0) <= BROADCAST_SUMMARY_ROWS, (longest or 0) <= chunk_rows,
                        int(longest or 0), other if n_other else None, n_other <= BROADCAST_SUMMARY_ROWS)
 
 
