@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
 from ..session import cut_lineage
-from .common import let, query, read_table, word_array, written
+from .common import let, query, read_table, word_array, word_count, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -117,23 +117,41 @@ def _language(c: Column) -> Column:
 
 
 def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                        common: int = COMMON_WORDS) -> DataFrame:
+                        common: int = COMMON_WORDS, each_text_once: bool = False) -> DataFrame:
     """(lang, chars, words, counts): reference histograms over all rows, one row per language.
 
     ``words`` are the most common words (ties: smaller word first), ``counts``
     theirs and, last, that of all other words.  Languages with few documents
     get the histograms of all documents together; NULL counts as a language.
+
+    Raw sums follow the rows, so copies or one long text can become the
+    reference.  With ``each_text_once`` the histograms of every text are shares
+    that add up to 1 and are divided among its copies: each distinct text of a
+    language weighs the same.  Near copies count as texts of their own.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(_language(F.col(lang_col)).alias("lang"), t.alias("t"))
-    sums = [F.sum(F.get("c", i)).alias(c) for i, c in enumerate(CLASSES)]
-    by_lang = cut_lineage(d.select("lang", char_classes(F.col("t")).alias("c")).groupBy("lang").agg(F.count("*").alias("n_docs"), *sums))
-    tokens = written(d.select("lang", F.explode(word_array(F.col("t"))).alias("word"))
-                     .groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    if each_text_once:
+        d = d.withColumn("h", F.xxhash64("t"))
+        copies = cut_lineage(d.groupBy("lang", "h").agg(F.count("*").alias("copies")).where("copies > 1"))
+        d = d.join(broadcast_if_small(copies), ["lang", "h"], "left").withColumn("weight", 1 / F.coalesce("copies", F.lit(1)))
+        shares = d.select("lang", "weight", char_classes(F.col("t")).alias("c"), (F.col("weight") / F.greatest(F.length("t"), F.lit(1))).alias("w"))
+        sums = [F.sum(F.get("c", i) * F.col("w")).alias(c) for i, c in enumerate(CLASSES)]
+        by_lang = shares.groupBy("lang").agg(F.round(F.sum("weight")).alias("n_docs"), *sums)
+        tokens = (d.select("lang", (F.col("weight") / F.greatest(word_count(F.col("t")), F.lit(1))).alias("w"), F.explode(word_array(F.col("t"))).alias("word"))
+                  .groupBy("lang", "word").agg(F.sum("w").alias("n")))
+        zero = F.lit(0.0)
+    else:
+        sums = [F.sum(F.get("c", i)).alias(c) for i, c in enumerate(CLASSES)]
+        by_lang = d.select("lang", char_classes(F.col("t")).alias("c")).groupBy("lang").agg(F.count("*").alias("n_docs"), *sums)
+        tokens = d.select("lang", F.explode(word_array(F.col("t"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+        zero = F.lit(0).cast("long")
+    by_lang, tokens = cut_lineage(by_lang), written(tokens, "word-counts")
+    most = F.desc(F.round("n", 9))                      # sums of shares differ in the last digits from run to run
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(most, "word"))
     top = tokens.withColumn("r", rank).where(F.col("r") <= common)
     totals = tokens.groupBy("lang").agg(F.sum("n").alias("total"))
-    together = tokens.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(common)
+    together = tokens.groupBy("word").agg(F.sum("n").alias("n")).orderBy(most, "word").limit(common)
 
     def histogram(rows: DataFrame, *keys: str) -> DataFrame:
         found = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "word")))     # at most ``common`` rows
@@ -141,7 +159,7 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
             *keys, F.transform("f", lambda x: x["word"]).alias("words"), F.transform("f", lambda x: -x["m"]).alias("found"))
 
     def with_rest(words: str, found: str, total: str) -> Column:
-        return F.concat(F.col(found), F.array(F.col(total) - F.aggregate(F.col(found), F.lit(0).cast("long"), lambda a, x: a + x)))
+        return F.concat(F.col(found), F.array(F.col(total) - F.aggregate(F.col(found), zero, lambda a, x: a + x)))
 
     pool = (histogram(together.withColumn("one", F.lit(1)), "one")
             .join(totals.agg(F.sum("total").alias("total")).withColumn("one", F.lit(1)), "one")

@@ -26,9 +26,10 @@ def _free_name(docs: DataFrame, name: str) -> str:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or diverge from their language go."""
+    """Documents that fail the base rules or diverge from their language go; copies weigh once in the references."""
     out = _free_name(docs, "quality")
-    return quality.quality_rules(docs, out=out).where(F.col(f"{out}.kept")).select(*[f"`{c}`" for c in docs.columns])
+    refs = quality.language_references(docs, each_text_once=True)
+    return quality.quality_rules(docs, refs, out=out).where(F.col(f"{out}.kept")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

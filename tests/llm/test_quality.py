@@ -110,3 +110,14 @@ def test_repeated_windows_follow_the_definition(spark):
     df = spark.createDataFrame([(t,) for t in ts], "t string")
     got = df.select("t", Q.repeated_window_words(Q.word_array(F.col("t"))).alias("n")).collect()
     assert all(r.n == base(r.t)[4] for r in got)
+
+
+def test_a_third_of_junk_copies_does_not_become_the_reference(spark):
+    import corpus_pipeline
+    rnd = random.Random(7)
+    clean = [(i, " ".join(rnd.choice("the of and to in cat dog run tree blue".split()) + rnd.choice(["", str(rnd.randrange(90))]) for _ in range(120)), "en", None, None)
+             for i in range(60)]
+    junk = " ".join(f"ZQ{rnd.randrange(40)}!!" for _ in range(500))
+    rows = clean + [(1000 + i, junk, "en", None, None) for i in range(30)]
+    out = corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()
+    assert {r.doc_id for r in out} == {r[0] for r in clean}
