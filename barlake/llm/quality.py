@@ -127,7 +127,9 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     Raw sums follow the rows, so copies or one long text can become the
     reference.  With ``each_text_once`` the histograms of every text are shares
     that add up to 1 and are divided among its copies: each distinct text of a
-    language weighs the same.  Near copies count as texts of their own.
+    language weighs the same.  Near copies count as texts of their own.  The
+    pool then stands in only for languages that are within the limits of it
+    themselves; the others with few texts have NULL references and are not judged.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(_language(F.col(lang_col)).alias("lang"), t.alias("t"))
@@ -170,7 +172,16 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
            .select("lang", "n_docs", F.array(*CLASSES).alias("chars"), "words", with_rest("words", "found", "total").alias("counts")))
     big = F.col("n_docs") >= MIN_REFERENCE_DOCS
     refs = own.withColumn("one", F.lit(1)).join(F.broadcast(pool), "one", "left")                    # one row
-    pick = lambda c: F.coalesce(F.when(big, F.col(c)), F.col(f"pool_{c}")).alias(c)
+    fits = {c: F.lit(True) for c in ("chars", "words", "counts")}
+    if each_text_once:
+        shared = tokens.join(F.broadcast(together.select("word")), "word").groupBy("lang").agg(      # at most ``common`` words
+            F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("shared"))
+        refs = refs.join(shared, "lang", "left").join(totals, "lang", "left")
+        found = F.transform("pool_words", lambda w: F.coalesce(F.try_element_at("shared", w), zero))
+        mine = let(found, lambda f: F.concat(f, F.array(F.greatest(F.col("total") - F.aggregate(f, zero, lambda a, x: a + x), zero))))
+        like_pool = F.coalesce(js_distance(mine, F.col("pool_counts")) <= MAX_WORD_DISTANCE, F.lit(False))
+        fits = {"chars": F.coalesce(js_distance(F.col("chars"), F.col("pool_chars")) <= MAX_CHAR_DISTANCE, F.lit(False)), "words": like_pool, "counts": like_pool}
+    pick = lambda c: F.coalesce(F.when(big, F.col(c)), F.when(fits[c], F.col(f"pool_{c}"))).alias(c)
     return cut_lineage(refs.select("lang", pick("chars"), pick("words"), pick("counts")))
 
 

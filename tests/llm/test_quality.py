@@ -121,3 +121,13 @@ def test_a_third_of_junk_copies_does_not_become_the_reference(spark):
     rows = clean + [(1000 + i, junk, "en", None, None) for i in range(30)]
     out = corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()
     assert {r.doc_id for r in out} == {r[0] for r in clean}
+
+
+def test_a_rare_language_unlike_the_pool_stays(spark):
+    import corpus_pipeline
+    rnd = random.Random(8)
+    voc = {"en": "the of and to in cat dog run tree blue".split(), "ru": "и в не на он дом кот лес вода небо".split()}
+    rows = [(i, " ".join(rnd.choice(voc[lang]) + rnd.choice(["", "", ".", f" {rnd.randrange(90)}"]) for _ in range(150)), lang, None, None)
+            for i, lang in enumerate(["en"] * 60 + ["ru"] * 15)]
+    out = corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()
+    assert {r.doc_id for r in out} == {r[0] for r in rows}
