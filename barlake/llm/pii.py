@@ -9,7 +9,9 @@ punctuation, cards keep network digit and check digit, e-mails keep their top
 level domain, names keep script, gender ending and capitals.
 
 A draw is checked against all other surrogates and all detected entities; the
-losers of a collision draw again until all are distinct.  Only documents with
+losers of a collision draw again until all are distinct; from GROW_AFTER
+attempts on they grow or take a larger alphabet, so no format runs out.  A
+credential that only repeats one mark is a mask and stays.  Only documents with
 a mention are shuffled, as mentions; the text of all others passes through.
 Main path: DataFrame functions only.
 """
@@ -25,7 +27,7 @@ from .common import let, query, read_table, written
 
 DEFAULT_KEY = "rotate-me"
 BROADCAST_ENTITIES = 200_000
-MAX_DRAWS = 64
+GROW_AFTER = 8              # attempts in the entity's own format; of names, e-mails and credentials also the step of growth
 
 # Honorifics and given names that mark a personal name, with gender.
 HONORIFICS = {"m": ("Mr", "Herr", "Señor", "Monsieur", "господин"), "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "госпожа")}
@@ -43,6 +45,7 @@ SYLLABLES = {
 ENDINGS = {"latin": {"f": "na", "m": "ron", "u": "sen"}, "cyrillic": {"f": "на", "m": "рин", "u": "ров"}, "greek": {"f": "να", "m": "ρος", "u": "λης"}}
 
 _CREDENTIAL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,8}[=:]\s{0,8}\"?"
+_MASK = r"([!-/:-@\[-`{-~•●·∙…█■])\1*$"
 _NAME = r"\p{Lu}\p{L}+"
 _GIVEN = "|".join(n for g in GIVEN_NAMES.values() for n in g)
 _HONOR = "|".join(h for g in HONORIFICS.values() for h in g)
@@ -77,10 +80,10 @@ def _luhn_sum(digits: Column, extra: int) -> Column:
 
 
 def kind_of(m: Column) -> Column:
-    """Type of a match; NULL if its value is not valid (octets, check digit)."""
+    """Type of a match; NULL if its value is not valid (octets, check digit, mask)."""
     n = F.length(_digits(m))
     octets = F.aggregate(F.split(m, r"\."), F.lit(0), lambda a, o: F.greatest(a, o.try_cast("int")))
-    return (F.when(F.regexp_like(m, F.lit("^" + _CREDENTIAL)), F.lit("credential"))
+    return (F.when(F.regexp_like(m, F.lit("^" + _CREDENTIAL)), F.when(~F.regexp_like(m, F.lit("^" + _CREDENTIAL + _MASK)), F.lit("credential")))
             .when(F.regexp_like(m, F.lit("^AKIA[A-Z0-9]{16}$")), F.lit("access_key"))
             .when(F.contains(m, F.lit("@")), F.lit("email"))
             .when(F.regexp_like(m, F.lit(r"^\d+(\.\d+){3}$")), F.when(octets <= 255, F.lit("ip")))
@@ -131,14 +134,27 @@ def draw(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
                                                .when(F.regexp_like(x, F.lit("[a-z]")), pick(i, low, s))
                                                .when(F.regexp_like(x, F.lit("[A-Z]")), pick(i, up, s)).otherwise(x)))
 
+        def more(chars: str) -> Column:
+            """Further characters, one for every GROW_AFTER attempts."""
+            return F.concat_ws("", F.transform(F.sequence(F.lit(0), F.floor(attempt / GROW_AFTER).cast("int")), lambda i: F.when(i > 0, pick(i + 1000, chars)).otherwise(F.lit(""))))
+
+        def secret(c: Column) -> Column:
+            """Every character drawn anew in its class; - _ . stay where letters or digits surround them."""
+            shaped = F.regexp_like(c, F.lit(r"[\p{L}\p{N}]"))
+            is_ = lambda x, p: F.regexp_like(x, F.lit(p))
+            return F.concat_ws("", F.transform(_chars(c), lambda x, i: F.when(is_(x, r"\p{N}"), pick(i, num)).when(is_(x, r"\p{Lu}"), pick(i, up))
+                                               .when(is_(x, r"[\p{L}\p{M}]"), pick(i, low)).when(shaped & is_(x, "[-_.]"), x).otherwise(pick(i, "!#$%&*+-./?@^_~"))))
+
         hex_like = F.concat_ws("", F.transform(_chars(canon), lambda x, i: pick(i, "0123456789abcdef")))
-        longer = F.concat_ws("", F.transform(F.sequence(F.lit(0), F.floor(attempt / 8).cast("int")), lambda i: F.when(i > 0, pick(i + 1000, low)).otherwise(F.lit(""))))
+        longer = more(low)
+        grown = attempt >= GROW_AFTER
+        mixed = F.concat_ws("", F.transform(_chars(canon), lambda x, i: pick(i, num + up)))     # as long as the digits it replaces
         domain = F.regexp_extract(canon, "@(.*)$", 1)
         tld = F.regexp_extract(domain, r"\.([^.]*)$", 1)
         host = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1)
         email = F.concat(like(F.regexp_extract(canon, "^([^@]*)@", 1)), longer, F.lit("@"),
                          let(seed_of(F.lit("domain"), domain, F.lit(0)), lambda s: like(host, s)), F.lit("."), tld)
-        ip = F.concat_ws(".", *[(F.lit(1) + at(F.lit(i), 223) if i == 0 else at(F.lit(i), 256)).cast("string") for i in range(4)])
+        ip = F.concat_ws(".", *[F.when(grown, at(F.lit(i), 1000)).otherwise(F.lit(1) + at(F.lit(i), 223) if i == 0 else at(F.lit(i), 256)).cast("string") for i in range(4)])
         head = F.concat(F.substring(canon, 1, 1), F.substring(like(canon), F.lit(2), F.length(canon) - 2))
         card = let(head, lambda h: F.concat(h, ((10 - _luhn_sum(h, 1) % 10) % 10).cast("string")))
         script = (F.when(F.regexp_like(canon, F.lit(r"\p{IsCyrillic}")), F.lit("cyrillic"))
@@ -146,15 +162,16 @@ def draw(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
 
         def name_in(sc: str) -> Column:
             syl = F.array(*[F.lit(x) for x in SYLLABLES[sc]])
-            body = F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(1) + F.floor(attempt / 8).cast("int")), lambda i: F.get(syl, at(i, len(SYLLABLES[sc])))))
+            body = F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(1) + F.floor(attempt / GROW_AFTER).cast("int")), lambda i: F.get(syl, at(i, len(SYLLABLES[sc])))))
             end = ENDINGS[sc]
             return F.concat(body, F.when(kind == "given_f", F.lit(end["f"])).when(kind == "given_m", F.lit(end["m"])).otherwise(F.lit(end["u"])))
 
         name = F.when(script == "cyrillic", name_in("cyrillic")).when(script == "greek", name_in("greek")).otherwise(name_in("latin"))
-        return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
+        return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind.isin("phone", "card", "ssn") & grown, mixed).when(kind == "card", card)
                 .when(kind == "access_key", F.concat(F.lit("AKIA"), F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: pick(i, up + "234567")))))
                 .when(kind.startswith("given_") | (kind == "surname"), name)
-                .when(F.regexp_like(canon, F.lit("^[0-9a-f]*[a-f][0-9a-f]*$")), hex_like).otherwise(like(canon)))
+                .when(F.regexp_like(canon, F.lit("^[0-9a-f]*[a-f][0-9a-f]*$")), F.concat(hex_like, more("0123456789abcdef")))
+                .when(kind == "credential", F.concat(secret(canon), longer)).otherwise(like(canon)))
 
     return let(seed_of(kind, canon, attempt), with_seed)
 
@@ -167,11 +184,12 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) of distinct ``entities(kind, canon)``; surrogates are distinct and no real entity.
 
     An entity that loses a collision (to one settled earlier, else to the
-    smaller one) draws again; each round is written before the next.
+    smaller one) draws again; each round is written before the next.  Where a
+    format has too few values, surrogates get longer or take letters for digits.
     """
     t = entities.distinct().withColumn("attempt", F.lit(0))
     real = None
-    for _ in range(MAX_DRAWS):
+    while True:                                          # ends: drawn formats grow past the number of entities
         t = cut_lineage(t.withColumn("space", _space(F.col("kind"))).withColumn("surrogate", draw(F.col("kind"), F.col("canon"), F.col("attempt"), key)))
         if real is None:
             real = t.select("space", F.col("canon").alias("surrogate")).distinct()
@@ -183,7 +201,6 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         if lost.isEmpty():
             return t.select("kind", "canon", "surrogate")
         t = t.join(lost, ["kind", "canon"], "left").select("kind", "canon", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
-    raise RuntimeError("an entity type has more entities than surrogates of its format")
 
 
 def render(m: Column, surrogates: Column) -> Column:
@@ -218,7 +235,7 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     * NULL text stays NULL, empty text empty; other columns are never read and may have any name.
     * Repeated rows are replaced alike; an empty table gives no rows; NULLs elsewhere do not matter.
     * Texts of any length are scanned whole.  A mention that fails its check
-      (card digit, octets over 255) is no entity and stays.
+      (card digit, octets over 255) is no entity and stays; so does a masked credential (``********``).
     * ``count_col`` adds the number of replaced mentions.
     * One entity may be mentioned by most documents: mentions meet the table of
       entities by broadcast while it is small, else by a join that splits hot keys.

@@ -76,3 +76,21 @@ def test_native(spark):
     df = spark.createDataFrame([(1, TEXT, None, None)], SCHEMA)
     plan = P.pseudonymize(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_masks_stay_and_credentials_of_any_script_are_replaced(spark):
+    masks = ["password: ********", "pwd=......"]
+    secrets = ["token: пароль", "secret=γειασου9", "password=!@#$%^&*", "pwd=-_-_-_", "api_key: ключ-тест_1"]
+    got = {r.doc_id: r for r in run(spark, [(i, t, None, None) for i, t in enumerate(masks + secrets)])}
+    assert [(got[i].text, got[i].n) for i in range(2)] == [(t, 0) for t in masks]
+    for i, t in enumerate(secrets, 2):
+        head, value = re.fullmatch(r"(\w+[=:] ?)(.+)", t).groups()
+        assert got[i].n == 1 and got[i].text.startswith(head) and got[i].text != t and len(got[i].text) == len(t)
+        assert not re.search(r"[^\x00-\x7f]", got[i].text)
+
+
+def test_formats_without_free_values_grow(spark):
+    ents = [(k, f"{d}") for k in ("credential", "ssn", "phone") for d in range(10)] + [("credential", x) for x in "abcdef"] + [("card", f"4{d}") for d in range(10)]
+    t = P.surrogate_table(spark.createDataFrame(ents, "kind string, canon string"), "k").collect()
+    assert len(t) == len(ents) == len({(r.kind, r.surrogate) for r in t}) and not {(r.kind, r.surrogate) for r in t} & set(ents)
+    assert all(len(r.surrogate) == len(r.canon) for r in t if r.kind != "credential")
