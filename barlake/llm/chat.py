@@ -6,12 +6,13 @@ a mask marks the assistant's own words.  System turns are instructions in
 every rendering and no participant.
 
 A conversation is rendered in parts of bounded length, so one that holds a
-third of all turns gives many rows and no task holds it whole.
+third of all turns gives many rows and no task holds it whole.  Parts are
+consecutive dialogue, and each starts with the system turns said before it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
@@ -19,11 +20,23 @@ from ..session import cut_lineage
 from .common import let, query, read_table
 
 PART_TURNS = 512
+BROADCAST_ORDERS = 1_000           # rows of up to PART_TURNS texts
 SYSTEM = "system"
 NOBODY = "unknown"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
+def _ranked(t: DataFrame) -> DataFrame:
+    """``t`` with the rank of a row in its (key, part) by ``s``: ranges are numbered alone, after the counts of those before."""
+    order = ["key", "part", "s"]
+    t = cut_lineage(t.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    counts = t.groupBy("key", "part", "range").agg(F.count("*").alias("c"))
+    earlier = Window.partitionBy("key", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut_lineage(counts.select("key", "part", "range", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("first")))
+    inside = F.row_number().over(Window.partitionBy("key", "part", "range").orderBy("s")) - 1
+    return t.withColumn("inside", inside).join(broadcast_if_small(counts), ["key", "part", "range"]).withColumn("rank", F.col("first") + F.col("inside"))
+
+
 def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, speaker, part, sub_part, n_turns, n_own, text, mask): a row per participant and part.
@@ -34,7 +47,9 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
     * Turns are in order of (turn, role, text), NULL turns last in a part of
       their own; exact repeated turns count once.
     * A part with more rows than ``part_turns`` (repeated or NULL turn numbers)
-      is cut into sub-parts by hash; otherwise sub_part is 0.
+      is cut by rank into consecutive sub-parts; otherwise sub_part is 0.
+    * Every part starts with the different system texts said before it, the
+      first ``part_turns`` of them; n_turns counts the turns of the part itself.
     * NULL role: a user named "unknown", never a speaker; NULL text is empty.
     * NULL conv_id is a conversation of its own.  A conversation without
       participants and an empty table give no rows.  Other columns are not read.
@@ -44,12 +59,23 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
                      F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
     t = cut_lineage(t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long")))
     speakers = t.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM)).select("key", F.col("role").alias("speaker")).distinct()
-    large = t.groupBy("key", "part").agg(F.count("*").alias("n")).where(F.col("n") > part_turns).select(
-        "key", "part", F.ceil(F.col("n") / part_turns).alias("subs"))
-    t = t.join(broadcast_if_small(cut_lineage(large)), ["key", "part"], "left").withColumn(
-        "sub_part", F.coalesce(F.pmod(F.xxhash64("turn", "role", "text"), F.col("subs")), F.lit(0)).cast("int"))
+    sizes = cut_lineage(t.groupBy("key", "part").agg(F.count("*").alias("n")))
+    large = sizes.where(F.col("n") > part_turns).select("key", "part", F.lit(True).alias("cut"))
+    t = t.join(broadcast_if_small(large), ["key", "part"], "left")
     said = F.struct(F.col("turn").isNull().alias("late"), "turn", F.col("role").isNull().alias("none"), "role", "text")
+    names = ["key", "part", "conv", "turn", "role", "text"]
+    ranked = _ranked(t.where("cut").select(*names, said.alias("s")))
+    t = t.where("cut IS NULL").select(*names, F.lit(0).alias("sub_part")).unionByName(
+        ranked.select(*names, F.floor(F.col("rank") / part_turns).cast("int").alias("sub_part")))
     parts = t.groupBy("key", "part", "sub_part").agg(F.first("conv").alias("conv"), F.array_sort(F.collect_list(said)).alias("said"))
+    # instructions of conversations in several parts
+    several = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("n")).where((F.col("parts") > 1) | (F.col("n") > part_turns)).select("key")
+    orders = (t.where(F.col("role") == SYSTEM).join(broadcast_if_small(several), "key", "left_semi")
+              .groupBy("key", "text").agg(F.min(said).alias("s"))
+              .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("s"))).where(F.col("r") <= part_turns)
+              .groupBy("key").agg(F.array_sort(F.collect_list("s")).alias("orders")))                  # at most ``part_turns`` a key
+    before = F.filter(F.coalesce("orders", F.slice("said", 1, 0)), lambda x: x < F.get("said", F.lit(0)))
+    parts = parts.join(broadcast_if_small(cut_lineage(orders), BROADCAST_ORDERS), "key", "left").withColumn("all_said", F.concat(before, "said"))
 
     def head(role: Column, speaker: Column) -> Column:
         name = F.coalesce(role, F.lit(NOBODY))
@@ -57,7 +83,7 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
                         .otherwise(F.concat(F.lit("user name="), name)), F.lit("\n"))
 
     def rendered(speaker: Column) -> Column:
-        rows = F.transform("said", lambda s: F.struct(head(s["role"], speaker).alias("h"), F.concat(s["text"], F.lit(CLOSE)).alias("b"),
+        rows = F.transform("all_said", lambda s: F.struct(head(s["role"], speaker).alias("h"), F.concat(s["text"], F.lit(CLOSE)).alias("b"),
                                                       F.coalesce(s["role"] == speaker, F.lit(False)).alias("own")))
         return let(rows, with_mask)
 

@@ -50,3 +50,16 @@ def test_hot_conversation_is_cut_into_bounded_parts(spark):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def test_parts_are_consecutive_and_start_with_the_system_turns(spark):
+    rows = [(1, 0, "system", "be nice", None, None), (1, 120, "system", "be brief", None, None)] + [(1, i, f"p{i % 2}", f"t{i:03d}", None, None) for i in range(1, 250)]
+    rows += [(1, None, "p0", f"u{i:03d}", None, None) for i in range(250)]
+    got = [r for r in run(spark, rows, part_turns=100) if r.speaker == "p0"]
+    got.sort(key=lambda r: (r.part < 0, r.part, r.sub_part))
+    bodies = [[b.split("\n", 1) for b in r.text.replace(C.OPEN, "").split(C.CLOSE)[:-1]] for r in got]
+    assert [x for b in bodies for h, x in b if h != "system"] == [f"t{i:03d}" for i in range(1, 250)] + [f"u{i:03d}" for i in range(250)]
+    heads = [[x for h, x in b if h == "system"] for b in bodies]
+    assert heads[0] == ["be nice"] and all(h == ["be nice", "be brief"] for h in heads[1:])
+    assert all(b[0] == ["system", "be nice"] for b in bodies) and sum(r.n_turns for r in got) == len(rows)
+    assert all(r.text[m.start:m.end].endswith(C.CLOSE) for r in got for m in r.mask)
