@@ -1,14 +1,21 @@
 """Quality rules with distribution divergence against language references.
 
-For every language the table itself gives two references over all its
-documents: the histogram of character classes and the histogram of its most
-common words (all others in one class).  A document is compared with the
-references of its language by the Jensen-Shannon distance (base 2, 0 to 1).
-Short documents are not judged by divergence: their histograms are noise.
-
-Everything runs in DataFrame functions, row by row, without a shuffle of text:
-only word counts per language are aggregated, and references (one row per
-language) are joined back.
+A first pass counts words, each distinct text of a language with weight 1, and
+names the most common words of every language.  A second pass measures every
+document: the base rules, its histogram of character classes and its histogram
+over those words (all others in one class).  The references of a language add
+up the histograms, as shares, of its distinct texts that pass the base rules
+and the length guards; copies, long texts and junk that the base rules catch
+thus weigh little or nothing.  A document is compared with the references of
+its language by the Jensen-Shannon distance (base 2, 0 to 1).
+
+A reference of few texts is weak evidence: with ``n`` texts behind it a
+distance counts ``n / (n + EVIDENCE)`` of itself.  There is no number of texts
+at which the rule changes, and a language of few documents is never dropped
+whole.  Short documents are not judged by divergence: their histograms are noise.
+
+Everything runs in DataFrame functions, row by row.  Measures are written once,
+and references (one row per language) are joined back.
 """
 
 from __future__ import annotations
@@ -18,12 +25,14 @@ from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
 from ..session import cut_lineage
-from .common import let, query, read_table, word_array, word_count, written
+from .common import free_name, let, query, read_table, word_array, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 COMMON_WORDS = 24
-MIN_REFERENCE_DOCS = 20     # languages with fewer documents are compared with all documents together
+EVIDENCE = 20               # texts behind a reference at which half of a distance counts
+SHARE = 10**8               # shares are whole numbers that add up to about this: sums do not depend on the order of rows
+DIGITS = 6                  # of distances
 MIN_CHARS = 200             # guards: below them the distance is not judged
 MIN_DIVERGENCE_WORDS = 100
 MAX_CHAR_DISTANCE = 0.30
@@ -116,164 +125,161 @@ def _language(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                        common: int = COMMON_WORDS, each_text_once: bool = False) -> DataFrame:
-    """(lang, chars, words, counts): reference histograms over all rows, one row per language.
+def _reserved(docs: DataFrame, *names: str) -> list[str]:
+    return [free_name(docs.columns, n) for n in names]
 
-    ``words`` are the most common words (ties: smaller word first), ``counts``
-    theirs and, last, that of all other words.  Languages with few documents
-    get the histograms of all documents together; NULL counts as a language.
 
-    Raw sums follow the rows, so copies or one long text can become the
-    reference.  With ``each_text_once`` the histograms of every text are shares
-    that add up to 1 and are divided among its copies: each distinct text of a
-    language weighs the same.  Near copies count as texts of their own.  The
-    pool then stands in only for languages that are within the limits of it
-    themselves; the others with few texts have NULL references and are not judged.
+def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON_WORDS) -> DataFrame:
+    """(lang, words): the most common words of every language (ties: smaller word first), each distinct text weighing the same.
+
+    A text's words share the weight 1, its copies divide it.  Only word arrays
+    and their weight pass the generator, never the text.
     """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(_language(F.col(lang_col)).alias("lang"), t.alias("t"))
-    if each_text_once:
-        d = d.withColumn("h", F.xxhash64("t"))
-        copies = cut_lineage(d.groupBy("lang", "h").agg(F.count("*").alias("copies")).where("copies > 1"))
-        d = d.join(broadcast_if_small(copies), ["lang", "h"], "left").withColumn("weight", 1 / F.coalesce("copies", F.lit(1)))
-        shares = d.select("lang", "weight", char_classes(F.col("t")).alias("c"), (F.col("weight") / F.greatest(F.length("t"), F.lit(1))).alias("w"))
-        sums = [F.sum(F.get("c", i) * F.col("w")).alias(c) for i, c in enumerate(CLASSES)]
-        by_lang = shares.groupBy("lang").agg(F.round(F.sum("weight")).alias("n_docs"), *sums)
-        tokens = (d.select("lang", (F.col("weight") / F.greatest(word_count(F.col("t")), F.lit(1))).alias("w"), F.explode(word_array(F.col("t"))).alias("word"))
-                  .groupBy("lang", "word").agg(F.sum("w").alias("n")))
-        zero = F.lit(0.0)
-    else:
-        sums = [F.sum(F.get("c", i)).alias(c) for i, c in enumerate(CLASSES)]
-        by_lang = d.select("lang", char_classes(F.col("t")).alias("c")).groupBy("lang").agg(F.count("*").alias("n_docs"), *sums)
-        tokens = d.select("lang", F.explode(word_array(F.col("t"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-        zero = F.lit(0).cast("long")
-    by_lang, tokens = cut_lineage(by_lang), written(tokens, "word-counts")
+    d = docs.select(_language(F.col(lang_col)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    copies = cut_lineage(d.groupBy("lang", "h").agg(F.count("*").alias("copies")).where("copies > 1"))
+    d = d.join(broadcast_if_small(copies), ["lang", "h"], "left").select("lang", "copies", word_array(F.col("t")).alias("w"))
+    d = d.select("lang", "w", (1 / (F.greatest(F.size("w"), F.lit(1)) * F.coalesce("copies", F.lit(1)))).alias("weight"))
+    tokens = written(d.select("lang", "weight", F.explode("w").alias("word")).groupBy("lang", "word").agg(F.sum("weight").alias("n")), "word-weights")
     most = F.desc(F.round("n", 9))                      # sums of shares differ in the last digits from run to run
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(most, "word"))
     top = tokens.withColumn("r", rank).where(F.col("r") <= common)
-    totals = tokens.groupBy("lang").agg(F.sum("n").alias("total"))
-    together = tokens.groupBy("word").agg(F.sum("n").alias("n")).orderBy(most, "word").limit(common)
-
-    def histogram(rows: DataFrame, *keys: str) -> DataFrame:
-        found = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "word")))     # at most ``common`` rows
-        return rows.groupBy(*keys).agg(found.alias("f")).select(
-            *keys, F.transform("f", lambda x: x["word"]).alias("words"), F.transform("f", lambda x: -x["m"]).alias("found"))
-
-    def with_rest(words: str, found: str, total: str) -> Column:
-        return F.concat(F.col(found), F.array(F.col(total) - F.aggregate(F.col(found), zero, lambda a, x: a + x)))
-
-    pool = (histogram(together.withColumn("one", F.lit(1)), "one")
-            .join(totals.agg(F.sum("total").alias("total")).withColumn("one", F.lit(1)), "one")
-            .join(by_lang.agg(*[F.sum(c).alias(c) for c in CLASSES]).withColumn("one", F.lit(1)), "one")
-            .select("one", F.array(*CLASSES).alias("pool_chars"), F.col("words").alias("pool_words"),
-                    with_rest("words", "found", "total").alias("pool_counts")))
-    own = (by_lang.join(histogram(top, "lang"), "lang", "left").join(totals, "lang", "left")
-           .select("lang", "n_docs", F.array(*CLASSES).alias("chars"), "words", with_rest("words", "found", "total").alias("counts")))
-    big = F.col("n_docs") >= MIN_REFERENCE_DOCS
-    refs = own.withColumn("one", F.lit(1)).join(F.broadcast(pool), "one", "left")                    # one row
-    fits = {c: F.lit(True) for c in ("chars", "words", "counts")}
-    if each_text_once:
-        shared = tokens.join(F.broadcast(together.select("word")), "word").groupBy("lang").agg(      # at most ``common`` words
-            F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("shared"))
-        refs = refs.join(shared, "lang", "left").join(totals, "lang", "left")
-        found = F.transform("pool_words", lambda w: F.coalesce(F.try_element_at("shared", w), zero))
-        mine = let(found, lambda f: F.concat(f, F.array(F.greatest(F.col("total") - F.aggregate(f, zero, lambda a, x: a + x), zero))))
-        like_pool = F.coalesce(js_distance(mine, F.col("pool_counts")) <= MAX_WORD_DISTANCE, F.lit(False))
-        fits = {"chars": F.coalesce(js_distance(F.col("chars"), F.col("pool_chars")) <= MAX_CHAR_DISTANCE, F.lit(False)), "words": like_pool, "counts": like_pool}
-    pick = lambda c: F.coalesce(F.when(big, F.col(c)), F.when(fits[c], F.col(f"pool_{c}"))).alias(c)
-    return cut_lineage(refs.select("lang", pick("chars"), pick("words"), pick("counts")))
-
-
-def quality_rules(docs: DataFrame, references: DataFrame | None = None, text_col: str = "text", lang_col: str = "lang",
-                  out: str = "quality") -> DataFrame:
-    """All rows and columns of ``docs`` plus a struct column ``out`` with measures and the verdict.
+    return cut_lineage(top.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "word"))), lambda x: x["word"]).alias("words")))
+
+
+def measured(docs: DataFrame, words: DataFrame, text_col: str = "text", lang_col: str = "lang", out: str = "quality",
+             keep: tuple[str, ...] | None = None, common: int = COMMON_WORDS) -> DataFrame:
+    """Columns ``keep`` (default: all) of every row, plus a struct ``out`` with its measures and histograms.
+
+    ``chars`` counts character classes; ``counts`` counts the words of the
+    language's list in its order, 0 where the list is shorter, and last all other words.
+    """
+    lang, ref, row, w_, m_ = _reserved(docs, "_lang", "_words", "_row", "_w", "_m")
+    refs = words.select(F.col("lang").alias(lang), F.col("words").alias(ref))
+    t = F.coalesce(F.col(f"{row}.`{text_col}`"), F.lit(""))
+    d = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), _language(F.col(lang_col)).alias(lang))
+         .join(broadcast_if_small(refs), lang, "left"))
+
+    def of(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        found = F.transform(F.sequence(F.lit(0), F.lit(common - 1)), lambda i: F.coalesce(
+            F.size(w) - F.size(F.array_remove(w, F.get(F.col(ref), i))), F.lit(0)).cast("long"))
+        counts = let(found, lambda f: F.concat(f, F.array(n - F.aggregate(f, F.lit(0).cast("long"), lambda a, x: a + x))))
+        return F.struct(n.alias("n_words"), repeated_window_words(w).alias("n_repeat_words"), counts.alias("counts"))
+
+    d = d.withColumn(m_, let(word_array(t), of))
+    bare = _without(t, WHITE)
+    failed = (F.col(f"{m_}.n_words") < MIN_WORDS) | (100 * F.col(f"{m_}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{m_}.n_words"))
+    kept = docs.columns if keep is None else keep
+    return d.select(*[F.col(f"{row}.`{c}`").alias(c) for c in kept], F.struct(
+        F.col(f"{m_}.n_words").alias("n_words"), F.length(bare).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
+        duplicate_lines(t).alias("n_dup_lines"), F.col(f"{m_}.n_repeat_words").alias("n_repeat_words"), failed.alias("base_failed"),
+        F.col(lang).alias("lang"), F.xxhash64(t).alias("h"), F.length(t).alias("n_chars"),
+        char_classes(t).alias("chars"), F.col(f"{m_}.counts").alias("counts")).alias(out))
+
+
+def references(m: DataFrame, out: str = "quality", common: int = COMMON_WORDS) -> DataFrame:
+    """(lang, n_texts, chars, counts): sums of the shares of a language's distinct texts that pass base rules and length guards."""
+    q = m.select(f"`{out}`.*").where(~F.col("base_failed") & (F.col("n_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_DIVERGENCE_WORDS))
+    share = lambda c, n: F.transform(F.col(c), lambda x: F.floor(x * F.lit(SHARE) / F.col(n)).cast("long")).alias(c)
+    one = q.groupBy("lang", "h").agg(*[F.any_value(c).alias(c) for c in ("n_chars", "n_words", "chars", "counts")]).select(
+        "lang", share("chars", "n_chars"), share("counts", "n_words"))
+    chars = [F.sum(F.get("chars", i)).alias(f"c{i}") for i in range(len(CLASSES))]
+    counts = [F.sum(F.get("counts", i)).alias(f"w{i}") for i in range(common + 1)]
+    sums = one.groupBy("lang").agg(F.count("*").alias("n_texts"), *chars, *counts)
+    return cut_lineage(sums.select("lang", "n_texts", F.array(*[f"c{i}" for i in range(len(CLASSES))]).alias("chars"),
+                                   F.array(*[f"w{i}" for i in range(common + 1)]).alias("counts")))
+
+
+def judged(m: DataFrame, refs: DataFrame, out: str = "quality") -> DataFrame:
+    """``m`` with ``out`` reduced to measures, distances and the verdict."""
+    lang, ref, row = _reserved(m, "_lang", "_ref", "_row")
+    refs = refs.select(F.col("lang").alias(lang), F.struct("n_texts", "chars", "counts").alias(ref))
+    d = (m.select(F.struct(*[F.col(f"`{c}`") for c in m.columns]).alias(row), F.col(f"`{out}`.lang").alias(lang))
+         .join(broadcast_if_small(refs), lang, "left"))
+    q = lambda c: F.col(f"{row}.`{out}`.{c}")
+    char = F.round(F.when(q("n_chars") >= MIN_CHARS, js_distance(q("chars"), F.col(f"{ref}.chars"))), DIGITS)
+    word = F.round(F.when(q("n_words") >= MIN_DIVERGENCE_WORDS, js_distance(q("counts"), F.col(f"{ref}.counts"))), DIGITS)
+    d = d.withColumns({free_name(d.columns, "_char"): char, free_name(d.columns, "_word"): word})
+    char, word = [F.col(f"`{c}`") for c in d.columns[-2:]]
+    n = F.col(f"{ref}.n_texts")
+    over = lambda x, limit: F.coalesce(x * n > F.lit(float(limit)) * (n + EVIDENCE), F.lit(False))
+    diverges = over(char, MAX_CHAR_DISTANCE) | over(word, MAX_WORD_DISTANCE)
+    return d.select(*[F.col(f"{row}.`{c}`").alias(c) for c in m.columns if c != out], F.struct(
+        *[q(c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
+        char.alias("char_distance"), word.alias("word_distance"), (~q("base_failed") & ~diverges).alias("kept")).alias(out))
+
+
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out: str = "quality",
+                  keep: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows of ``docs`` with columns ``keep`` (default: all) plus a struct column ``out`` with measures and the verdict.
 
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, char_distance, word_distance, kept.
 
     * NULL text is an empty text: no words, hence base_failed.
-    * NULL language is a language of its own; rare ones are compared with all documents together.
-    * Texts of any length are measured whole; below the guards the distances are NULL and reject nothing.
+    * NULL language is a language of its own (the same as an empty one).
+    * Texts of any length are measured whole; below the guards, and where a language has
+      no text fit for a reference, the distances are NULL and reject nothing.
     * Repeated rows are judged alike; an empty table gives no rows.
-    * Other columns pass through untouched; ``out`` must not be one of them.
+    * Columns of any name pass through untouched; ``out`` must not be one of them.
     """
-    if out.lower() in [c.lower() for c in docs.columns]:
+    kept = docs.columns if keep is None else keep
+    if out.lower() in [c.lower() for c in kept]:
         raise ValueError(f"docs has a column {out}")
-    refs = language_references(docs, text_col, lang_col) if references is None else references
-    refs = refs.select(F.col("lang").alias("_lang"), F.struct("chars", "words", "counts").alias("_ref"))
-    t = F.coalesce(F.col(f"_row.{text_col}"), F.lit(""))
-    d = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _language(F.col(lang_col)).alias("_lang"))
-         .join(broadcast_if_small(refs), "_lang", "left"))
-
-    def measured(w: Column) -> Column:
-        n = F.size(w).cast("long")
-        found = F.transform(F.col("_ref.words"), lambda c: (F.size(w) - F.size(F.array_remove(w, c))).cast("long"))
-        chars = let(char_classes(t), lambda c: js_distance(c, F.col("_ref.chars")))
-        words = let(found, lambda f: js_distance(F.concat(f, F.array(n - F.aggregate(f, F.lit(0).cast("long"), lambda a, x: a + x))), F.col("_ref.counts")))
-        return F.struct(n.alias("n_words"), repeated_window_words(w).alias("n_repeat_words"),
-                        F.round(F.when(F.length(t) >= MIN_CHARS, chars), 9).alias("char_distance"),
-                        F.round(F.when(n >= MIN_DIVERGENCE_WORDS, words), 9).alias("word_distance"))
-
-    d = d.withColumn("_m", let(word_array(t), measured))
-    failed = (F.col("_m.n_words") < MIN_WORDS) | (100 * F.col("_m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_m.n_words"))
-    diverges = (F.coalesce(F.col("_m.char_distance") > MAX_CHAR_DISTANCE, F.lit(False))
-                | F.coalesce(F.col("_m.word_distance") > MAX_WORD_DISTANCE, F.lit(False)))
-    bare = _without(t, WHITE)
-    return d.select("_row.*", F.struct(
-        F.col("_m.n_words").alias("n_words"), F.length(bare).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
-        duplicate_lines(t).alias("n_dup_lines"), F.col("_m.n_repeat_words").alias("n_repeat_words"),
-        failed.alias("base_failed"), F.col("_m.char_distance").alias("char_distance"),
-        F.col("_m.word_distance").alias("word_distance"), (~failed & ~diverges).alias("kept")).alias(out))
+    m = written(measured(docs, common_words(docs, text_col, lang_col), text_col, lang_col, out, keep), "quality-measures")
+    return judged(m, references(m, out), out)
 
 
 def _sql() -> str:
     patterns = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "mark": r"[!-/:-@\[-`{-~]", "letters": r"\p{L}", "space": r"[\x20\x09-\x0D]"}
     gone = ", ".join(f"length(t) - length(regexp_replace(t, '{x}', '', 'g')) AS {n}" for n, x in patterns.items())
+
     def distance(name: str, pairs: str) -> str:
         """Jensen-Shannon distance of the histograms p and q given as rows (doc_id, i, p, q)."""
         part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((p + q) / 2)) ELSE 0 END"
-        return f"""{name} AS (SELECT doc_id, round(sqrt(greatest(sum({part.format('p')} + {part.format('q')}) / 2, 0)), 9) AS distance FROM
+        return f"""{name} AS (SELECT doc_id, round(sqrt(greatest(sum({part.format('p')} + {part.format('q')}) / 2, 0)), {DIGITS}) AS distance FROM
   (SELECT doc_id, p / nullif(sum(p) OVER (PARTITION BY doc_id), 0) AS p, q / nullif(sum(q) OVER (PARTITION BY doc_id), 0) AS q FROM {pairs})
   GROUP BY doc_id HAVING count(p) > 0 AND count(q) > 0)"""
 
+    def over(name: str, limit: float) -> str:
+        return f"coalesce({name} * n_texts > {limit}::DOUBLE * (n_texts + {EVIDENCE}), false)"
+
     word = r"[^\x20\x09-\x0D]"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}+') AS w FROM documents),
 n AS (SELECT *, {gone} FROM d),
-c AS (SELECT doc_id, lang, unnest([lower, upper, letters - lower - upper, digit, space, mark, length(t) - letters - digit - space - mark]) AS p,
-             unnest(range(7)) AS i FROM n),
-langs AS (SELECT lang, count(*) >= {MIN_REFERENCE_DOCS} AS own FROM d GROUP BY lang),
-cref AS (SELECT lang, i, sum(p) AS q FROM c GROUP BY lang, i),
-cpool AS (SELECT i, sum(p) AS q FROM c GROUP BY i),
-cpair AS (SELECT doc_id, c.p::DOUBLE AS p, (CASE WHEN own THEN cref.q ELSE cpool.q END)::DOUBLE AS q
-          FROM c JOIN langs USING (lang) JOIN cref USING (lang, i) JOIN cpool USING (i)),
-{distance('cdist', 'cpair')},
-x AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
-k AS (SELECT lang, word, count(*) AS n FROM x GROUP BY ALL UNION ALL SELECT NULL, word, count(*) FROM x GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS i, sum(n) OVER (PARTITION BY lang) AS total FROM k),
-top AS (SELECT lang, word, i, n FROM r WHERE i <= {COMMON_WORDS}
-        UNION ALL SELECT lang, NULL, 0, any_value(total) - sum(n) FROM r WHERE i <= {COMMON_WORDS} GROUP BY lang),
-ref AS (SELECT l.lang, top.word, i, n FROM langs l JOIN top ON top.lang IS NOT DISTINCT FROM
-        (CASE WHEN own AND l.lang IN (SELECT lang FROM top WHERE lang IS NOT NULL) THEN l.lang END)),
-own AS (SELECT x.doc_id, ref.word, count(*) AS p FROM x JOIN ref ON ref.lang = x.lang AND ref.word = x.word GROUP BY ALL),
-got AS (SELECT doc_id, sum(p) AS found FROM own GROUP BY doc_id),
-wpair AS (SELECT d.doc_id, (CASE WHEN ref.i = 0 THEN len(w) - coalesce(found, 0) ELSE coalesce(own.p, 0) END)::DOUBLE AS p, ref.n::DOUBLE AS q
-          FROM d JOIN ref USING (lang) LEFT JOIN own ON own.doc_id = d.doc_id AND own.word = ref.word LEFT JOIN got ON got.doc_id = d.doc_id),
-{distance('wdist', 'wpair')},
 g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
 s AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 2], ' ')) AS times FROM g),
 rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM s, (SELECT unnest(range(3)) AS j) WHERE times > 1 GROUP BY doc_id),
-b AS (SELECT doc_id, len(w)::BIGINT AS n_words, (length(t) - space)::BIGINT AS word_chars,
+b AS (SELECT n.*, len(w)::BIGINT AS n_words, (length(t) - space)::BIGINT AS word_chars,
              (length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
              list_filter(string_split(t, chr(10)), lambda y: regexp_matches(y, '{word}')) AS ls, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-             CASE WHEN length(t) >= {MIN_CHARS} THEN cdist.distance END AS char_distance,
-             CASE WHEN len(w) >= {MIN_DIVERGENCE_WORDS} THEN wdist.distance END AS word_distance
-      FROM n LEFT JOIN rep USING (doc_id) LEFT JOIN cdist USING (doc_id) LEFT JOIN wdist USING (doc_id)),
-f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
+             len(w) < {MIN_WORDS} OR 100 * coalesce(rep.n, 0) > {MAX_REPEAT_PERCENT} * len(w) AS base_failed
+      FROM n LEFT JOIN rep USING (doc_id)),
+x AS (SELECT doc_id, lang, unnest(w) AS word, 1 / (len(w) * count(*) OVER (PARTITION BY lang, t)) AS weight FROM d),
+k AS (SELECT lang, word, sum(weight) AS n FROM x GROUP BY ALL),
+top AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY round(n, 9) DESC, word) AS i FROM k QUALIFY i <= {COMMON_WORDS}),
+own AS (SELECT x.doc_id, top.i, count(*) AS p FROM x JOIN top USING (lang, word) GROUP BY ALL),
+known AS (SELECT b.doc_id, b.lang, top.i, coalesce(own.p, 0) AS p FROM b JOIN top USING (lang) LEFT JOIN own ON own.doc_id = b.doc_id AND own.i = top.i),
+wh AS (SELECT * FROM known UNION ALL
+       SELECT b.doc_id, b.lang, 0, n_words - coalesce(f.p, 0) FROM b LEFT JOIN (SELECT doc_id, sum(p) AS p FROM known GROUP BY doc_id) f USING (doc_id)),
+ch AS (SELECT doc_id, lang, unnest([lower, upper, letters - lower - upper, digit, space, mark, length(t) - letters - digit - space - mark]) AS p,
+              unnest(range(7)) AS i FROM b),
+fit AS (SELECT min(doc_id) AS doc_id, lang, any_value(n_words) AS n_words, length(t) AS n_chars FROM b
+        WHERE NOT base_failed AND length(t) >= {MIN_CHARS} AND n_words >= {MIN_DIVERGENCE_WORDS} GROUP BY lang, t),
+nt AS (SELECT lang, count(*) AS n_texts FROM fit GROUP BY lang),
+cref AS (SELECT ch.lang, i, sum(floor(p * {SHARE} / n_chars)) AS q FROM ch JOIN fit USING (doc_id) GROUP BY ch.lang, i),
+wref AS (SELECT wh.lang, i, sum(floor(p * {SHARE} / n_words)) AS q FROM wh JOIN fit USING (doc_id) GROUP BY wh.lang, i),
+cpair AS (SELECT doc_id, p::DOUBLE AS p, q::DOUBLE AS q FROM ch JOIN cref USING (lang, i)),
+wpair AS (SELECT doc_id, p::DOUBLE AS p, q::DOUBLE AS q FROM wh JOIN wref USING (lang, i)),
+{distance('cdist', 'cpair')},
+{distance('wdist', 'wpair')},
+f AS (SELECT b.*, n_texts, CASE WHEN length(t) >= {MIN_CHARS} THEN cdist.distance END AS char_distance,
+             CASE WHEN n_words >= {MIN_DIVERGENCE_WORDS} THEN wdist.distance END AS word_distance
+      FROM b LEFT JOIN nt USING (lang) LEFT JOIN cdist USING (doc_id) LEFT JOIN wdist USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(char_distance <= {MAX_CHAR_DISTANCE}, true) AND coalesce(word_distance <= {MAX_WORD_DISTANCE}, true) AS kept,
+       NOT base_failed AND NOT {over('char_distance', MAX_CHAR_DISTANCE)} AND NOT {over('word_distance', MAX_WORD_DISTANCE)} AS kept,
        char_distance, word_distance
 FROM f
 """
@@ -284,6 +290,6 @@ SQL = _sql()
 
 @query("op6_quality_divergence", SQL)
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    q = quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=("doc_id",))
     return q.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")])
