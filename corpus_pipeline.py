@@ -14,22 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import bpe, mixing, pii, quality, simhash
-from barlake.llm.common import read_table
+from barlake.llm.common import free_name, read_table
 from barlake.session import scratch_path
 
 
-def _free_name(docs: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from their language go; copies weigh once in the references."""
-    out = _free_name(docs, "quality")
-    refs = quality.language_references(docs, each_text_once=True)
-    return quality.quality_rules(docs, refs, out=out).where(F.col(f"{out}.kept")).select(*[f"`{c}`" for c in docs.columns])
+    out = free_name(docs.columns, "quality")
+    return quality.quality_rules(docs, out=out).where(F.col(f"{out}.kept")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
