@@ -63,7 +63,7 @@ login search pagination pager toolbar outbrain taboola skip paywall disclaimer""
 _POSITIVE = frozenset("article articlebody body content entry hentry main post story text blog prose".split())
 _NOT = frozenset(("no", "has", "with", "without", "hide"))
 
-_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+)>|<[!?/][^>]*+(?:>|\Z)""", re.S)
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+)(>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _COMMAS = re.compile("[,،、，]")
@@ -118,6 +118,8 @@ class _Tree:
             name = m[2]
             if not name:
                 continue
+            if not m[4]:                             # the page ends inside a tag
+                break
             name = name.lower()
             if name in ("html", "head", "body"):
                 continue
