@@ -5,26 +5,22 @@ Model set (fixed to the reference's configurations):
 * Ridge (alpha 1; grid 0.01..100) - squared-L2 with ``regParam = alpha * sd(y) / n``, solved in closed form
   (MLlib scales the label internally; this makes it equal to closed-form ridge);
 * Lasso (alpha 1; grid 0.01..10) - ``elasticNetParam = 1, regParam = alpha``;
-* Random Forest - 100 trees, unlimited depth (MLlib max 30), all features;
-  grid trees {100, 200} x depth {10, 20, none} x min split {2, 5};
+* Random Forest - 100 trees, unlimited depth (MLlib max 30), all features; its grid
+  (trees {100, 200} x depth {10, 20, none} x min split {2, 5}) is scored in ``forest``;
 * Gradient boosting - one ``GBTRegressor`` stands in for the three external
   boosted-tree libraries (100 rounds default; 200 rounds, depth 7, step 0.1,
   subsample 0.8, feature fraction 0.8 tuned).  Numbers differ by design.
-Cross-validation uses 3 contiguous time folds (``foldCol``), MSE.
+Linear models of all symbols, their grids and folds come from one pass in ``gram``;
+``training`` keeps every model's results.  Cross-validation uses 3 contiguous time folds, MSE.
 Metrics are plain aggregates (MAE, RMSE, R2, MAPE %), so they run where the
 predictions are.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +28,6 @@ from ..plans.chunked import global_row_index
 from ..plans.joins import checked_broadcast
 from .features import FEATURE_COLS, standard_scale
 
-RIDGE_GRID = [0.01, 0.1, 1, 10, 100]
-LASSO_GRID = [0.01, 0.1, 1, 10]
-RF_TREES, RF_DEPTHS, RF_MIN_SPLIT = [100, 200], [10, 20, None], [2, 5]
 MAX_TREE_DEPTH = 30
 SEED = 42
 TREE_MEMORY_MB = 1024       # statistics of a tree level: fewer passes over the rows
@@ -51,10 +44,6 @@ def model_input(target_frame: DataFrame, cols: list[str] = FEATURE_COLS) -> Data
         "symbol", "split", "timestamp", "close", "y", "features")
 
 
-def _min_instances(min_split: int) -> int:
-    return max(1, min_split // 2)
-
-
 def ridge_penalty(alpha: float, n: int, y_sd: float) -> float:
     """MLlib's regParam of a ridge ``alpha``: the normal solver divides by the population deviation of the label."""
     return alpha * y_sd * ((n - 1) / n) ** 0.5 / n
@@ -70,9 +59,8 @@ def lasso(alpha: float) -> LinearRegression:
                             maxIter=1000, tol=1e-10)
 
 
-def random_forest(trees: int = 100, depth: int | None = None, min_split: int = 2) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol="y", numTrees=trees, maxDepth=depth or MAX_TREE_DEPTH,
-                                 minInstancesPerNode=_min_instances(min_split), featureSubsetStrategy="all",
+def random_forest(trees: int = 100, depth: int | None = None) -> RandomForestRegressor:
+    return RandomForestRegressor(labelCol="y", numTrees=trees, maxDepth=depth or MAX_TREE_DEPTH, featureSubsetStrategy="all",
                                  seed=SEED, maxMemoryInMB=TREE_MEMORY_MB)
 
 
@@ -83,46 +71,12 @@ def gradient_boosting(tuned: bool = False) -> GBTRegressor:
     return GBTRegressor(labelCol="y", maxIter=100, maxDepth=6, stepSize=0.1, seed=SEED)
 
 
-def default_models(n: int, y_sd: float) -> dict:
-    return {"Linear Regression": LinearRegression(labelCol="y", regParam=0.0, solver="normal"),
-            "Ridge": ridge(1.0, n, y_sd), "Lasso": lasso(1.0), "Random Forest": random_forest(),
-            "Gradient Boosting": gradient_boosting()}
-
-
 def with_time_folds(train: DataFrame, k: int = 3) -> DataFrame:
     """``fold`` = contiguous block of the train rows in time (no shuffling)."""
     x = global_row_index(train, ["symbol"], "timestamp", "__i", with_count="__n")
     return x.withColumn("fold", F.least(F.floor(F.col("__i") * k / F.col("__n")), F.lit(k - 1)).cast("int")).drop("__i", "__n")
 
 
-def grid_search_cv3(train: DataFrame, name: str, n: int, y_sd: float, parallelism: int = 8):
-    """3-fold contiguous CV on MSE over the grid of a model family: best model, grid and mean errors."""
-    ev = RegressionEvaluator(labelCol="y", metricName="mse")
-    if name == "Ridge":
-        est = LinearRegression(labelCol="y", elasticNetParam=0.0, standardization=False, solver="normal")
-        grid = ParamGridBuilder().addGrid(est.regParam, [ridge_penalty(a, n, y_sd) for a in RIDGE_GRID]).build()
-    elif name == "Lasso":
-        est = LinearRegression(labelCol="y", elasticNetParam=1.0, standardization=False, maxIter=1000, tol=1e-10)
-        grid = ParamGridBuilder().addGrid(est.regParam, LASSO_GRID).build()
-    elif name == "Random Forest":
-        est = RandomForestRegressor(labelCol="y", featureSubsetStrategy="all", seed=SEED, maxMemoryInMB=TREE_MEMORY_MB)
-        grid = (ParamGridBuilder().addGrid(est.numTrees, RF_TREES)
-                .addGrid(est.maxDepth, [d or MAX_TREE_DEPTH for d in RF_DEPTHS])
-                .addGrid(est.minInstancesPerNode, [_min_instances(m) for m in RF_MIN_SPLIT]).build())
-    else:
-        raise ValueError(name)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", parallelism=parallelism)
-    return cv.fit(with_time_folds(train))
-
-
-def tuned_models(train: DataFrame, n: int, y_sd: float, grid_rf: bool = True) -> dict:
-    """Tuned set: CV for Ridge, Lasso (and Random Forest); fixed tuned boosting."""
-    return {"Linear Regression": LinearRegression(labelCol="y", regParam=0.0, solver="normal"),
-            "Ridge": grid_search_cv3(train, "Ridge", n, y_sd).bestModel, "Lasso": grid_search_cv3(train, "Lasso", n, y_sd).bestModel,
-            "Random Forest": grid_search_cv3(train, "Random Forest", n, y_sd).bestModel if grid_rf else random_forest(),
-            "Gradient Boosting": gradient_boosting(tuned=True)}
-
-
 def regression_metrics(pred: DataFrame, keys: list[str], y: str = "y", yhat: str = "prediction") -> DataFrame:
     """MAE, RMSE, R2 and MAPE % per group (one pass for sums, one for the mean of y)."""
     e = F.col(y) - F.col(yhat)
@@ -148,38 +102,6 @@ def naive_forecast(target_frame: DataFrame) -> DataFrame:
     return target_frame.withColumn("prediction", F.col("close"))
 
 
-def train_per_symbol(data: DataFrame, symbols: list[str], config: str = "default", grid_rf: bool = True,
-                     only: list[str] | None = None) -> DataFrame:
-    """Fit every model per symbol on its train split; test-split metrics as a table.
-
-    Symbols are fitted at the same time: each fit is a chain of small jobs that
-    leaves executors idle on its own.
-    """
-    stats = {r["symbol"]: r for r in data.where(F.col("split") == "train").groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp("y").alias("sd")).collect()}
-
-    def fit(sym: str) -> list[DataFrame]:
-        d, out = data.where(F.col("symbol") == sym), []
-        n, sd = stats[sym]["n"], stats[sym]["sd"] or 0.0
-        parts = max(1, -(-n // ROWS_PER_TRAIN_PARTITION))
-        train = d.where(F.col("split") == "train").repartition(parts).cache()
-        test = d.where(F.col("split") == "test")
-        models = default_models(n, sd) if config == "default" else tuned_models(train, n, sd, grid_rf)
-        for name, est in models.items():
-            if only and name not in only:
-                continue
-            model = est.fit(train) if hasattr(est, "fit") else est
-            pred = model.transform(test).withColumn("model", F.lit(name)).withColumn("config", F.lit(config))
-            out.append(regression_metrics(pred, ["symbol", "model", "config"]))
-        train.unpersist()
-        return out
-
-    present = [s for s in symbols if s in stats]
-    with ThreadPoolExecutor(max(1, len(present))) as pool:
-        parts = [o for rows in pool.map(fit, present) for o in rows]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def save_and_reload(model: PipelineModel | object, path: str):
     """Persist a fitted model/pipeline and load it back."""
     model.write().overwrite().save(path)

@@ -2,10 +2,15 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from barlake.operators import features as FT
+from barlake.operators import forest as RF
+from barlake.operators import gram as GR
 from barlake.operators import ml as ML
+from barlake.operators import training as TR
 from barlake.session import cut_lineage
 from barlake.catalog.base import core
 from conftest import SF01
@@ -69,3 +74,139 @@ def test_lasso_matches_coordinate_descent(spark):
     assert np.max(np.abs(got - w)) <= 1e-4 * max(1.0, np.max(np.abs(w)))
     assert set(np.flatnonzero(np.abs(got) > 1e-9)) == set(np.flatnonzero(np.abs(w) > 1e-9))
     assert abs(m.intercept - b) < 1e-6
+
+
+# Gram matrices, forests scored from one, and the table of results
+
+@pytest.fixture(scope="module")
+def data(spark):
+    return cut_lineage(ML.model_input(FT.next_close_target(FT.feature_frame(core(spark, SF01)))))
+
+
+@pytest.fixture(scope="module")
+def fits(data):
+    return GR.linear_fits(data)
+
+
+def _arrays(rows):
+    pdf = rows.select("timestamp", "features", "y").toPandas().sort_values("timestamp")
+    return np.stack(pdf["features"].map(lambda v: v.toArray()).to_numpy()), pdf["y"].to_numpy()
+
+
+def _fit(name, alpha, X, y):
+    Xc, yc = X - X.mean(0), y - y.mean()
+    if name == "Lasso":
+        return _lasso_cd(X, y, alpha)
+    w = np.linalg.lstsq(Xc, yc, rcond=1e-8)[0] if name == "Linear Regression" else np.linalg.solve(Xc.T @ Xc + alpha * np.eye(X.shape[1]), Xc.T @ yc)
+    return w, y.mean() - X.mean(0) @ w
+
+
+def test_fits_of_all_symbols_equal_separate_ones(data, fits):
+    """Predictions of every penalty, and the mean error over three time folds, against NumPy on the rows."""
+    rows = {(r.symbol, r.model, r.alpha): r for r in fits.collect()}
+    assert len(rows) == 3 * (1 + len(GR.RIDGE_GRID) + len(GR.LASSO_GRID))
+    X, y = _arrays(data.where("symbol = 'ETHUSDT' AND split = 'train'"))
+    folds = np.minimum(np.arange(len(y)) * 3 // len(y), 2)
+    for (symbol, model, alpha), r in rows.items():
+        assert r.gap < 1e-6, r
+        if symbol != "ETHUSDT" or (model, alpha) == ("Lasso", 0.01):
+            continue
+        w, b = _fit(model, alpha, X, y)
+        scale = y.std()
+        assert np.max(np.abs(X @ np.array(r.coefficients) + r.intercept - X @ w - b)) < 1e-5 * scale, (model, alpha)
+        if model != "Lasso":
+            for k in range(3):
+                w, b = _fit(model, alpha, X[folds != k], y[folds != k])
+                mse = np.mean((y[folds == k] - X[folds == k] @ w - b) ** 2)
+                assert abs(r.fold_mse[k] - mse) < 1e-3 * mse + 1e-8 * scale ** 2, (model, alpha, k)
+        assert r.n_train == len(y) and abs(r.cv_mse - np.mean(r.fold_mse)) < 1e-9 * r.cv_mse
+    for symbol in {k[0] for k in rows}:
+        for model in ("Ridge", "Lasso"):
+            mine = [r for k, r in rows.items() if k[:2] == (symbol, model)]
+            assert [r.alpha for r in mine if r.chosen] == [min(mine, key=lambda r: r.cv_mse).alpha]
+
+
+def test_lasso_meets_its_conditions_on_features_that_depend_on_each_other():
+    rnd = np.random.default_rng(1)
+    X = rnd.normal(size=(200, 6))
+    X = np.column_stack([X, X[:, 0], X[:, 1] + 1e-6 * rnd.normal(size=200), np.zeros(200)])
+    y = X @ np.array([3, -2, 0, 0, 1, 0, 0, 0, 0]) + rnd.normal(size=200)
+    Xc, yc = X - X.mean(0), y - y.mean()
+    xx, xy, w = Xc.T @ Xc, Xc.T @ yc, np.zeros(9)
+    for alpha in (2.0, 0.5, 0.1, 0.001):
+        w = GR.lasso(xx, xy, 200 * alpha, w)
+        assert GR._lasso_gap(xx, xy, 200 * alpha, w) < 1e-6 * np.abs(xy).max()
+
+
+def test_metrics_of_linear_models_equal_numpy(spark, data, tmp_path):
+    table = TR.Results(data, ["BTCUSDT"], str(tmp_path / "r")).table(["Linear Regression", "Ridge"], ["default"]).collect()
+    X, y = _arrays(data.where("symbol = 'BTCUSDT' AND split = 'train'"))
+    Xt, yt = _arrays(data.where("symbol = 'BTCUSDT' AND split = 'test'"))
+    assert {(r.symbol, r.model) for r in table} == {("BTCUSDT", "Linear Regression"), ("BTCUSDT", "Ridge")}
+    for r in table:
+        w, b = _fit(r.model, 1.0, X, y)
+        e = yt - Xt @ w - b
+        assert (r.n_train, r.n_test) == (len(y), len(yt))
+        assert r.rmse == pytest.approx(np.sqrt(np.mean(e ** 2)), rel=1e-4) and r.mae == pytest.approx(np.mean(np.abs(e)), rel=1e-4)
+        assert r.r2 == pytest.approx(1 - np.sum(e ** 2) / np.sum((yt - yt.mean()) ** 2), rel=1e-4, abs=1e-6)
+
+
+def test_cut_trees_equal_trees_fitted_small(spark, tmp_path):
+    """Depth: a fit limited in depth, same seed and tree count.  Prefix: the first trees' mean.  Split size: nodes with fewer rows are leaves."""
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(250, 4))
+    y = x[:, 0] * 3 + x[:, 1] ** 2 + rnd.normal(size=250) / 9
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b), "s", i, Vectors.dense(a)) for i, (a, b) in enumerate(zip(x, y))],
+                                 ["features", "y", "symbol", "timestamp", "copy"]).coalesce(1).cache()
+    deep = ML.random_forest(7).fit(rows)
+    deep.write().save(str(tmp_path / "deep"))
+    forest = RF.read_forest(spark, str(tmp_path / "deep"))
+    for depth in (1, 3, 6, None):
+        small = ML.random_forest(7, depth).fit(rows)
+        want = np.array([r[0] for r in small.transform(rows).select("prediction").collect()])
+        assert np.allclose(forest.scores(x, [(7, depth, 2)])[:, 0], want, atol=1e-9), depth
+    trees = np.array([[t.predict(Vectors.dense(a)) for t in deep.trees[:3]] for a in x[:20]])
+    assert np.allclose(forest.scores(x[:20], [(3, None, 2)])[:, 0], trees.mean(1), atol=1e-9)
+    got = forest.scores(x, [(7, None, 2), (7, None, 40), (7, 2, 40), (2, 2, 2)])
+
+    def walk(tree, a, least, limit):
+        at, d = forest.roots[tree], 0
+        while forest.feature[at] >= 0 and forest.rows[at] >= least and d < limit:
+            at, d = (forest.left if a[forest.feature[at]] <= forest.threshold[at] else forest.right)[at], d + 1
+        return forest.prediction[at]
+
+    for k, (trees_, depth, least) in enumerate([(7, 99, 2), (7, 99, 40), (7, 2, 40), (2, 2, 2)]):
+        assert np.allclose(got[:, k], [np.mean([walk(t, a, least, depth) for t in range(trees_)]) for a in x])
+    table = RF.grid_predictions(rows, forest, [(7, 3, 2), (2, 2, 2)]).toPandas()
+    assert len(table) == 500 and set(table["setting"]) == {"trees=7,depth=3,min_split=2", "trees=2,depth=2,min_split=2"}
+
+
+def test_results_resume_and_follow_code_and_input(spark, data, tmp_path, monkeypatch):
+    """Small forests and boosting: every piece is written once, a second run fits nothing, and the digest names code and content."""
+    monkeypatch.setattr(RF, "RF_TREES", [2, 4])
+    monkeypatch.setattr(RF, "GRID", [(t, d, m) for t in (2, 4) for d in (3, None) for m in (2, 5)])
+    monkeypatch.setattr(RF, "DEFAULT_RF", (2, None, 2))
+    monkeypatch.setattr(ML, "gradient_boosting", lambda tuned=False: GBTRegressor(labelCol="y", maxIter=6 if tuned else 3, maxDepth=3, seed=1))
+    results = TR.Results(data, ["BTCUSDT", "nowhere"], str(tmp_path / "r"))
+    first = sorted(map(str, results.table().collect()))
+    assert len(first) == len(ML.MODEL_NAMES) * 2
+    scores = results.scores().collect()
+    assert len([s for s in scores if s.model == "Random Forest"]) == 8 and all(len(s.fold_mse) == 3 for s in scores)
+    for model in ("Ridge", "Lasso", "Random Forest"):
+        (chosen,) = [s for s in scores if s.model == model and s.chosen]
+        assert chosen.cv_mse == min(s.cv_mse for s in scores if s.model == model)
+        assert any(f"model='{model}'" in r and "config='tuned'" in r and f"setting='{chosen.setting}'" in r for r in first)
+    rounds = [r.train_mse for r in sorted(results.boosting_rounds().collect(), key=lambda r: r.round)]
+    assert len(rounds) == 6 and all(a > b for a, b in zip(rounds, rounds[1:]))
+
+    def no_fit(*a, **k):
+        raise AssertionError("fitted again")
+    monkeypatch.setattr(ML, "random_forest", no_fit)
+    monkeypatch.setattr(ML, "gradient_boosting", no_fit)
+    monkeypatch.setattr(GR, "linear_fits", no_fit)
+    again = TR.Results(data, ["BTCUSDT"], str(tmp_path / "r"))
+    assert sorted(map(str, again.table().collect())) == first
+    assert TR.digest("1") != TR.digest("2")
+    before = TR.digest("1")
+    monkeypatch.setattr(TR.inspect, "getsource", lambda m: "other code")
+    assert TR.digest("1") != before
