@@ -7,6 +7,10 @@ summed by (source, hash bucket), the bucket where the running sum meets the
 budget is found, and only rows of that bucket are summed again by the next
 bits.  Rows are then filtered by comparison; nothing is sorted by hash, and a
 larger budget always takes a superset of a smaller one.
+
+Rows equal in id and text share a hash.  Where such copies stand at the
+threshold only as many of them are taken as the budget asks for: copies are
+numbered, and the same histograms over a hash of the number pick them.
 """
 
 from __future__ import annotations
@@ -69,28 +73,33 @@ def _bucket(round_no: int) -> Column:
 
 
 def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(key, threshold) for rows (key, size, h) and budgets (key, budget).
+    """(key, threshold, edge, part, copies) for rows (key, size, h) and budgets (key, budget).
 
-    A hash value is taken when at least half of its words fit the budget, so
-    the sum misses the budget by at most half of one value's words.
+    Hashes up to ``threshold`` are taken.  ``edge`` is the first value beyond, if the budget
+    takes ``part`` of its ``copies`` rows, rounded to the nearest; a row alone at its value
+    counts in the threshold or not at all, and edge is NULL.
     """
     open_ = budgets.select("key", "budget", F.lit(0.0).alias("before"), F.lit(0).cast("long").alias("prefix"))
     part = rows
     for r in range(ROUNDS + 1):
         last = r == ROUNDS
         b = F.col("h") if last else _bucket(r)
-        hist = part.groupBy("key", b.alias("b")).agg(F.sum("size").alias("n"))
+        hist = part.groupBy("key", b.alias("b")).agg(F.sum("size").alias("n"), F.count("*").alias("c"))
         run = Window.partitionBy("key").orderBy("b")
         hist = (hist.join(broadcast_if_small(open_), "key")
                 .withColumn("upto", F.col("before") + F.sum("n").over(run)))
-        # the part of a bucket that fits; a hash value counts when half of it fits
-        fits = F.col("upto") - F.col("n") / 2 <= F.col("budget") if last else F.col("upto") <= F.col("budget")
+        fits = F.col("upto") <= F.col("budget")
+        edge = hist.groupBy("key").agg(F.max(F.when(fits, F.col("b"))).alias("top"), F.min(F.when(~fits, F.struct("b", "upto", "n", "c"))).alias("e"))
+        joined = open_.join(edge, "key", "left")
         if last:
-            return (open_.select("key", "prefix").join(
-                hist.where(fits).groupBy("key").agg(F.max("b").alias("top")), "key", "left")
-                .select("key", F.coalesce("top", F.shiftleft("prefix", HASH_BITS - ROUND_BITS * ROUNDS) - 1).alias("threshold")))
-        edge = hist.where(~fits).groupBy("key").agg(F.min(F.struct("b", "upto", "n")).alias("e"))
-        open_ = cut_lineage(open_.select("key", "budget").join(edge, "key", "left").select(
+            each = F.col("e.n") / F.col("e.c")             # copies have one size
+            taken = F.floor((F.col("budget") - (F.col("e.upto") - F.col("e.n"))) / each + 0.5)
+            taken = F.coalesce(F.least(F.greatest(taken, F.lit(0)), F.col("e.c")).cast("long"), F.lit(0).cast("long"))
+            top = F.coalesce("top", F.shiftleft("prefix", HASH_BITS - ROUND_BITS * ROUNDS) - 1)
+            split = (taken > 0) & (taken < F.col("e.c"))
+            return joined.select("key", F.when((taken > 0) & (taken == F.col("e.c")), F.col("e.b")).otherwise(top).alias("threshold"),
+                                 F.when(split, F.col("e.b")).alias("edge"), F.when(split, taken).alias("part"), F.when(split, F.col("e.c")).alias("copies"))
+        open_ = cut_lineage(joined.select(
             "key", "budget",
             F.coalesce(F.col("e.upto") - F.col("e.n"), F.lit(0.0)).alias("before"),
             F.coalesce(F.col("e.b"), F.lit(1 << (ROUND_BITS * (r + 1)))).cast("long").alias("prefix")))
@@ -98,14 +107,34 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def _plan(docs: DataFrame, size: Column, id_col: str, text_col: str, source_col: str, max_repeat: int):
-    """Slim rows (id, key, size, h), per source its target and whole copies, and its hash threshold."""
+    """Slim rows (id, key, size, h), and per source its target, whole copies, hash threshold and edge."""
     rows = cut_lineage(docs.select(F.col(id_col).alias("id"), source_key(F.col(source_col)).alias("key"),
                                    size.alias("size"), row_hash(id_col, text_col).alias("h")))
     targets = source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), max_repeat)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = cut_lineage(targets.withColumn("whole", whole))
     budgets = targets.select("key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
-    return rows, targets, hash_thresholds(rows, budgets)
+    return rows, cut_lineage(targets.join(hash_thresholds(rows, budgets), "key"))
+
+
+def _copies(rows: DataFrame, plan: DataFrame, max_repeat: int) -> DataFrame:
+    """``rows`` (key, h, ...) with all columns of their source's plan and ``times``, how often each is taken.
+
+    Rows at a source's edge are written once, so that their numbers stay, and their part is picked by number.
+    """
+    open_ = F.col("whole") < max_repeat
+    joined = rows.join(broadcast_if_small(plan), "key")
+    at_edge = open_ & F.coalesce(F.col("h") == F.col("edge"), F.lit(False))
+    out = joined.where(~at_edge).withColumn("times", F.col("whole") + (open_ & (F.col("h") <= F.col("threshold"))).cast("long"))
+    if plan.where(open_ & F.col("edge").isNotNull()).limit(1).count() == 0:
+        return out
+    number = F.shiftrightunsigned(F.xxhash64("number"), 64 - HASH_BITS)
+    edge = cut_lineage(joined.where(at_edge).withColumn("number", F.monotonically_increasing_id())).withColumn("number", number)
+    picked = hash_thresholds(edge.select("key", F.lit(1).cast("long").alias("size"), F.col("number").alias("h")),
+                             plan.where(open_ & F.col("edge").isNotNull()).select("key", F.col("part").cast("double").alias("budget")))
+    picked = cut_lineage(picked.select("key", F.col("threshold").alias("up_to")))
+    edge = edge.join(broadcast_if_small(picked), "key").withColumn("times", F.col("whole") + (F.col("number") <= F.col("up_to")).cast("long"))
+    return out.unionByName(edge.select(*out.columns))
 
 
 def mix_sources(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -113,15 +142,13 @@ def mix_sources(docs: DataFrame, size: Column | None = None, id_col: str = "doc_
     """How often the mix takes each row: (doc_id, size, source_size, target, copies).
 
     * NULL source is a source of its own, last in order; NULL text has size 0.
-    * NULL ids are allowed; rows equal in id and text share one fate.
+    * NULL ids are allowed; rows equal in id and text are copies: a source's edge may take some of them and not others.
     * An empty table gives no rows; if every size is 0 all targets are 0.
     * Other columns are not read, so clashing names do not matter.
     """
     size = word_count(F.col(text_col)) if size is None else size
-    rows, targets, thresholds = _plan(docs, size, id_col, text_col, source_col, max_repeat)
-    out = rows.join(broadcast_if_small(cut_lineage(targets.join(thresholds, "key"))), "key")
-    copies = F.col("whole") + ((F.col("h") <= F.col("threshold")) & (F.col("whole") < max_repeat)).cast("long")
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"))
+    rows, plan = _plan(docs, size, id_col, text_col, source_col, max_repeat)
+    return _copies(rows, plan, max_repeat).select(F.col("id").alias(id_col), "size", "source_size", "target", F.col("times").alias("copies"))
 
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -130,12 +157,11 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Same cases as ``mix_sources``; all columns pass through.
     """
-    targets, thresholds = _plan(docs, word_count(F.col(text_col)), id_col, text_col, source_col, max_repeat)[1:]
-    t = cut_lineage(targets.join(thresholds, "key").select(F.col("key").alias("_key"), F.col("whole").alias("_whole"), F.col("threshold").alias("_threshold")))
+    plan = _plan(docs, word_count(F.col(text_col)), id_col, text_col, source_col, max_repeat)[1]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("_row"), source_key(F.col(source_col)).alias("_key"), row_hash(id_col, text_col).alias("_h"))
-    copies = (F.col("_whole") + ((F.col("_h") <= F.col("_threshold")) & (F.col("_whole") < max_repeat)).cast("long")).cast("int")
-    return (rows.join(broadcast_if_small(t), "_key").select("_row", F.explode(F.array_repeat(F.lit(True), copies)).alias("_copy"))
+    rows = docs.select(row.alias("_row"), source_key(F.col(source_col)).alias("key"), row_hash(id_col, text_col).alias("h"))
+    taken = _copies(rows, plan, max_repeat)
+    return (taken.select("_row", F.explode(F.array_repeat(F.lit(True), F.col("times").cast("int"))).alias("_copy"))
             .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
 
 
@@ -158,9 +184,10 @@ lam AS (SELECT l.total - l.caps AS num, l.rest AS den
 t AS (SELECT key, source_size, least(3.0::DOUBLE * source_size, (w * num)::DOUBLE / den) AS target FROM s, lam),
 u AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
 r AS (SELECT d.doc_id, d.size, u.*, sum(d.size) OVER (PARTITION BY key ORDER BY h) AS upto,
-             sum(d.size) OVER (PARTITION BY key, h) AS mine FROM d JOIN u USING (key))
+             sum(d.size) OVER (PARTITION BY key, h) AS mine, row_number() OVER (PARTITION BY key, h) AS copy FROM d JOIN u USING (key))
+-- a copy counts when at least half of its words fit the rest of the budget
 SELECT doc_id, size, source_size, round(target, 6) AS target,
-       (size * (whole + CASE WHEN whole < 3 AND upto - mine / 2.0::DOUBLE <= target - whole * source_size
+       (size * (whole + CASE WHEN whole < 3 AND upto - mine + (copy - 0.5::DOUBLE) * size <= target - whole * source_size
                         THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM r
 """

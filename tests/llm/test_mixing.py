@@ -48,6 +48,33 @@ def test_targets_near_budget_and_repeatable(spark):
     assert sorted(map(str, run(spark, rows).collect())) == sorted(map(str, df.collect()))
 
 
+def test_copies_are_taken_in_part(spark):
+    """A source of 310 rows, 300 of them copies of one: its words come within half a row of the target, in the mix and in the repeated rows."""
+    rows = [(1, "same words here in ten parts for all of us", "a", None, None, None)] * 300
+    rows += [(10 + i, " ".join(f"w{i}" for _ in range(10)), "a", None, None, None) for i in range(10)]
+    rows += [(100 + i, "x y z " * (i % 5), "b", None, None, None) for i in range(400)] + [(None, None, "c", None, None, None)] * 30
+    sizes = defaultdict(int)
+    for _, t, s, *_ in rows:
+        sizes[s] += len((t or "").split())
+    want, df = targets(sizes), spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = [Counter(), Counter()]
+    for r in M.mix_sources(df).collect():
+        got[0]["a" if r.doc_id is not None and r.doc_id < 100 else "b" if r.doc_id else "c"] += r.size * r.copies
+    for r in M.repeat_rows(df).collect():
+        got[1][r.source] += len((r.text or "").split())
+    assert 0 < want["a"] % sizes["a"] and got[0]["a"] == got[1]["a"]
+    for s in ("a", "b"):
+        assert all(abs(g[s] - want[s]) <= (5 if s == "a" else 12) for g in got), (s, got, want)
+    again = Counter(map(str, M.mix_sources(df.repartition(2)).collect()))
+    assert again == Counter(map(str, M.mix_sources(df).collect()))
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "word " * 300_000, "a", None, None, None), (2, "b " * 10, "a", None, None, None), (3, "c " * 200, "z", None, None, None)]
+    got = {r.doc_id: r.size for r in run(spark, rows).collect()}
+    assert got == {1: 300_000, 2: 10, 3: 200}
+
+
 def test_nested_budgets_take_supersets(spark):
     rows = spark.createDataFrame([(i,) for i in range(4000)], "i long").select(
         F.lit("1s").alias("key"), F.lit(3).cast("long").alias("size"), M.row_hash("i", "key").alias("h"))
