@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import query, read_table
+from .common import free_name, query, read_table
 from .components import connected_components
 
 BITS = 64
@@ -97,10 +97,13 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) of every row; component_id is the smallest id reachable.
+    """(doc_id, text_hash, fp, root, component_id) of every row.
+
+    ``root`` is the component's smallest fingerprint (as a signed number) and names it;
+    ``component_id`` is the smallest id reachable.
 
     * NULL or empty text, or only white space: fingerprint 0, linked like any other.
-    * NULL ids take part; a component without any id has component_id NULL.
+    * NULL ids take part; a component without any id has component_id NULL, and a root like any other.
     * Repeated rows stay repeated; an empty table gives no rows; other columns are not read.
     * Copies meet as one fingerprint, so a text that fills a third of the table
       costs no more than one row in the search.
@@ -115,28 +118,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "fp", "low_id", F.coalesce("root", "fp").alias("root"))
     fps = cut_lineage(fps)
     roots = fps.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    names = fps.join(roots, "root").select("fp", "component_id")
-    return rows.join(names, "fp").select(F.col("id").alias(id_col), "text_hash", "fp", "component_id")
+    names = fps.join(roots, "root").select("fp", "root", "component_id")
+    return rows.join(names, "fp").select(F.col("id").alias(id_col), "text_hash", "fp", "root", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that stay: of each component of ``near_duplicates`` the row with the smallest id.
 
     Rows are named by (id, text hash), NULL ids last; of rows equal in both one stays.
+    Components without any id go by their root like all others.  Columns of any name pass through.
     """
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))          # id-less components go by fingerprint
-    best = (found.groupBy("component_id", group.alias("g"), rank.alias("r")).agg(F.count("*").alias("n"))
-            .groupBy("component_id", "g").agg(F.min(F.struct("r", "n")).alias("b"))
-            .select(F.col("b.r.id").alias("_id"), F.col("b.r.h").alias("_h"), F.col("b.n").alias("_n")))
+    id_, h_ = free_name(docs.columns, "_id"), free_name(docs.columns, "_h")
+    best = (found.groupBy("root", rank.alias("r")).agg(F.count("*").alias("n"))
+            .groupBy("root").agg(F.min(F.struct("r", "n")).alias("b"))
+            .select(F.col("b.r.id").alias(id_), F.col("b.r.h").alias(h_), F.col("b.n").alias("n")))
     best = cut_lineage(best)
     h = F.xxhash64(F.col(text_col))
 
     def rows_of(names: DataFrame) -> DataFrame:
-        return docs.join(names.select("_id", "_h"), docs[id_col].eqNullSafe(F.col("_id")) & (h == F.col("_h")), "left_semi")
+        return docs.join(names.select(id_, h_), F.col(id_col).eqNullSafe(F.col(id_)) & (h == F.col(h_)), "left_semi")
 
-    once = rows_of(best.where("_n = 1"))
-    again = rows_of(best.where("_n > 1")).withColumn("_h", h).dropDuplicates([id_col, "_h"]).drop("_h")
+    once = rows_of(best.where("n = 1"))
+    again = rows_of(best.where("n > 1")).withColumn(h_, h).dropDuplicates([id_col, h_]).drop(h_)
     return once.unionByName(again)
 
 

@@ -114,6 +114,28 @@ def test_keep_one_per_group(spark):
     assert S.keep_one_per_group(empty, S.near_duplicates(empty)).collect() == []
 
 
+def test_rows_without_ids_are_grouped_like_all_others(spark):
+    """Near copies two bits or fewer apart, all without id: one stays."""
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(500)}" for _ in range(400)]
+    near = {brute_fp(" ".join(base)): " ".join(base)}
+    for k in range(400):                                    # texts that differ in one word and in one or two bits
+        t = " ".join([*base[:k], "other", *base[k + 1:]])
+        if 0 < (brute_fp(t) ^ brute_fp(" ".join(base))).bit_count() <= 2:
+            near[brute_fp(t)] = t
+    assert len(near) > 1
+    df = spark.createDataFrame([(None, t, "x", 1) for t in near.values()], SCHEMA)
+    found = S.near_duplicates(df)
+    assert len({r.root for r in found.collect()}) == 1 and {r.component_id for r in found.collect()} == {None}
+    assert S.keep_one_per_group(df, found).count() == 1
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    df = spark.createDataFrame([(1, "a b c d", 7, 8, 9, 10), (2, "a b c d", 7, 8, 9, 10)], "doc_id long, text string, _id int, _h int, root int, n int")
+    kept = S.keep_one_per_group(df, S.near_duplicates(df))
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d", 7, 8, 9, 10)]
+
+
 def test_very_long_text():
     t = " ".join(f"w{i}" for i in range(100_000))
     h = np.array([xxhash.xxh64(f"w{i} w{i + 1} w{i + 2}".encode(), seed=42).intdigest() for i in range(99_998)], "u8")
