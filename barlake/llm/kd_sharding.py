@@ -6,10 +6,14 @@ distributed weighted median, so that both sides get bytes in proportion to
 their leaves.  Splitting stops when leaves reach the target bytes.
 
 The cut is found by histograms: bytes are summed over equal-width slices of
-the dimension, and only the slice that holds the cut is divided again.  Rows
-that tie in the dimension are ordered by text hash, so equal texts with equal
-metadata stay together unless the cut falls inside their group, then by id.
-Each round returns a number of sums that does not depend on the input.
+the dimension, and only the slice that holds the cut is divided again.  Each
+round returns a number of sums that does not depend on the input.
+
+Equal texts are a group with one place in every dimension, the smallest of
+its rows.  Rows that tie in the dimension are ordered by text hash; a group of
+up to ``GROUP_SHARE`` of a leaf's bytes goes whole to the side nearer to the
+cut, a larger one is divided by row, as one text may fill a third of the table.
+Sources and languages are placed by their rank among the distinct names.
 """
 
 from __future__ import annotations
@@ -27,16 +31,35 @@ SLICES = 1024
 #: A slice is divided until it is one value or holds no more than this share of its node.
 TOLERANCE = 1 / 2 ** 14
 SLOT_BUCKET_ROWS = 50_000
+#: Groups of equal texts up to this share of a leaf are not divided; each cut is off by half of it at most.
+GROUP_SHARE = 1 / 2
 DIMS = ("by_source", "by_lang", "by_size", "by_id")
 TIES = ("by_text", "by_row")
 HASH_TOP = 2 ** 62 - 1                               # differences of dimension values stay in 64 bits
 ID_TOP = 2 ** 61
 
 
-def text_prefix_code(c: Column) -> Column:
-    """First seven bytes of a string as an order-keeping integer; NULL comes first (-1)."""
-    head = F.rpad(F.substring(F.encode(c, "UTF-8"), 1, 7), 7, F.lit(b"\0"))
-    return F.coalesce(F.conv(F.hex(head), 16, 10).cast("long"), F.lit(-1).cast("long"))
+def name_ranks(names: DataFrame) -> DataFrame:
+    """(name, rank) of every distinct name in code-point order, from 0, for any number of names.
+
+    Names are range-partitioned and sorted; the rank is the place in the partition after the counts of those before.
+    """
+    held = names.where("name IS NOT NULL").distinct().repartitionByRange("name").sortWithinPartitions("name")
+    held = cut_lineage(held.withColumn("place", F.monotonically_increasing_id()))
+    held = held.withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)           # one row a partition
+    first = held.groupBy("part").agg(F.count("*").alias("c")).select("part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("first"))
+    return cut_lineage(held.join(F.broadcast(first), "part").select("name", (F.col("first") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank")))
+
+
+def _with_group_places(rows: DataFrame) -> DataFrame:
+    """``rows`` with ranks for names, and for rows of equal texts the smallest place of their group in each dimension."""
+    for name, d in (("source", "by_source"), ("lang", "by_lang")):
+        ranks = name_ranks(rows.select(F.col(name).alias("name"))).select(F.col("name").alias(name), F.col("rank").alias(d))
+        rows = rows.join(broadcast_if_small(ranks), name, "left").withColumn(d, F.coalesce(d, F.lit(-1).cast("long"))).drop(name)
+    low = rows.groupBy("by_text").agg(F.count("*").alias("c"), *[F.min(d).alias(f"low_{d}") for d in DIMS]).where("c > 1").drop("c")
+    rows = rows.join(broadcast_if_small(cut_lineage(low)), "by_text", "left")
+    return rows.withColumns({d: F.coalesce(f"low_{d}", d) for d in DIMS}).drop(*[f"low_{d}" for d in DIMS])
 
 
 @dataclass
@@ -57,10 +80,10 @@ def _node_column(cuts: list[Cut]) -> Column:
     return node
 
 
-def _find_cuts(rows: DataFrame, open_nodes: dict[int, tuple[str, int, int, float]]) -> list[Cut]:
-    """Cuts of ``{node: (dim, low, high, bytes that go left)}``, a few jobs for all nodes together."""
-    state = {n: {"cols": [d, *TIES], "at": 0, "lo": lo, "hi": hi, "want": want, "eps": max(1.0, want * TOLERANCE), "path": []}
-             for n, (d, lo, hi, want) in open_nodes.items()}
+def _find_cuts(rows: DataFrame, open_nodes: dict[int, tuple[str, int, int, float, float]]) -> list[Cut]:
+    """Cuts of ``{node: (dim, low, high, bytes that go left, bytes of a group kept whole)}``, a few jobs for all nodes together."""
+    state = {n: {"cols": [d, *TIES], "at": 0, "lo": lo, "hi": hi, "want": want, "eps": max(1.0, want * TOLERANCE), "group": group, "path": []}
+             for n, (d, lo, hi, want, group) in open_nodes.items()}
     done: list[Cut] = []
     while state:
         slice_col, keep = F.lit(None).cast("long"), F.lit(False)
@@ -87,7 +110,8 @@ def _find_cuts(rows: DataFrame, open_nodes: dict[int, tuple[str, int, int, float
             hi = min(s["hi"], lo + s["width"] - 1)
             s["want"] -= left
             last_col = s["at"] == len(s["cols"]) - 1
-            if b <= s["eps"] or (s["width"] == 1 and last_col):     # cut at the nearer edge of the slice
+            whole = s["width"] == 1 and s["cols"][s["at"]] == "by_text" and b <= s["group"]
+            if b <= s["eps"] or whole or (s["width"] == 1 and last_col):     # cut at the nearer edge of the slice
                 bound = hi if 2 * s["want"] >= b else lo - 1
                 done.append(Cut(n, [*s["path"], (s["cols"][s["at"]], bound)]))
                 # ties of the bound stay left: its followers are all at most the maximum
@@ -110,8 +134,9 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     UTF-8 bytes of the text plus 1.
 
     * NULL text: no bytes, crc32 of the empty text.  NULL metadata sorts first.
-    * Repeated rows and ties are separated by a written row number, so all
-      leaves stay near equal even if one text or one key fills the table.
+    * Equal texts share a leaf unless they hold more than ``GROUP_SHARE`` of one; larger groups and
+      rows that tie in all else are separated by a written row number, so all leaves stay near equal
+      even if one text or one key fills the table.
     * An empty table gives no rows; fewer rows than shards leave shards empty.
     * Reads the columns id, text, lang and source (absent ones count as NULL) only.
     """
@@ -120,12 +145,12 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     attr = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), (F.length(body).cast("long") + 1).alias("size"),
                        F.crc32(body).alias("text_crc32"), F.shiftrightunsigned(F.xxhash64(body), 2).alias("by_text"),
-                       text_prefix_code(attr("source")).alias("by_source"), text_prefix_code(attr("lang")).alias("by_lang"),
+                       attr("source").alias("source"), attr("lang").alias("lang"),
                        F.round(F.log2(F.length(body) + F.lit(1.0)) * 65536).cast("long").alias("by_size"),
                        F.greatest(F.lit(-ID_TOP), F.least(F.lit(ID_TOP), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))).alias("by_id"),
                        F.monotonically_increasing_id().alias("rid"))
     # written once: row numbers are fixed from here on
-    rows = cut_lineage(rows).withColumn("by_row", F.shiftrightunsigned(F.xxhash64("rid"), 2))
+    rows = cut_lineage(_with_group_places(cut_lineage(rows))).withColumn("by_row", F.shiftrightunsigned(F.xxhash64("rid"), 2))
     ends = lambda: [f(d).alias(f"{f.__name__}_{d}") for d in DIMS for f in (F.min, F.max)]
     top = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *ends()).first()
     n, total = top["n"], top["bytes"] or 0
@@ -140,7 +165,7 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
             if k > 1 and node in stats:
                 r = stats[node]
                 d = max(DIMS, key=lambda x: (r[f"max_{x}"] - r[f"min_{x}"]) / spread[x])
-                todo[node] = (d, r[f"min_{d}"], r[f"max_{d}"], r["bytes"] * (k // 2) / k)
+                todo[node] = (d, r[f"min_{d}"], r[f"max_{d}"], r["bytes"] * (k // 2) / k, GROUP_SHARE * r["bytes"] / k)
         cuts += _find_cuts(at, todo)
         plan = {c: kk for node, k in plan.items()
                 for c, kk in ([(node, 1)] if k == 1 else [(2 * node, k // 2), (2 * node + 1, k - k // 2)])}
