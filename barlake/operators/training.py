@@ -115,8 +115,8 @@ class Results:
         def build() -> DataFrame:
             pick = forest.DEFAULT_RF
             if config == "tuned":
-                scores = {r["setting"]: r["mse"] for r in self.scores().where((F.col("symbol") == symbol) & (F.col("model") == "Random Forest") & F.col("chosen")).collect()}
-                pick = next(g for g in forest.GRID if forest.name_of(g) in scores)
+                chosen = self.scores().where((F.col("symbol") == symbol) & (F.col("model") == "Random Forest") & F.col("chosen")).first()["setting"]
+                pick = next(g for g in forest.GRID if forest.name_of(g) == chosen)
             trees = self._forest(symbol, None)
             rows = self.data.where(F.col("symbol") == symbol)
             p = [forest.grid_predictions(rows.where(F.col("split") == s), trees, [pick]).withColumns({"model": F.lit("Random Forest"), "config": F.lit(config)})
