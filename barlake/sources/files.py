@@ -119,5 +119,41 @@ def write_single_csv(df: DataFrame, path: str) -> None:
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Truncate-and-reload a (small) dimension table."""
-    df.write.mode("overwrite").parquet(path)
+    """Reload a (small) table: write aside, then swap by rename.
+
+    Readers see the old table until the new one is whole.  A failure before the
+    swap leaves the old table; one between its two renames leaves it under the
+    name ``path + ".old"``, from where the next reload, or ``recover_table``, puts it back.
+    """
+    spark = df.sparkSession
+    recover_table(spark, path)
+    new, old = _path(spark, path + ".new"), _path(spark, path + ".old")
+    df.write.mode("overwrite").parquet(path + ".new")
+    fs, at = _fs(spark, path), _path(spark, path)
+    if fs.exists(at):
+        _rename(fs, at, old)
+    _rename(fs, new, at)
+    fs.delete(old, True)
+
+
+def recover_table(spark, path: str) -> None:
+    """Finish or undo a swap that broke off; what was written aside but not swapped is left for the next reload to replace."""
+    fs, at, old = _fs(spark, path), _path(spark, path), _path(spark, path + ".old")
+    if fs.exists(old):
+        if fs.exists(at):
+            fs.delete(old, True)
+        else:
+            _rename(fs, old, at)
+
+
+def _path(spark, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _rename(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"{a} could not be renamed to {b}")

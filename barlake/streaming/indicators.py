@@ -13,7 +13,7 @@ Three physical forms, same numbers:
   row index (chunk-parallel, exact);
 * :func:`indicators_per_group` - per (symbol, window) lists with higher-order
   functions, the literal "group of candles" form of the stream job;
-* :mod:`barlake.streaming.stateful` - history carried across micro-batches.
+* :mod:`barlake.streaming.tails` - the window form over each micro-batch and the last candles before it.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ micro-batches (``maxFilesPerTrigger``) and stops.
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,23 +86,59 @@ BACKLOG_FILE_ROWS = 200_000
 
 
 def write_messages_in_order(df: DataFrame, path: str, files: int = 3) -> str:
-    """Stage a backlog in event-time order: each file is written after those with earlier events.
+    """Stage a backlog in event-time order: each file counts as written after those with earlier events.
 
     A file source reads files by modification time, so a replay sees ordered
     events however many files a micro-batch takes, and its watermark drops none.
-    Files hold at most about ``BACKLOG_FILE_ROWS`` messages.
+    One job writes all files at once, range-partitioned by time and a hash of
+    the message: messages of one time are divided too, so files hold about
+    ``BACKLOG_FILE_ROWS`` at most.  Their times are set afterwards, in order,
+    after all files that were there before.  The file system must keep such
+    times (HDFS and local ones do).
     """
+    spark = df.sparkSession
     t = F.coalesce(F.get_json_object("value", "$.start_time"), F.get_json_object("value", "$.event_time"))
-    rows = df.select("value", t.alias("__t"))
+    rows = df.select("value", t.alias("__t"), F.xxhash64("value").alias("__h"))
     files = max(files, -(-rows.count() // BACKLOG_FILE_ROWS))
-    slices = (rows.repartitionByRange(files, "__t").sortWithinPartitions("__t")
-              .withColumn("__file", F.spark_partition_id()).checkpoint(eager=True))
-    for i in range(files):
-        part = slices.where(F.col("__file") == i).sort("__t").coalesce(1)
-        part.select("value").write.mode("append").text(path)
+    known = {f: m for f, m in _files(spark, path)}
+    rows.repartitionByRange(files, "__t", "__h").sortWithinPartitions("__t", "__h").select("value").write.mode("append").text(path)
+    new = sorted((f for f, _ in _files(spark, path) if f not in known), key=lambda f: f.rsplit("/", 1)[-1])      # part-00000 on: range order
+    at = max([int(time.time() * 1000) - 1000 * len(new), *[m + 1000 for m in known.values()]])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for k, f in enumerate(new):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f), at + 1000 * k, -1)
     return path
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Data files of a folder with their modification times, in milliseconds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [(f.getPath().toString(), f.getPath().getName(), f.getModificationTime()) for f in fs.listStatus(folder) if f.isFile()]
+    return [(f, m) for f, name, m in found if not name.startswith(("_", "."))]
+
+
+def batch_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The largest batch id below ``batch_id`` that has been written whole under ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    ids = sorted((int(n.split("=")[1]) for n in names if n.startswith("batch_id=")), reverse=True)
+    return next((i for i in ids if i < batch_id and table_exists(spark, f"{path}/batch_id={i}/_SUCCESS")), None)
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
 def write_batch(batch: DataFrame, batch_id: int, sink: str) -> None:
     """Write a micro-batch under its id; a batch that runs again replaces what it wrote before."""
     batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
@@ -138,27 +175,30 @@ def update_mode_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> str:
 class LateSplitter:
     """foreachBatch body: rows older than (max event time of earlier batches - lateness) go to quarantine.
 
-    The only driver-side value is that maximum, one scalar read from what
-    earlier batches wrote, so a batch that runs again decides as before and
-    replaces its own output.
+    Every batch logs the newest event time so far under its id, one row; the
+    next reads that row alone, however long the history.  A batch that runs
+    again decides as before and replaces its own output.
     """
 
-    def __init__(self, good_path: str, late_path: str, lateness_seconds: int):
+    def __init__(self, good_path: str, late_path: str, lateness_seconds: int, log_path: str | None = None):
         self.good_path, self.late_path, self.lateness = good_path, late_path, lateness_seconds
+        self.log_path = log_path or good_path.rstrip("/") + "_newest"
 
-    def _max_before(self, spark: SparkSession, batch_id: int):
-        if not table_exists(spark, self.good_path):
-            return None
-        return spark.read.parquet(self.good_path).where(F.col("batch_id") < batch_id).agg(F.max("event_ts")).first()[0]
+    def _max_before(self, spark: SparkSession, batch_id: int) -> int | None:
+        before = batch_before(spark, self.log_path, batch_id)
+        return None if before is None else spark.read.schema("us long").parquet(f"{self.log_path}/batch_id={before}").first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        seen = self._max_before(batch.sparkSession, batch_id)
+        spark = batch.sparkSession
+        seen = self._max_before(spark, batch_id)
         is_late = F.lit(False)
         if seen is not None:
-            is_late = F.col("event_ts") < F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {self.lateness} SECONDS")
+            is_late = F.col("event_ts") < F.timestamp_micros(F.lit(seen)) - F.expr(f"INTERVAL {self.lateness} SECONDS")
         b = batch.withColumn("is_late", is_late).persist()
         write_batch(b.where(F.col("is_late")).drop("is_late"), batch_id, self.late_path)
         write_batch(b.where(~F.col("is_late")).drop("is_late"), batch_id, self.good_path)
+        newest = b.where(~F.col("is_late")).agg(F.max(F.unix_micros("event_ts")).alias("us"))
+        write_batch(newest.select(F.greatest("us", F.lit(seen).cast("long")).alias("us")), batch_id, self.log_path)
         b.unpersist()
 
 
@@ -236,7 +276,8 @@ def create_table(spark: SparkSession, schema, path: str, partition_by=("date",))
 
 
 def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partition_by=("date",),
-                             keys=("symbol", "timestamp"), late_path: str | None = None):
+                             keys=("symbol", "timestamp"), late_path: str | None = None,
+                             prepare: Callable[[DataFrame, int], DataFrame] | None = None):
     """Streaming append of unified rows into an existing table (create-never).
 
     Each micro-batch is cast to the fixed 21-column types, rows with a NULL in
@@ -246,12 +287,14 @@ def append_to_existing_table(rows: DataFrame, path: str, checkpoint: str, partit
     Plain batch writes are used, not the streaming file sink: its metadata log
     would hide the table's batch-written files from readers.  An absent table
     is an error, never created here.  Rows flagged ``late`` go to ``late_path``.
+    ``prepare(batch, id)`` makes the unified rows of a batch where the stream does not hold them.
     """
     spark = rows.sparkSession
     if not table_exists(spark, path):
         raise FileNotFoundError(f"table {path} does not exist (create-never)")
 
     def fn(batch: DataFrame, batch_id: int) -> None:
+        batch = prepare(batch, batch_id) if prepare else batch
         if late_path:
             batch = batch.persist()
             write_batch(batch.where("late"), batch_id, late_path)

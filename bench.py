@@ -34,7 +34,7 @@ from barlake.sources.adapters import EVENT_SYMBOLS, candles_from_events, candles
 from barlake.sources.files import new_table_path  # noqa: E402
 from barlake.sources.messages import stream_messages, tick_messages  # noqa: E402
 from barlake.streaming import jobs as J  # noqa: E402
-from barlake.streaming.stateful import stateful_stream_indicators  # noqa: E402
+from barlake.streaming import tails as T  # noqa: E402
 from barlake.streaming.indicators import stream_indicators  # noqa: E402
 
 
@@ -107,8 +107,7 @@ def main() -> None:
         v = J.validated_stream(J.message_stream(spark, candle_src))
         good = v.where(F.col("reject_reason").isNull()).drop("reject_reason", "value", "timestamp")
         sink = new_table_path(spark, "bench_stateful")
-        J.run_to_parquet(stateful_stream_indicators(good), sink)
-        return spark.read.parquet(sink)
+        return spark.read.parquet(T.stream_indicator_rows(good, sink, sink + "_ck"))
 
     qs["stream_tumbling_5min_ticks"] = stream_tumbling
     qs["stream_stateful_indicators_events"] = stream_stateful

@@ -1,6 +1,7 @@
 """Indicator fixtures: warm-up positions, degenerate series, three stream forms agree."""
 
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pytest
@@ -8,11 +9,48 @@ from pyspark.sql import functions as F
 
 from barlake.operators import indicators as ind
 from barlake.streaming.indicators import STREAM_COLS, indicators_per_group, stream_indicators
-from barlake.streaming.stateful import indicators_at
 
 T0 = dt.datetime(2024, 1, 1)
 
 
+def _r2(x: float | None) -> float | None:
+    if x is None or not np.isfinite(x):
+        return None
+    y = float(Decimal(repr(float(x))).quantize(Decimal("1e-10"), ROUND_HALF_UP))
+    return float(Decimal(repr(y)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def indicators_at(c: np.ndarray, k: int, i: int) -> dict:
+    """Stream indicators of the candle at array position k, series position i."""
+    def mean(p, at=k):
+        return float(np.sum(c[at - p + 1:at + 1])) / p
+
+    out = dict.fromkeys(STREAM_COLS)
+    if i >= 14:
+        ch = np.diff(c[k - 14:k + 1])
+        ag, al = np.where(ch > 0, ch, 0.0).sum() / 14, np.where(ch > 0, 0.0, np.abs(ch)).sum() / 14
+        out["rsi_14"] = 100.0 if al == 0 else _r2(100 - 100 / (1 + ag / al))
+    if i >= 19:
+        mid = mean(20)
+        sd = float(np.sqrt(np.sum((c[k - 19:k + 1] - mid) ** 2) / 20))
+        out.update(sma_20=_r2(mid), bb_middle=_r2(mid), bb_upper=_r2(mid + 2 * sd), bb_lower=_r2(mid - 2 * sd))
+    if i >= 49:
+        out["ema_50"] = _r2(mean(50))
+
+    def macd_at(kk, ii):
+        if ii < 25:
+            return None
+        e12, e26 = _r2(mean(12, kk)), _r2(mean(26, kk))
+        return e12 - e26 if e12 and e26 else None
+
+    out["macd"] = macd_at(k, i)
+    if i >= 35:
+        ms = [macd_at(k - d, i - d) for d in range(8, -1, -1)]
+        if all(m is not None for m in ms):
+            out["macd_signal"] = _r2(sum(ms) / 9)
+    return out
+
+
 def series(spark, closes, symbol="BTCUSDT"):
     rows = [(symbol, T0 + dt.timedelta(minutes=5 * i), float(c), float(c) + 1, float(c) - 1, float(c), 10.0, 3)
             for i, c in enumerate(closes)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barlake.sources.files import new_table_path
 from barlake.streaming import jobs as J
 from barlake.streaming.indicators import STREAM_COLS, stream_indicators
-from barlake.streaming.stateful import stateful_stream_indicators
+from barlake.streaming.tails import HISTORY, TailIndicators, stream_indicator_rows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -32,7 +32,7 @@ def test_stateful_across_micro_batches(spark):
     def run():
         v = J.validated_stream(J.message_stream(spark, src, max_files=1000))
         good = v.where(F.col("reject_reason").isNull()).drop("reject_reason", "value", "timestamp")
-        J.run_to_parquet(stateful_stream_indicators(good), sink, checkpoint=ck)
+        stream_indicator_rows(good, sink, ck)
 
     J.write_messages(msgs(spark, range(0, 40), closes), src)
     run()
@@ -103,7 +103,8 @@ def test_stream_append_keeps_batch_rows_and_is_idempotent(spark):
     def replay(ck):
         v = J.validated_stream(J.message_stream(spark, src, max_files=1000))
         good = v.where("reject_reason IS NULL").drop("reject_reason", "value", "timestamp")
-        J.append_to_existing_table(J.stream_unified_rows(stateful_stream_indicators(good)), table_path, ck)
+        tails = TailIndicators(ck + "_tails")
+        J.append_to_existing_table(good, table_path, ck, prepare=lambda batch, i: J.stream_unified_rows(tails(batch, i)))
 
     replay(table_path + "_ck1")
     counts = {r["source"]: r["count"] for r in spark.read.parquet(table_path).groupBy("source").count().collect()}
@@ -139,3 +140,118 @@ def test_a_batch_that_runs_again_replaces_its_output(spark):
     for _ in range(2):
         splitter(batch([0, 8, 28]), 1)
     assert spark.read.parquet(good).count() == 19 and spark.read.parquet(late).count() == 2
+
+
+def candles(spark, series):
+    rows = [(s, T0 + dt.timedelta(minutes=5 * int(i)), float(c)) for s, i, c in series]
+    return spark.createDataFrame(rows, "symbol string, event_ts timestamp, close double")
+
+
+def test_tails_equal_the_batch_form_however_a_series_is_cut(spark, monkeypatch):
+    """Many batches of any size, a symbol over many chunks, batches that run again, symbols that rest: the rows of one pass."""
+    from barlake.plans import chunked
+    from barlake.streaming import tails as T
+    monkeypatch.setattr(T, "chunked_window", lambda *a, **k: chunked.chunked_window(*a, chunk_rows=64, bucket_unit="hour", **k))
+    rng = np.random.default_rng(11)
+    hot = [("HOT", i, c) for i, c in enumerate(np.round(100 + np.cumsum(rng.normal(0, 1, 400)), 2))]
+    slow = [("SLOW", 40 * i, c) for i, c in enumerate(np.round(50 + np.cumsum(rng.normal(0, 1, 10)), 2))]
+    tails, got = TailIndicators(new_table_path(spark, "tails")), []
+    for b, (lo, hi) in enumerate([(0, 3), (3, 200), (200, 201), (201, 330), (330, 400)]):
+        batch = candles(spark, [x for x in hot + slow if lo <= x[1] < hi])
+        if b % 2:
+            tails(batch, b).collect()                     # a run that was lost after its tails were written
+        got += [tuple(r) for r in tails(batch, b).where("NOT late").select("symbol", "event_ts", *STREAM_COLS).collect()]
+    whole = candles(spark, hot + slow).withColumn("timestamp", F.col("event_ts").cast("timestamp_ntz"))
+    want = [tuple(r) for r in stream_indicators(whole).select("symbol", "event_ts", *STREAM_COLS).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = {r["symbol"]: r["count"] for r in spark.read.parquet(f"{tails.path}/batch_id=4").groupBy("symbol").count().collect()}
+    assert kept == {"HOT": HISTORY, "SLOW": 10} and not J.table_exists(spark, f"{tails.path}/batch_id=2")
+
+
+def test_tails_flag_late_and_second_candles_and_forget_old_symbols(spark):
+    tails = TailIndicators(new_table_path(spark, "tails_late"), retention="1 day")
+    out = tails(candles(spark, [("A", 1, 5), ("A", 1, 5), ("A", 2, 6), ("B", 0, 1)]), 0).collect()
+    assert sorted((r.symbol, r.late) for r in out) == [("A", False), ("A", False), ("A", True), ("B", False)]
+    out = tails(candles(spark, [("A", 2, 7), ("A", 0, 7), ("A", 2000, 8)]), 1).collect()
+    assert sorted(r.late for r in out) == [False, True, True]
+    assert {r.symbol for r in spark.read.parquet(f"{tails.path}/batch_id=1").select("symbol").collect()} == {"A"}
+    assert tails(candles(spark, []), 2).collect() == []
+
+
+def test_backlog_files_are_bounded_and_in_order(spark, monkeypatch):
+    """A third of the messages share one time; files are written at once, hold a bounded number, and follow each other in time."""
+    monkeypatch.setattr(J, "BACKLOG_FILE_ROWS", 100)
+    n = 900
+    rows = [(json.dumps({"symbol": "S", "start_time": (T0 + dt.timedelta(minutes=5 * (450 if i % 3 == 0 else i))).isoformat(), "close": i}),) for i in range(n)]
+    src = new_table_path(spark, "ordered")
+    J.write_messages_in_order(spark.createDataFrame(rows, "value string"), src)
+    files = sorted(J._files(spark, src), key=lambda f: f[1])
+    assert len({m for _, m in files}) == len(files) >= 9
+    last, total = "", 0
+    for f, _ in files:
+        t = [json.loads(r.value)["start_time"] for r in spark.read.text(f).collect()]
+        assert len(t) <= 250 and min(t) >= last
+        last, total = max(t), total + len(t)
+    assert total == n
+    J.write_messages_in_order(spark.createDataFrame(rows[:3], "value string"), src)
+    new = [m for f, m in J._files(spark, src) if f not in {x for x, _ in files}]
+    assert min(new) > files[-1][1]
+
+
+def test_newest_time_is_read_from_one_row_of_a_log(spark, monkeypatch):
+    """A batch reads the log of the batch before, not the sink; gaps in batch ids and batches without rows are no matter."""
+    good, late = new_table_path(spark, "log_good"), new_table_path(spark, "log_late")
+    splitter = J.LateSplitter(good, late, 30 * 60)
+
+    def batch(idx):
+        v = J.PZ.validate_messages(msgs(spark, idx, [100.0 + i for i in range(60)]))
+        return v.withColumn("event_ts", F.col("timestamp").cast("timestamp")).drop("value")
+
+    splitter(batch(range(12, 30)), 0)
+    splitter(batch([]), 1)
+    splitter(batch([40]), 3)
+    splitter(batch([0, 38]), 4)
+    assert spark.read.parquet(late).count() == 1 and spark.read.parquet(good).count() == 20
+    newest = int((T0 + dt.timedelta(minutes=200) - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
+    assert [spark.read.parquet(f"{splitter.log_path}/batch_id={i}").collect()[0].us for i in (3, 4)] == [newest, newest]
+
+
+def test_running_counters_equal_the_batch_form(spark):
+    from barlake.streaming.counters import run_counted, totals
+    src, sink = new_table_path(spark, "cnt_src"), new_table_path(spark, "cnt_sink")
+    bad = spark.createDataFrame([("no json",), ("{}",)], "value string")
+    J.write_messages(msgs(spark, range(30), [1.0 + i for i in range(30)]).repartition(4).unionByName(bad), src)
+    v = J.validated_stream(J.message_stream(spark, src))
+    out = run_counted(v, lambda b, i: J.write_batch(b.where("reject_reason IS NULL").drop("reject_reason"), i, sink), sink + "_ck", sink + "_c", "cnt").first()
+    assert tuple(out) == (32, 1, 30, 2) and spark.read.parquet(sink).count() == 30
+    assert len({r.batch_id for r in spark.read.parquet(sink + "_c").collect()}) > 1
+    run_counted(v, lambda b, i: None, sink + "_ck", sink + "_c", "cnt")              # nothing new: the totals stay
+    assert tuple(totals(spark, sink + "_c").first()) == (32, 1, 30, 2)
+
+
+def test_a_reload_that_breaks_off_leaves_the_old_table(spark, monkeypatch):
+    import pytest
+    from barlake.sources import files as FS
+    path = new_table_path(spark, "dim")
+    one, two = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2,), (3,)], "a int")
+    read = lambda: sorted(r.a for r in spark.read.parquet(path).collect())
+    FS.overwrite_table(one, path)
+    with pytest.raises(Exception):
+        FS.overwrite_table(two.select(F.raise_error(F.lit("lost")).cast("int").alias("a")), path)
+    assert read() == [1]
+    rename, calls = FS._rename, []
+
+    def second_fails(fs, a, b):
+        calls.append(a)
+        if len(calls) == 2:
+            raise OSError("lost between the renames")
+        rename(fs, a, b)
+    monkeypatch.setattr(FS, "_rename", second_fails)
+    with pytest.raises(OSError):
+        FS.overwrite_table(two, path)
+    monkeypatch.setattr(FS, "_rename", rename)
+    FS.recover_table(spark, path)
+    assert read() == [1]
+    FS.overwrite_table(two, path)
+    FS.overwrite_table(two, path)
+    assert read() == [2, 3] and not FS._fs(spark, path).exists(FS._path(spark, path + ".old"))
