@@ -31,6 +31,8 @@ from ..session import cut_lineage
 RIDGE_GRID = [0.01, 0.1, 1, 10, 100]
 LASSO_GRID = [0.01, 0.1, 1, 10]
 MAX_SWEEPS = 20_000
+POLISH_SWEEPS = 25          # sweeps after which the linear system on the features left in is tried
+GAP = 1e-10                 # of the largest product with the label: how well it must meet the optimality conditions
 TOLERANCE = 1e-12           # of a sweep's largest step, relative to the label's deviation
 FIT_SCHEMA = """symbol string, model string, alpha double, n_train long, intercept double, coefficients array<double>,
  fold_mse array<double>, cv_mse double, chosen boolean, gap double"""
@@ -80,12 +82,12 @@ def least_squares(xx: np.ndarray, xy: np.ndarray, l2: float = 0.0) -> np.ndarray
 
 
 def lasso(xx: np.ndarray, xy: np.ndarray, l1: float, w: np.ndarray) -> np.ndarray:
-    """Coordinate descent on ``w'xx w / 2 - xy'w + l1 * |w|_1`` from ``w``, then exactly on the features it leaves in."""
+    """Coordinate descent on ``w'xx w / 2 - xy'w + l1 * |w|_1`` from ``w`` until the features it leaves in give the exact optimum."""
     w, d = w.copy(), np.diag(xx)
     use = [int(j) for j in np.flatnonzero(d > 1e-12 * max(d.max(initial=0.0), 1e-300))]
     gradient = xy - xx @ w
     unit = np.sqrt(max(float(np.max(np.abs(xy), initial=0.0)), 1e-300) / max(float(d.max(initial=0.0)), 1e-300))
-    for _ in range(MAX_SWEEPS):
+    for sweep in range(MAX_SWEEPS):
         step = 0.0
         for j in use:
             old = w[j]
@@ -95,15 +97,24 @@ def lasso(xx: np.ndarray, xy: np.ndarray, l1: float, w: np.ndarray) -> np.ndarra
                 gradient -= xx[:, j] * (new - old)
                 w[j] = new
                 step = max(step, abs(new - old))
-        if step <= TOLERANCE * unit:
+        done = step <= TOLERANCE * unit
+        if done or sweep % POLISH_SWEEPS == POLISH_SWEEPS - 1:
+            exact = _on_support(xx, xy, l1, w)
+            if _lasso_gap(xx, xy, l1, exact) <= GAP * float(np.max(np.abs(xy), initial=0.0)):
+                return exact
+        if done:
             break
+    exact = _on_support(xx, xy, l1, w)
+    return exact if _lasso_gap(xx, xy, l1, exact) <= _lasso_gap(xx, xy, l1, w) else w
+
+
+def _on_support(xx: np.ndarray, xy: np.ndarray, l1: float, w: np.ndarray) -> np.ndarray:
+    """The solution of the linear system that the optimum solves if it has the support and signs of ``w``; else ``w``."""
     held = np.flatnonzero(w)
-    if len(held):                                       # on its support the optimum solves a linear system
-        exact = np.zeros_like(w)
+    exact = np.zeros_like(w)
+    if len(held):
         exact[held] = least_squares(xx[np.ix_(held, held)], xy[held] - l1 * np.sign(w[held]))
-        if np.array_equal(np.sign(exact), np.sign(w)) and _lasso_gap(xx, xy, l1, exact) <= _lasso_gap(xx, xy, l1, w):
-            w = exact
-    return w
+    return exact if np.array_equal(np.sign(exact), np.sign(w)) else w
 
 
 def _lasso_gap(xx: np.ndarray, xy: np.ndarray, l1: float, w: np.ndarray) -> float:
