@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..operators import features as FT
+from ..sources.files import new_table_path
 from .base import WITH_CORE, core, r, round_doubles
 from .registry import query
 
@@ -102,6 +103,15 @@ def q_scale(spark, sf):
     return round_doubles(FT.standard_scale(t).select("symbol", "split", "timestamp", *FT.FEATURE_COLS))
 
 
+@query("save_load_scaler", f"{TARGET_SQL}, {_scale_sql('tgt', FT.FEATURE_COLS)} SELECT * FROM scaled")
+def q_saved_scaler(spark, sf):
+    """The train split's scaler is saved once, then found, loaded and applied; another fit would differ."""
+    t, path = FT.next_close_target(_frame(spark, sf)), new_table_path(spark, "scaler")
+    FT.fit_or_load_scaler(t.where(F.col("split") == "train"), FT.FEATURE_COLS, path)
+    back = FT.fit_or_load_scaler(t.where(F.col("split") == "test"), FT.FEATURE_COLS, path)      # present: not fitted again
+    return round_doubles(FT.apply_scaler(t, back, FT.FEATURE_COLS).select("symbol", "split", "timestamp", *FT.FEATURE_COLS))
+
+
 _SEQ_COLS = ["close"] + [c for c in _FRAME_COLS if c not in ("timestamp", "symbol", "split", "close")]
 _SEQ_STATS = ", ".join(f"avg({c}) AS {c}__mu, stddev_pop({c}) AS {c}__sd" for c in _SEQ_COLS)
 _SEQ_SCALED = ", ".join(f"({c} - {c}__mu) / CASE WHEN {c}__sd = 0 THEN 1 ELSE {c}__sd END AS {c}" for c in _SEQ_COLS)

@@ -131,6 +131,14 @@ def apply_scaler(df: DataFrame, stats: DataFrame, cols: list[str], keys=("symbol
     return x.drop(*[f"{c}__{s}" for c in cols for s in ("mu", "sd")])
 
 
+def fit_or_load_scaler(train: DataFrame, cols: list[str], path: str, keys=("symbol",)) -> DataFrame:
+    """The scaler saved at ``path`` if there is one, else a new fit saved there: live rows are scaled as the model's train rows were."""
+    from ..sources.files import overwrite_table, table_there
+    if not table_there(train.sparkSession, path):
+        overwrite_table(fit_scaler(train, cols, keys), path)
+    return train.sparkSession.read.parquet(path)
+
+
 def standard_scale(frame: DataFrame, cols: list[str] = FEATURE_COLS) -> DataFrame:
     stats = fit_scaler(frame.where(F.col("split") == "train"), cols)
     return apply_scaler(frame, stats, cols)

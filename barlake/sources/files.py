@@ -146,6 +146,12 @@ def recover_table(spark, path: str) -> None:
             _rename(fs, old, at)
 
 
+def table_there(spark, path: str) -> bool:
+    """Whether a whole table lies at ``path``, after a broken swap has been undone."""
+    recover_table(spark, path)
+    return _fs(spark, path).exists(_path(spark, path + "/_SUCCESS"))
+
+
 def _path(spark, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
