@@ -47,6 +47,13 @@ def test_other_columns_pass_through_and_clashes_raise(spark):
         bpe.encode(df, PATH, out="part")
 
 
+def test_very_long_texts(spark):
+    """Two million characters of words of their own, and one word of 60,000."""
+    rows = [(1, " ".join(f"word{i}" for i in range(200_000))), (2, "ab" * 30_000), (3, " " * 100_000 + "x")]
+    got = sorted(tuple(r) for r in bpe.encode_and_decode(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect())
+    assert got == [(i, *expected(t)) for i, t in rows]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode_and_decode(df, PATH).collect() == []

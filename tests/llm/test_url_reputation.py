@@ -52,3 +52,12 @@ def test_judged_pages_hot_host_nulls_and_empty_tables(spark):
     none = spark.createDataFrame([], "host string, bad int")
     assert {r.verdict for r in U.judge_urls(spark.createDataFrame(rows[:1], SCHEMA), none).collect()} == {"allow"}
     assert U.judge_urls(spark.createDataFrame([], SCHEMA), outcomes).collect() == []
+
+
+def test_very_long_urls_and_hosts(spark):
+    host, path = "sub." * 20_000 + "spam.net", "/de/" + "x" * 500_000
+    rows = [(1, f"http://{host}{path}?q", None, None, None), (2, "http://" + "h" * 300_000, None, None, None), (3, "u" * 400_000, None, None, None)]
+    outcomes = spark.createDataFrame([("bad.spam.net", 1)] * 50 + [("www.good.com", 0)] * 50, "host string, bad int")
+    got = {r.page_id: r for r in U.judge_urls(spark.createDataFrame(rows, SCHEMA), outcomes).collect()}
+    assert (got[1].host, got[1].path) == (host, path) and got[1].rule is None
+    assert (got[2].host, got[2].path) == ("h" * 300_000, "") and (got[3].host, got[3].verdict) == ("", "allow")
