@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.chunked import chunked_window
-from ..plans.joins import checked_broadcast
+from ..plans.joins import broadcast_if_small
 from ..session import cut_lineage
 from .indicators import STREAM_COLS, STREAM_LOOKBACK, _stream_columns
 from .jobs import batch_before, drop_batch, run_foreach_batch, write_batch
@@ -45,7 +45,7 @@ class TailIndicators:
     def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark, cols = batch.sparkSession, batch.columns
         tails = self._tails(spark, batch_id)
-        ends = checked_broadcast(tails.groupBy("symbol").agg(F.max("timestamp").alias("__last"), F.min("pos").alias("__base"), F.max("pos").alias("__end")))
+        ends = broadcast_if_small(tails.groupBy("symbol").agg(F.max("timestamp").alias("__last"), F.min("pos").alias("__base"), F.max("pos").alias("__end")))
         again = F.row_number().over(Window.partitionBy("symbol", self.ts).orderBy(F.xxhash64(*[c for c in cols if c != self.ts]))) > 1
         rows = batch.withColumn("__again", again).join(ends.select("symbol", "__last"), "symbol", "left")
         late = F.col("__again") | F.coalesce(F.col(self.ts) <= F.col("__last"), F.lit(False))
@@ -65,7 +65,7 @@ class TailIndicators:
 
     def _keep(self, done: DataFrame, tails: DataFrame, batch_id: int) -> None:
         """Write the last candles of every symbol; symbols of earlier batches only are in ``done`` by their tails."""
-        end = checked_broadcast(done.groupBy("symbol").agg(F.max("row_idx").alias("__to"), F.max("timestamp").alias("__at")))
+        end = broadcast_if_small(done.groupBy("symbol").agg(F.max("row_idx").alias("__to"), F.max("timestamp").alias("__at")))
         if self.retention:
             newest = end.agg(F.max("__at").alias("__newest"))                            # one row
             end = end.crossJoin(F.broadcast(newest)).where(F.col("__at") >= F.col("__newest") - F.expr(f"INTERVAL {self.retention}")).drop("__newest")
