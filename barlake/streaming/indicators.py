@@ -8,11 +8,12 @@ Bollinger bands over 20 closes with the population sigma.  Values are
 rounded to 2 dp ("half up" on the decimal value; the rounding differs from
 binary half-even rounding by at most 0.01 on exact ties).
 
-Three physical forms, same numbers:
+Four physical forms, same numbers:
 * :func:`stream_indicators` - batch / backfill form with windows and a global
   row index (chunk-parallel, exact);
 * :func:`indicators_per_group` - per (symbol, window) lists with higher-order
-  functions, the literal "group of candles" form of the stream job;
+  functions, for groups known to be small;
+* :mod:`barlake.streaming.window_groups` - the window form inside the windows of a stream;
 * :mod:`barlake.streaming.tails` - the window form over each micro-batch and the last candles before it.
 """
 

@@ -172,6 +172,18 @@ def update_mode_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> str:
     return sink
 
 
+def newest_before(spark: SparkSession, log_path: str, batch_id: int) -> int | None:
+    """The newest event time, in microseconds, that the last batch below ``batch_id`` logged."""
+    before = batch_before(spark, log_path, batch_id)
+    return None if before is None else spark.read.schema("us long").parquet(f"{log_path}/batch_id={before}").first()[0]
+
+
+def log_newest(rows: DataFrame, ts_col: str, seen: int | None, batch_id: int, log_path: str) -> None:
+    """Log the newest event time so far under the batch's id, one row."""
+    newest = rows.agg(F.max(F.unix_micros(ts_col)).alias("us"))
+    write_batch(newest.select(F.greatest("us", F.lit(seen).cast("long")).alias("us")), batch_id, log_path)
+
+
 class LateSplitter:
     """foreachBatch body: rows older than (max event time of earlier batches - lateness) go to quarantine.
 
@@ -184,21 +196,15 @@ class LateSplitter:
         self.good_path, self.late_path, self.lateness = good_path, late_path, lateness_seconds
         self.log_path = log_path or good_path.rstrip("/") + "_newest"
 
-    def _max_before(self, spark: SparkSession, batch_id: int) -> int | None:
-        before = batch_before(spark, self.log_path, batch_id)
-        return None if before is None else spark.read.schema("us long").parquet(f"{self.log_path}/batch_id={before}").first()[0]
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = self._max_before(spark, batch_id)
+        seen = newest_before(batch.sparkSession, self.log_path, batch_id)
         is_late = F.lit(False)
         if seen is not None:
             is_late = F.col("event_ts") < F.timestamp_micros(F.lit(seen)) - F.expr(f"INTERVAL {self.lateness} SECONDS")
         b = batch.withColumn("is_late", is_late).persist()
         write_batch(b.where(F.col("is_late")).drop("is_late"), batch_id, self.late_path)
         write_batch(b.where(~F.col("is_late")).drop("is_late"), batch_id, self.good_path)
-        newest = b.where(~F.col("is_late")).agg(F.max(F.unix_micros("event_ts")).alias("us"))
-        write_batch(newest.select(F.greatest("us", F.lit(seen).cast("long")).alias("us")), batch_id, self.log_path)
+        log_newest(b.where(~F.col("is_late")), "event_ts", seen, batch_id, self.log_path)
         b.unpersist()
 
 
@@ -238,28 +244,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return new_table_path(spark, name)
 
 
-def windowed_group_indicators(v: DataFrame, sink: str, checkpoint: str, duration: str = "1 day",
-                              lateness: str = DEFAULT_LATENESS) -> str:
-    """Per (symbol, tumbling window) lists of candles -> indicators on each list.
-
-    The streaming aggregation keeps one sorted list per open window (bounded by
-    the window length); each micro-batch's updated windows are expanded with
-    the higher-order-function indicators and appended with their batch id
-    (read back with :func:`latest_per_key`).
-    """
-    from .indicators import expand_group_lists
-    lists = (v.where(F.col("reject_reason").isNull()).withWatermark("event_ts", lateness)
-             .groupBy("symbol", F.window("event_ts", duration).alias("w"))
-             .agg(F.array_sort(F.collect_list(F.struct("timestamp", "close"))).alias("rs")))
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        g = batch.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "rs")
-        write_batch(expand_group_lists(g, ["symbol", "window_start"]), batch_id, sink)
-
-    run_foreach_batch(lists, fn, checkpoint, "update")
-    return sink
-
-
 REQUIRED_UNIFIED = ["timestamp", "date", "hour", "symbol", "open", "high", "low", "close", "volume", "source",
                     "ingestion_timestamp"]
 

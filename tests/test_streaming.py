@@ -255,3 +255,51 @@ def test_a_reload_that_breaks_off_leaves_the_old_table(spark, monkeypatch):
     FS.overwrite_table(two, path)
     FS.overwrite_table(two, path)
     assert read() == [2, 3] and not FS._fs(spark, path).exists(FS._path(spark, path + ".old"))
+
+
+def _groups(spark, parts, **more):
+    """Rows of ``WindowIndicators`` over batches of (minute, close) of one symbol, the last version of each."""
+    from barlake.streaming.window_groups import WindowIndicators
+    groups, sink = WindowIndicators(new_table_path(spark, "wg"), "1 hour", 1800, **more), new_table_path(spark, "wg_sink")
+    for i, part in enumerate(parts):
+        rows = [("BTCUSDT", T0 + dt.timedelta(seconds=s), float(c)) for s, c in part]
+        batch = spark.createDataFrame(rows, "symbol string, event_ts timestamp, close double")
+        for _ in range(2 if i == 1 else 1):                                  # the second batch runs again
+            J.write_batch(groups(batch, i), i, sink)
+    out = J.latest_per_key(spark.read.parquet(sink), ["symbol", "window_start", "timestamp"])
+    return groups, sorted(tuple(r) for r in out.select("window_start", "timestamp", "close", *STREAM_COLS).collect())
+
+
+def _grouped(spark, ticks):
+    from barlake.streaming.indicators import indicators_per_group
+    df = spark.createDataFrame([("BTCUSDT", T0 + dt.timedelta(seconds=s // 3600 * 3600), T0 + dt.timedelta(seconds=s), float(c)) for s, c in ticks.items()],
+                               "symbol string, window_start timestamp_ntz, timestamp timestamp_ntz, close double")
+    out = indicators_per_group(df, ["symbol", "window_start"])
+    return sorted(tuple(r) for r in out.select("window_start", "timestamp", "close", *STREAM_COLS).collect())
+
+
+def test_window_groups_equal_the_list_form_in_any_arrival_order(spark):
+    g = np.random.default_rng(8)
+    at = list(range(0, 7200, 20))
+    close = dict(zip(at, np.round(100 + np.cumsum(g.normal(0, 1, len(at))), 2).tolist()))
+    late = [s for s in at if s % 7 == 0 and s < 5000]                        # these come in a batch of their own, among older ones
+    parts = [[(s, close[s]) for s in at if s < 4000 and s not in late], [(s, close[s]) for s in at if s in late],
+             [(40, 1.0)], [(s, close[s]) for s in at if s >= 4000 and s not in late] + [(60, 500.0), (60, 400.0)]]
+    expected = _grouped(spark, {**close, 40: 1.0, 60: 500.0})                # delivered again: the latest, then the largest
+    _, whole = _groups(spark, parts, chunk_rows=60, bucket_unit="minute")    # windows of 180 candles in three sub-windows
+    _, plain = _groups(spark, parts)
+    assert plain == expected and whole == expected
+
+
+def test_window_groups_close_after_the_lateness(spark):
+    parts = [[(0, 1.0), (60, 2.0)], [(3600 + 1799, 3.0)], [(120, 4.0)], [(3600 + 1800, 5.0)], [(180, 6.0)], []]
+    groups, got = _groups(spark, parts)
+    assert got == _grouped(spark, {0: 1.0, 60: 2.0, 120: 4.0, 3600 + 1799: 3.0, 3600 + 1800: 5.0})
+    assert sorted(r[0] for r in spark.read.parquet(groups.path).select("closes").distinct().collect()) == [int((T0 + dt.timedelta(hours=2)).replace(tzinfo=dt.timezone.utc).timestamp())]
+
+
+def test_window_groups_keep_no_list(spark):
+    from barlake.streaming.window_groups import WindowIndicators
+    batch = spark.createDataFrame([("a", T0, 1.0)], "symbol string, event_ts timestamp, close double")
+    plan = WindowIndicators(new_table_path(spark, "wg_plan"))(batch, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
