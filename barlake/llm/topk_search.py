@@ -3,10 +3,12 @@
 Vectors are grouped into buckets of nearly equal length, and each bucket is
 cut into slices of bounded size.  A first pass scores every query against one
 slice of the longest vectors; its k-th best score is a true lower bound.  In
-the second pass a (slice, query block) pair works bucket by bucket, longest
-first: with the bound t, the query length and the bucket's largest length, a
-member needs a cosine of at least t / (|q| * l).  Above 1 the bucket is left
-out.  A high local threshold prunes by the query's largest coordinate (only
+the second pass queries are put into blocks by the length that a vector must
+have to reach their bound, and a block is sent only to the slices of buckets
+that hold such lengths.  A (slice, query block) pair works bucket by bucket,
+longest first: with the bound t, the query length and the bucket's largest
+length, a member needs a cosine of at least t / (|q| * l).  Above 1 the bucket
+is left out.  A high local threshold prunes by the query's largest coordinate (only
 unit vectors whose coordinate lies in the feasible interval can reach the
 cosine), a low one by length.  Products of the survivors are verified exactly.
 """
@@ -18,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import broadcast_if_small
 from ..session import cut_lineage
 from .common import query, read_table
 
@@ -61,6 +64,44 @@ def _exact_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+_BLOCKS = "dim int, reach double, qids binary, qm binary, bounds binary"
+_BLOCK_SCHEMA = pa.schema([("dim", pa.int32()), ("reach", pa.float64()), ("qids", pa.binary()), ("qm", pa.binary()), ("bounds", pa.binary())])
+
+
+def _bounded_queries(k: int):
+    """Query blocks with the first slice -> one row per query: its k-th best score there and the length that reaches it."""
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                d = r["dim"]
+                ids, vecs = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["m"], "<i8").reshape(-1, d)
+                qids, qvecs = np.frombuffer(r["qids"], "<i8"), np.frombuffer(r["qm"], "<i8").reshape(-1, d)
+                sc = np.where(qids[:, None] == ids[None, :], np.iinfo("i8").min, _exact_dot(qvecs, vecs))
+                kth = np.partition(sc, -k, axis=1)[:, -k] if sc.shape[1] >= k else np.full(len(qids), np.iinfo("i8").min)
+                qn = np.sqrt((qvecs.astype("f8") ** 2).sum(1))
+                reach = np.where(kth > 0, kth / np.maximum(qn, 1e-300), 0.0)           # a bound up to 0 leaves out no length
+                flat = pa.array(qvecs.ravel(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([d] * len(qids), pa.int32()), pa.array(reach), pa.array(qids, pa.int64()), pa.array(kth, pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(np.arange(len(qids) + 1) * d, pa.int32()), flat)],
+                                                 names=["dim", "reach", "vec_id", "bound", "v"])
+    return run
+
+
+def _pack_queries(batches):
+    """Queries in order of (dim, reach) -> blocks of neighbours with the smallest reach of each."""
+    for b in batches:
+        dims = b.column("dim").to_numpy()
+        a = 0
+        while a < b.num_rows:
+            z = min(a + QUERY_ROWS, int(np.searchsorted(dims, dims[a], side="right")))
+            part = b.slice(a, z - a)
+            m = part.column("v").flatten().to_numpy().astype("<i8")
+            row = {"dim": int(dims[a]), "reach": float(part.column("reach")[0].as_py()), "qids": part.column("vec_id").to_numpy().astype("<i8").tobytes(),
+                   "qm": m.tobytes(), "bounds": part.column("bound").to_numpy().astype("<i8").tobytes()}
+            yield pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
+            a = z
+
+
 def search_block(ids, vecs, qids, qvecs, bounds, k: int, step: float = LENGTH_STEP):
     """k best of a slice for each query that can still beat its bound: (query row, id, score)."""
     norms = np.sqrt((vecs.astype("f8") ** 2).sum(1))
@@ -136,11 +177,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
     nslices = F.greatest(F.lit(1), F.ceil(F.col("n") / SLICE_ROWS)).cast("long")
     slices = sizes.select("dim", "bucket", nslices.alias("k"),
                           F.coalesce(F.sum(nslices).over(Window.partitionBy("dim").orderBy(F.desc("bucket"))
-                                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"),
-                          F.sum(nslices).over(Window.partitionBy("dim")).alias("all"))
+                                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     slices = cut_lineage(slices)
     packed = "dim int, slice long, bucket int, ids binary, m binary"
-    sl = cut_lineage(v.join(F.broadcast(slices), ["dim", "bucket"])       # one row per length step
+    sl = cut_lineage(v.join(broadcast_if_small(slices), ["dim", "bucket"])       # one row per length step
                      .withColumn("slice", F.col("first") + F.pmod(F.xxhash64("vec_id", "v"), F.col("k")))
                      .groupBy("dim", "slice").applyInArrow(_pack("slice"), packed))
     q = prepare(queries).withColumn("bucket", F.lit(0))
@@ -151,39 +191,34 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
           .select("dim", "block", F.col("ids").alias("qids"), F.col("m").alias("qm")))
     qb = cut_lineage(qb)
 
-    def work(out_bound: bool):
-        def run(batches):
-            for b in batches:
-                for r in b.to_pylist():
-                    d = r["dim"]
-                    ids, vecs = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["m"], "<i8").reshape(-1, d)
-                    qids, qvecs = np.frombuffer(r["qids"], "<i8"), np.frombuffer(r["qm"], "<i8").reshape(-1, d)
-                    if out_bound:
-                        sc = _exact_dot(qvecs, vecs)
-                        sc = np.where(qids[:, None] == ids[None, :], np.iinfo("i8").min, sc)
-                        kth = np.partition(sc, -k, axis=1)[:, -k] if sc.shape[1] >= k else np.full(len(qids), np.iinfo("i8").min)
-                        yield pa.RecordBatch.from_pydict({"dim": pa.array([d], pa.int32()), "block": pa.array([r["block"]], pa.int64()),
-                                                          "bounds": pa.array([kth.astype("<i8").tobytes()], pa.binary())})
-                        continue
-                    bounds = np.frombuffer(r["bounds"], "<i8").astype("f8")
-                    oq, oi, os_ = [], [], []
-                    for qi, bi, bs in search_block(ids, vecs, qids, qvecs, bounds, k):
-                        oq.append(np.full(len(bi), qids[qi])); oi.append(bi); os_.append(bs)
-                    if oq:
-                        yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.concatenate(oq), pa.int64()),
-                                                          "vec_id": pa.array(np.concatenate(oi), pa.int64()),
-                                                          "score": pa.array(np.concatenate(os_), pa.int64())})
-        return run
-
-    # pass 1: one slice of the longest vectors gives each query its bound
+    def work(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                d = r["dim"]
+                ids, vecs = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["m"], "<i8").reshape(-1, d)
+                qids, qvecs = np.frombuffer(r["qids"], "<i8"), np.frombuffer(r["qm"], "<i8").reshape(-1, d)
+                bounds = np.frombuffer(r["bounds"], "<i8").astype("f8")
+                oq, oi, os_ = [], [], []
+                for qi, bi, bs in search_block(ids, vecs, qids, qvecs, bounds, k):
+                    oq.append(np.full(len(bi), qids[qi])); oi.append(bi); os_.append(bs)
+                if oq:
+                    yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.concatenate(oq), pa.int64()),
+                                                      "vec_id": pa.array(np.concatenate(oi), pa.int64()),
+                                                      "score": pa.array(np.concatenate(os_), pa.int64())})
+
+    # pass 1: one slice of the longest vectors gives each query its bound; queries of like reach form the blocks of pass 2
     seeds = qb.join(sl.where("slice = 0"), "dim")
-    bounds = cut_lineage(seeds.mapInArrow(work(True), "dim int, block long, bounds binary"))
-    # pass 2: every query block meets every slice
-    grid = (qb.join(bounds, ["dim", "block"])
-            .join(slices.select("dim", "all").distinct(), "dim")
-            .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1))))
+    bounded = seeds.mapInArrow(_bounded_queries(k), "dim int, reach double, vec_id long, bound long, v array<bigint>")
+    bounded = bounded.repartitionByRange(blocks, "dim", "reach", "vec_id").sortWithinPartitions("dim", "reach", "vec_id")
+    qb = cut_lineage(bounded.mapInArrow(_pack_queries, _BLOCKS).withColumn("block", F.monotonically_increasing_id()))
+    # pass 2: a block meets the slices of buckets whose longest vectors can have its reach
+    longest = F.pow(F.lit(LENGTH_STEP), F.col("bucket") + 1) * (1 + 1e-9)
+    lengths = broadcast_if_small(slices.select("dim", longest.alias("longest"), (F.col("first") + F.col("k")).alias("end")))
+    ends = (qb.select("dim", "block", "reach").join(lengths, "dim").where((F.col("longest") >= F.col("reach")) | (F.col("reach") <= 0))
+            .groupBy("dim", "block").agg(F.max("end").alias("end")))
+    grid = qb.join(ends, ["dim", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("end") - 1)))
     hits = (grid.join(sl.select("dim", "slice", "ids", "m"), ["dim", "slice"])
-            .mapInArrow(work(False), "query_id long, vec_id long, score long"))
+            .mapInArrow(work, "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (hits.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

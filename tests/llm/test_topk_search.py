@@ -66,3 +66,15 @@ def test_block_search_prunes_but_loses_nothing():
     for qi, bi, bs in T.search_block(ids, v, ids[:30], q, np.array(bounds, "f8"), 5):
         s = sorted((-int(x), j) for j, x in enumerate(v @ q[qi]) if j != qi)[:5]
         assert list(zip((-bs).tolist(), bi.tolist())) == s
+
+
+def test_blocks_of_like_reach_meet_few_slices_and_lose_nothing(spark, monkeypatch):
+    """Lengths from 1 to 1,000 in many slices, two dimensions, queries without a positive score, copies in several blocks."""
+    monkeypatch.setattr(T, "SLICE_ROWS", 16)
+    monkeypatch.setattr(T, "QUERY_ROWS", 8)
+    g = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in g.normal(size=3) * 10 ** g.uniform(-1, 1.2)], None, None) for i in range(500)]
+    rows += [(500 + i, rows[7][1], None, None) for i in range(60)] + [(600 + i, [float(x) for x in -abs(g.normal(size=2))], None, None) for i in range(40)]
+    rows += [(700, [1.0, 1.0], None, None), (701, [0.0] * 3, None, None)]
+    q = [*range(0, 600, 10), *range(600, 640, 5), 700, 701]
+    assert run(spark, rows, q, 5) == brute(rows, q, 5)
