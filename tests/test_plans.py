@@ -44,3 +44,16 @@ def test_projection_pruned(spark):
     plan = _plan(c.where("symbol = 'BTCUSDT'").select("timestamp", "close"))
     assert "ReadSchema: struct<symbol:string,timestamp:timestamp_ntz,close:double>" in plan
     assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,BTCUSDT)]" in plan
+
+
+def test_broadcast_checks_bytes_of_texts_and_lists(spark):
+    from barlake.plans.joins import broadcast_if_small
+    df = spark.createDataFrame([(1, "é" * 1000, ["x" * 500], {"a": 1}, None)], "id long, t string, l array<string>, m map<string,int>, b binary")
+
+    def hinted(**bounds):
+        return "broadcast" in broadcast_if_small(df, **bounds)._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(max_bytes=3000) and not hinted(max_bytes=2500) and not hinted(max_rows=0, max_bytes=3000)
+    assert hinted() and not hinted(max_rows=0)
+    empty = broadcast_if_small(df.where("id < 0"), max_bytes=0)
+    assert "broadcast" in empty._jdf.queryExecution().logical().toString().lower()
