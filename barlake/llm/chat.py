@@ -20,7 +20,7 @@ from ..session import cut_lineage
 from .common import let, query, read_table
 
 PART_TURNS = 512
-BROADCAST_ORDERS = 1_000           # rows of up to PART_TURNS texts
+BROADCAST_BYTES = 64 << 20         # of a side table, whose ids and texts have no length limit
 SYSTEM = "system"
 NOBODY = "unknown"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
@@ -34,7 +34,7 @@ def _ranked(t: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("key", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut_lineage(counts.select("key", "part", "range", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("first")))
     inside = F.row_number().over(Window.partitionBy("key", "part", "range").orderBy("s")) - 1
-    return t.withColumn("inside", inside).join(broadcast_if_small(counts), ["key", "part", "range"]).withColumn("rank", F.col("first") + F.col("inside"))
+    return t.withColumn("inside", inside).join(broadcast_if_small(counts, max_bytes=BROADCAST_BYTES), ["key", "part", "range"]).withColumn("rank", F.col("first") + F.col("inside"))
 
 
 def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -61,7 +61,7 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
     speakers = t.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM)).select("key", F.col("role").alias("speaker")).distinct()
     sizes = cut_lineage(t.groupBy("key", "part").agg(F.count("*").alias("n")))
     large = sizes.where(F.col("n") > part_turns).select("key", "part", F.lit(True).alias("cut"))
-    t = t.join(broadcast_if_small(large), ["key", "part"], "left")
+    t = t.join(broadcast_if_small(large, max_bytes=BROADCAST_BYTES), ["key", "part"], "left")
     said = F.struct(F.col("turn").isNull().alias("late"), "turn", F.col("role").isNull().alias("none"), "role", "text")
     names = ["key", "part", "conv", "turn", "role", "text"]
     ranked = _ranked(t.where("cut").select(*names, said.alias("s")))
@@ -70,12 +70,12 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
     parts = t.groupBy("key", "part", "sub_part").agg(F.first("conv").alias("conv"), F.array_sort(F.collect_list(said)).alias("said"))
     # instructions of conversations in several parts
     several = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("n")).where((F.col("parts") > 1) | (F.col("n") > part_turns)).select("key")
-    orders = (t.where(F.col("role") == SYSTEM).join(broadcast_if_small(several), "key", "left_semi")
+    orders = (t.where(F.col("role") == SYSTEM).join(broadcast_if_small(several, max_bytes=BROADCAST_BYTES), "key", "left_semi")
               .groupBy("key", "text").agg(F.min(said).alias("s"))
               .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("s"))).where(F.col("r") <= part_turns)
               .groupBy("key").agg(F.array_sort(F.collect_list("s")).alias("orders")))                  # at most ``part_turns`` a key
     before = F.filter(F.coalesce("orders", F.slice("said", 1, 0)), lambda x: x < F.get("said", F.lit(0)))
-    parts = parts.join(broadcast_if_small(cut_lineage(orders), BROADCAST_ORDERS), "key", "left").withColumn("all_said", F.concat(before, "said"))
+    parts = parts.join(broadcast_if_small(cut_lineage(orders), max_bytes=BROADCAST_BYTES), "key", "left").withColumn("all_said", F.concat(before, "said"))
 
     def head(role: Column, speaker: Column) -> Column:
         name = F.coalesce(role, F.lit(NOBODY))

@@ -63,3 +63,15 @@ def test_parts_are_consecutive_and_start_with_the_system_turns(spark):
     assert heads[0] == ["be nice"] and all(h == ["be nice", "be brief"] for h in heads[1:])
     assert all(b[0] == ["system", "be nice"] for b in bodies) and sum(r.n_turns for r in got) == len(rows)
     assert all(r.text[m.start:m.end].endswith(C.CLOSE) for r in got for m in r.mask)
+
+
+def test_rows_do_not_depend_on_the_join_chosen(spark, monkeypatch):
+    """Long instructions and ids, once with every side table broadcast and once with none."""
+    wide = "conv_id string, turn long, role string, text string"
+    rows = [(c, i * 30, "system", f"rule {i} " + "x" * 2000) for c in ("a" * 300, "b") for i in range(6)]
+    rows += [(c, i, f"p{i % 2}", f"t{i}") for c in ("a" * 300, "b") for i in range(200)] + [(None, 3, "p0", "alone")]
+    runs = []
+    for bound in (1 << 30, 0):
+        monkeypatch.setattr(C, "BROADCAST_BYTES", bound)
+        runs.append(sorted(map(str, C.rotate_perspectives(spark.createDataFrame(rows, wide).repartition(3), part_turns=50).collect())))
+    assert runs[0] == runs[1] and len(runs[0]) > 8
