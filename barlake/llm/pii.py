@@ -25,8 +25,10 @@ from ..plans.joins import broadcast_if_small
 from ..session import cut_lineage
 from .common import let, query, read_table, written
 
-DEFAULT_KEY = "rotate-me"
+DEFAULT_KEY = "rotate-me"   # of the synthetic tables only
+KEY_SETTING = "spark.barlake.pii.key"
 BROADCAST_ENTITIES = 200_000
+BROADCAST_BYTES = 64 << 20  # credentials have no length limit
 GROW_AFTER = 8              # attempts in the entity's own format; of names, e-mails and credentials also the step of growth
 
 # Honorifics and given names that mark a personal name, with gender.
@@ -229,6 +231,11 @@ def render(m: Column, surrogates: Column) -> Column:
                .when(k == "name", name).otherwise(s))
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``spark.barlake.pii.key``; unset, that of the synthetic tables."""
+    return spark.conf.get(KEY_SETTING, DEFAULT_KEY)
+
+
 def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every detected entity of the text replaced; columns and rows stay.
 
@@ -236,11 +243,13 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     * Repeated rows are replaced alike; an empty table gives no rows; NULLs elsewhere do not matter.
     * Texts of any length are scanned whole.  A mention that fails its check
       (card digit, octets over 255) is no entity and stays; so does a masked credential (``********``).
-    * ``count_col`` adds the number of replaced mentions.
+    * ``count_col`` adds the number of replaced mentions; named like a column of ``docs`` (in any case) it is an error.
     * One entity may be mentioned by most documents: mentions meet the table of
       entities by broadcast while it is small, else by a join that splits hot keys.
     """
     names = docs.columns
+    if count_col and count_col.lower() in [c.lower() for c in names]:
+        raise ValueError(f"docs has a column {count_col}")
     row = F.struct(*[F.col(f"`{c}`") for c in names])
     text = F.col(f"`{text_col}`")
     hint = F.regexp_like(text, F.lit(HINT))
@@ -253,7 +262,7 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     each = hit.select("_rid", F.posexplode("_m").alias("_i", "m")).select(
         "_rid", "_i", F.posexplode(entities_of(F.col("m"))).alias("_j", "e")).select("_rid", "_i", "_j", "e.kind", "e.canon")
     table = surrogate_table(each.select("kind", "canon"), key)
-    named = each.join(broadcast_if_small(table, BROADCAST_ENTITIES), ["kind", "canon"])
+    named = each.join(broadcast_if_small(table, BROADCAST_ENTITIES, BROADCAST_BYTES), ["kind", "canon"])
     by_row = named.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("_i", "_j", "surrogate"))).alias("_s"))
 
     def of_match(i: Column) -> Column:
@@ -277,4 +286,4 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
 @query("op9_pii_surrogates")
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymize(docs, count_col="n_replaced")
+    return pseudonymize(docs, session_key(spark), count_col="n_replaced")

@@ -94,3 +94,22 @@ def test_formats_without_free_values_grow(spark):
     t = P.surrogate_table(spark.createDataFrame(ents, "kind string, canon string"), "k").collect()
     assert len(t) == len(ents) == len({(r.kind, r.surrogate) for r in t}) and not {(r.kind, r.surrogate) for r in t} & set(ents)
     assert all(len(r.surrogate) == len(r.canon) for r in t if r.kind != "credential")
+
+
+def test_count_column_that_clashes_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "call 555-123-4567", 2)], "doc_id long, text string, Hits int")
+    for name in ("hits", "doc_id", "TEXT"):
+        with pytest.raises(ValueError):
+            P.pseudonymize(df, "k", count_col=name)
+
+
+def test_key_comes_from_the_session(spark):
+    df = spark.createDataFrame([(1, "mail ann.lee@corp.example now")], "doc_id long, text string")
+    assert P.session_key(spark) == P.DEFAULT_KEY
+    spark.conf.set(P.KEY_SETTING, "other")
+    try:
+        first, other = (P.pseudonymize(df, k).first().text for k in (P.DEFAULT_KEY, P.session_key(spark)))
+    finally:
+        spark.conf.unset(P.KEY_SETTING)
+    assert first != other and "ann.lee" not in first + other
