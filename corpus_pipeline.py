@@ -31,7 +31,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Detected entities get surrogates; n_chars follows the new text."""
-    out = pii.pseudonymize(docs)
+    out = pii.pseudonymize(docs, pii.session_key(spark))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[f"`{c}`" for c in docs.columns])
