@@ -7,7 +7,9 @@ forest are a smaller forest.  So one fit of the most and deepest trees per fold
 scores the whole grid of tree counts, depths and split sizes, and one fit on
 all train rows gives the default and any chosen forest.
 
-Trees are MLlib's; their nodes are read back as a table.
+Trees are MLlib's; their nodes are a table.  Rows of a stored forest are scored
+on executors: blocks of rows meet packs of trees, and the packs' sums are added
+in tree order, so neither the nodes nor the predictions pass the driver.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ RF_TREES, RF_DEPTHS, RF_MIN_SPLIT = [100, 200], [10, 20, None], [2, 5]
 DEFAULT_RF = (100, None, 2)
 GRID = list(product(RF_TREES, RF_DEPTHS, RF_MIN_SPLIT))
 ROWS_AT_A_TIME = 2048       # rows times trees are walked down together
+TREES_AT_A_TIME = 10        # trees of a pack: a task holds their nodes
+ROWS_PER_BLOCK = 100_000    # rows a pack meets in one task
 
 
 class Forest:
@@ -52,6 +56,10 @@ class Forest:
 
     def scores(self, x: np.ndarray, grid: list[tuple]) -> np.ndarray:
         """Predictions (rows x grid) of every (trees, depth, least rows of a split node)."""
+        return self.sums(x, grid) / np.array([g[0] for g in grid], "f8")
+
+    def sums(self, x: np.ndarray, grid: list[tuple]) -> np.ndarray:
+        """Predictions of the first trees added up (rows x grid); no trees give 0."""
         out = np.empty((len(x), len(grid)))
         for a in range(0, len(x), ROWS_AT_A_TIME):
             part = x[a:a + ROWS_AT_A_TIME]
@@ -72,17 +80,21 @@ class Forest:
                 for k, (trees, depth, m) in enumerate(grid):
                     if m == least:
                         d = self.depth if depth is None else min(depth, self.depth)
-                        out[a:a + len(part), k] = means.get(d, final)[:, trees - 1] / trees
+                        out[a:a + len(part), k] = means.get(d, final)[:, trees - 1] if trees else 0.0
         return out
 
 
-def read_forest(spark: SparkSession, path: str) -> Forest:
-    """The nodes of a saved random forest; like its model they fit the driver."""
+def read_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of a saved random forest."""
     n = F.col("nodeData")
-    nodes = spark.read.parquet(f"{path}/data").select(
+    return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), n["id"].alias("id"), n["prediction"].alias("prediction"), n["rawCount"].alias("rows"), n["leftChild"].alias("left"),
         n["rightChild"].alias("right"), n["split"]["featureIndex"].alias("feature"), F.get(n["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"))
-    return Forest(nodes.toPandas())
+
+
+def read_forest(spark: SparkSession, path: str) -> Forest:
+    """A saved random forest that fits the driver."""
+    return Forest(read_nodes(spark, path).toPandas())
 
 
 def name_of(setting: tuple) -> str:
@@ -105,3 +117,33 @@ def grid_predictions(data: DataFrame, forest: Forest, grid: list[tuple]) -> Data
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     return rows.mapInPandas(run, f"symbol string, timestamp {kinds['timestamp']}, y double, setting string, prediction double")
+
+
+def stored_predictions(data: DataFrame, nodes: DataFrame, grid: list[tuple]) -> DataFrame:
+    """(symbol, timestamp, y, predictions) of every row: one prediction per setting of ``grid``, from the node table ``nodes``.
+
+    A task holds a block of rows and a pack of trees.
+    """
+    most = max(g[0] for g in grid)
+    blocks = -(-data.count() // ROWS_PER_BLOCK) or 1
+    packs = -(-most // TREES_AT_A_TIME)
+    kinds = {f.name: f.dataType.simpleString() for f in data.schema.fields}
+    rows = data.select(F.monotonically_increasing_id().alias("row"), "symbol", "timestamp", "y", vector_to_array("features").alias("x"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
+    trees = nodes.where(F.col("tree") < most).withColumns({
+        "pack": F.floor(F.col("tree") / TREES_AT_A_TIME).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+
+    def run(part: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(part):
+            return part[["row", "symbol", "timestamp", "y", "pack"]].assign(sums=[])
+        first = int(part["pack"].iloc[0]) * TREES_AT_A_TIME
+        mine = [(min(max(t - first, 0), TREES_AT_A_TIME), depth, least) for t, depth, least in grid]
+        sums = Forest(held).sums(np.stack(part["x"].to_numpy()), mine)
+        return part[["row", "symbol", "timestamp", "y", "pack"]].assign(sums=list(sums))
+
+    keys = ["block", "pack"]
+    parts = rows.groupBy(*keys).cogroup(trees.groupBy(*keys)).applyInPandas(
+        run, f"row long, symbol string, timestamp {kinds['timestamp']}, y double, pack int, sums array<double>")
+    by = parts.groupBy("row", "symbol", "timestamp", "y").agg(F.array_sort(F.collect_list(F.struct("pack", "sums"))).alias("parts"))
+    total = lambda k, t: F.aggregate("parts", F.lit(0.0), lambda s, v: s + F.get(v["sums"], k)) / F.lit(float(t))
+    return by.select("symbol", "timestamp", "y", F.array(*[total(k, g[0]) for k, g in enumerate(grid)]).alias("predictions"))

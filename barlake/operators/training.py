@@ -90,20 +90,21 @@ class Results:
 
     # forests: one deep forest per fold, one on all train rows
 
-    def _forest(self, symbol: str, without: int | None) -> forest.Forest:
+    def _forest(self, symbol: str, without: int | None) -> DataFrame:
+        """Nodes of the forest."""
         path = f"{self.path}/trees-{symbol}-{'all' if without is None else without}"
         if not _exists(self.spark, f"{path}/data/_SUCCESS"):
             ml.random_forest(max(forest.RF_TREES)).fit(self._train(symbol, without)).write().overwrite().save(path)
-        return forest.read_forest(self.spark, path)
+        return forest.read_nodes(self.spark, path)
 
     def _fold_scores(self, symbol: str, fold: int) -> DataFrame:
         def build() -> DataFrame:
             held_out = self.folds().where((F.col("symbol") == symbol) & (F.col("fold") == fold))
-            p = forest.grid_predictions(held_out, self._forest(symbol, fold), forest.GRID)
-            e = F.col("y") - F.col("prediction")
-            place = F.create_map(*[x for i, g in enumerate(forest.GRID) for x in (F.lit(forest.name_of(g)), F.lit(i))])
-            return p.groupBy("symbol", "setting").agg(F.avg(e * e).alias("mse")).select(
-                "symbol", F.lit("Random Forest").alias("model"), "setting", F.element_at(place, F.col("setting")).alias("place"), F.lit(fold).alias("fold"), "mse")
+            p = forest.stored_predictions(held_out, self._forest(symbol, fold), forest.GRID)
+            e = [F.col("y") - F.get("predictions", i) for i in range(len(forest.GRID))]
+            by = p.groupBy("symbol").agg(*[F.avg(d * d).alias(f"mse_{i}") for i, d in enumerate(e)])        # one row: settings of like trees tie to the last digit
+            each = F.explode(F.array(*[F.struct(F.lit(forest.name_of(g)).alias("setting"), F.lit(i).alias("place"), F.col(f"mse_{i}").alias("mse")) for i, g in enumerate(forest.GRID)]))
+            return by.select("symbol", each.alias("s")).select("symbol", F.lit("Random Forest").alias("model"), "s.setting", "s.place", F.lit(fold).alias("fold"), "s.mse")
         return self._piece(f"forest-fold-{symbol}-{fold}", build)
 
     def forest_scores(self) -> DataFrame:
@@ -119,8 +120,9 @@ class Results:
                 pick = next(g for g in forest.GRID if forest.name_of(g) == chosen)
             trees = self._forest(symbol, None)
             rows = self.data.where(F.col("symbol") == symbol)
-            p = [forest.grid_predictions(rows.where(F.col("split") == s), trees, [pick]).withColumns({"model": F.lit("Random Forest"), "config": F.lit(config)})
-                 for s in ("test", "train")]
+            p = [forest.stored_predictions(rows.where(F.col("split") == s), trees, [pick]).select(
+                "symbol", F.lit("Random Forest").alias("model"), F.lit(config).alias("config"), F.lit(forest.name_of(pick)).alias("setting"), "y", F.get("predictions", 0).alias("prediction"))
+                for s in ("test", "train")]
             return self._metrics(*p)
         return self._piece(f"forest-{symbol}-{config}", build)
 
@@ -159,7 +161,7 @@ class Results:
         from pyspark.sql import Window
         alphas = {"Ridge": gram.RIDGE_GRID, "Lasso": gram.LASSO_GRID}
         place = F.coalesce(*[F.when((F.col("model") == m) & (F.col("alpha") == a), F.lit(i)) for m, grid in alphas.items() for i, a in enumerate(grid)])
-        lin = self.fits().where(F.col("model").isin(list(alphas))).select(
+        lin = self.fits().where(F.col("model").isin(list(alphas)) & F.col("symbol").isin(self.symbols)).select(
             "symbol", "model", F.concat(F.lit("alpha="), F.col("alpha").cast("string")).alias("setting"), place.alias("place"), F.posexplode("fold_mse").alias("fold", "mse"))
         rows = lin.where(F.col("model").isin(list(families)))
         if "Random Forest" in families:

@@ -210,3 +210,50 @@ def test_results_resume_and_follow_code_and_input(spark, data, tmp_path, monkeyp
     before = TR.digest("1")
     monkeypatch.setattr(TR.inspect, "getsource", lambda m: "other code")
     assert TR.digest("1") != before
+
+
+def test_stored_forest_is_scored_on_executors(spark, tmp_path, monkeypatch):
+    """Blocks of rows and packs of trees give the forest's own scores, copies and null times kept; no node goes through the driver."""
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(120, 3))
+    y = x[:, 0] + x[:, 1] ** 2
+    rows = [(Vectors.dense(a), float(b), "s", i if i % 40 else None) for i, (a, b) in enumerate(zip(x, y))]
+    rows = spark.createDataFrame(rows + rows[:5], ["features", "y", "symbol", "timestamp"])
+    ML.random_forest(7, 6).fit(rows.coalesce(1)).write().save(str(tmp_path / "f"))
+    grid = [(7, None, 2), (7, 6, 2), (5, 3, 2), (2, None, 9), (1, 1, 2)]
+    forest = RF.read_forest(spark, str(tmp_path / "f"))
+    z = np.vstack([x, x[:5]])
+    want = forest.scores(z, grid)
+    monkeypatch.setattr(RF, "TREES_AT_A_TIME", 3)
+    monkeypatch.setattr(RF, "ROWS_PER_BLOCK", 50)
+    monkeypatch.setattr(type(rows), "toPandas", lambda self: (_ for _ in ()).throw(AssertionError("rows through the driver")))
+    got = RF.stored_predictions(rows, RF.read_nodes(spark, str(tmp_path / "f")), grid).collect()
+    assert len(got) == 125 and sum(r.timestamp is None for r in got) == 4
+    for r in got:
+        near = np.abs(want - np.array(r.predictions)).max(axis=1)
+        assert near.min() < 1e-12 and r.predictions[0] == r.predictions[1]
+    assert np.allclose(sorted(r.predictions[2] for r in got), np.sort(want[:, 2]), atol=1e-12)
+
+
+def test_fold_scores_and_metrics_of_a_forest_collect_no_nodes(spark, data, tmp_path, monkeypatch):
+    """One symbol of three: the grid names it alone, each family has one choice, and no table of nodes reaches the driver."""
+    monkeypatch.setattr(RF, "RF_TREES", [2, 4])
+    monkeypatch.setattr(RF, "GRID", [(t, d, 2) for t in (2, 4) for d in (25, None)])
+    monkeypatch.setattr(RF, "DEFAULT_RF", (2, None, 2))
+    results = TR.Results(data, ["ETHUSDT"], str(tmp_path / "r"))
+    monkeypatch.setattr(RF, "read_forest", lambda *a: (_ for _ in ()).throw(AssertionError("nodes through the driver")))
+    scores = results.scores().collect()
+    assert {s.symbol for s in scores} == {"ETHUSDT"}
+    assert sorted(s.model for s in scores if s.chosen) == ["Lasso", "Random Forest", "Ridge"]
+    table = results.table(["Random Forest"]).collect()
+    assert sorted(r.config for r in table) == ["default", "tuned"]
+    by = {s.setting: s for s in scores if s.model == "Random Forest"}
+    held = results.folds().where("symbol = 'ETHUSDT' AND fold = 0")
+    X, y = _arrays(held)
+    monkeypatch.undo()
+    forest = RF.read_forest(spark, str(tmp_path / "r" / "trees-ETHUSDT-0"))
+    for t in (2, 4):
+        mse = np.mean((y - forest.scores(X, [(t, None, 2)])[:, 0]) ** 2)
+        assert by[RF.name_of((t, None, 2))].fold_mse[0] == pytest.approx(mse, rel=1e-9)
+        if forest.depth <= 25:
+            assert by[RF.name_of((t, None, 2))].fold_mse[0] == by[RF.name_of((t, 25, 2))].fold_mse[0]
