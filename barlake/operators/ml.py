@@ -30,7 +30,7 @@ from .features import FEATURE_COLS, standard_scale
 
 MAX_TREE_DEPTH = 30
 SEED = 42
-TREE_MEMORY_MB = 1024       # statistics of a tree level: fewer passes over the rows
+TREE_MEMORY_MB = 128        # statistics of the nodes split together: the memory of a task, and how long it keeps its core
 MODEL_NAMES = ["Linear Regression", "Ridge", "Lasso", "Random Forest", "Gradient Boosting"]
 # Iterative learners run one job per iteration / tree level: size training
 # partitions by rows so big symbols stay parallel and small ones skip task overhead.
@@ -60,8 +60,9 @@ def lasso(alpha: float) -> LinearRegression:
 
 
 def random_forest(trees: int = 100, depth: int | None = None) -> RandomForestRegressor:
+    """Each row keeps the node it is in, so that tasks are not sent the trees grown so far, which get large without a limit of depth."""
     return RandomForestRegressor(labelCol="y", numTrees=trees, maxDepth=depth or MAX_TREE_DEPTH, featureSubsetStrategy="all",
-                                 seed=SEED, maxMemoryInMB=TREE_MEMORY_MB)
+                                 seed=SEED, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
 def gradient_boosting(tuned: bool = False) -> GBTRegressor:

@@ -257,3 +257,19 @@ def test_fold_scores_and_metrics_of_a_forest_collect_no_nodes(spark, data, tmp_p
         assert by[RF.name_of((t, None, 2))].fold_mse[0] == pytest.approx(mse, rel=1e-9)
         if forest.depth <= 25:
             assert by[RF.name_of((t, None, 2))].fold_mse[0] == by[RF.name_of((t, 25, 2))].fold_mse[0]
+
+
+def test_forest_rows_keep_their_node_and_trees_stay_the_same(spark, tmp_path):
+    """Tasks are not sent the trees grown so far; nodes equal those of a fit that sends them, of one group of nodes or many, copies kept."""
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(300, 4))
+    y = x[:, 0] * 2 + x[:, 1] ** 2 + rnd.normal(size=300) / 9
+    rows = [(Vectors.dense(a), float(b)) for a, b in zip(x, y)]
+    rows = spark.createDataFrame(rows + rows[:9], ["features", "y"]).coalesce(1).cache()
+    mine = ML.random_forest(6)
+    assert mine.getCacheNodeIds() and mine.getMaxMemoryInMB() < 1024
+    nodes = []
+    for name, est in (("mine", mine), ("sent", ML.random_forest(6).setCacheNodeIds(False).setMaxMemoryInMB(1024)), ("small", ML.random_forest(6).setMaxMemoryInMB(1))):
+        est.fit(rows).write().save(str(tmp_path / name))
+        nodes.append(RF.read_nodes(spark, str(tmp_path / name)).orderBy("tree", "id").toPandas())
+    assert len(nodes[0]) > 1000 and nodes[0].equals(nodes[1]) and nodes[0].equals(nodes[2])
