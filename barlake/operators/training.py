@@ -52,9 +52,10 @@ class Results:
             build().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def _together(self, jobs: list) -> list:
-        """Chains of small jobs leave executors idle on their own."""
-        with ThreadPoolExecutor(max(1, min(len(jobs), self.spark.sparkContext.defaultParallelism))) as pool:
+    def _together(self, jobs: list, light: int = 0) -> list:
+        """Chains of small jobs leave executors idle on their own; the first ``light`` jobs use little of a core, and three quarters of the cores go to others beside them."""
+        cores = self.spark.sparkContext.defaultParallelism
+        with ThreadPoolExecutor(max(1, min(len(jobs), max(cores, light + 3 * cores // 4)))) as pool:
             return list(pool.map(lambda job: job(), jobs))
 
     def folds(self) -> DataFrame:
@@ -178,13 +179,14 @@ class Results:
         jobs = []
         if "Gradient Boosting" in models:                # the longest chains first
             jobs += [lambda s=s, c=c: self._boosting(s, c) for c in sorted(configs, reverse=True) for s in self.symbols]
-        if "Random Forest" in models:
+        light = len(jobs)
+        if "Random Forest" in models:                    # the forests of most rows first
+            jobs += [lambda s=s: self._forests(s, "default") for s in self.symbols if "default" in configs]
             if "tuned" in configs:
                 jobs += [lambda s=s, k=k: self._fold_scores(s, k).limit(0) for s in self.symbols for k in range(3)]
-            jobs += [lambda s=s: self._forests(s, "default") for s in self.symbols if "default" in configs]
         if set(models) & {"Linear Regression", "Ridge", "Lasso"}:
             jobs.append(self.linear)
-        parts = [p for p in self._together(jobs) if "n_test" in p.columns]
+        parts = [p for p in self._together(jobs, light) if "n_test" in p.columns]
         if "Random Forest" in models and "tuned" in configs:
             parts += self._together([lambda s=s: self._forests(s, "tuned") for s in self.symbols])
         out = reduce(DataFrame.unionByName, parts)

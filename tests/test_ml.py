@@ -1,5 +1,7 @@
 """MLlib parity: ridge with regParam = alpha * sd(y) / n equals closed-form ridge."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -273,3 +275,20 @@ def test_forest_rows_keep_their_node_and_trees_stay_the_same(spark, tmp_path):
         est.fit(rows).write().save(str(tmp_path / name))
         nodes.append(RF.read_nodes(spark, str(tmp_path / name)).orderBy("tree", "id").toPandas())
     assert len(nodes[0]) > 1000 and nodes[0].equals(nodes[1]) and nodes[0].equals(nodes[2])
+
+
+def test_forests_run_beside_boosting(spark, data, tmp_path, monkeypatch):
+    """Chains of boosting leave three quarters of the cores to forests, and the results come in the order of the jobs."""
+    cores = spark.sparkContext.defaultParallelism
+    together = max(cores, 6 + 3 * cores // 4)
+    met = threading.Barrier(together)
+
+    def job(k):
+        met.wait(30)
+        return k
+    results = TR.Results(data, ["BTCUSDT"], str(tmp_path / "r"))
+    assert results._together([lambda k=k: job(k) for k in range(together)], 6) == list(range(together))
+    seen = []
+    monkeypatch.setattr(TR.Results, "_together", lambda self, jobs, light=0: seen.append((len(jobs), light)) or [spark.createDataFrame([], TR.RESULT)])
+    results.table()
+    assert seen[0] == (2 + 1 + 3 + 1, 2)
